@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.operators import confirm as C
+from dockyard.operators import messages as M
 from dockyard.operators import outbound as O
 
 
@@ -33,6 +34,7 @@ class OutboundInputs:
     whse: DataFrame
     shipments: DataFrame          # counted-product shipments written by confirm
     container_history: DataFrame  # container shipments of earlier runs
+    message_queue: DataFrame      # outbound message queue (ids continue after it)
 
     @classmethod
     def from_fixtures(cls, fx) -> "OutboundInputs":
@@ -52,7 +54,8 @@ class OutboundInputs:
                    uoms=fx.f_item_uom, upcs=fx.f_item_upc, customers=fx.f_customer,
                    containers=fx.f_container, pos=fx.f_po, po_lines=fx.f_po_line,
                    receipts=fx.f_receipt, backhauls=fx.f_backhaul, vendors=fx.f_vendor,
-                   whse=fx.f_whse, shipments=counted, container_history=hist)
+                   whse=fx.f_whse, shipments=counted, container_history=hist,
+                   message_queue=fx.f_message)
 
 
 class OutboundRun:
@@ -182,3 +185,38 @@ class OutboundRun:
     @property
     def queue_done(self):
         return O.complete_loads(self.t.queue, self.pending, self.as_of)
+
+    # ---------------------------------------------------------------- messages
+
+    @property
+    def message_ids(self):
+        def build():
+            keys = M.message_keys(self.pending, self.lines, self.po, self.pallets)
+            return M.assign_message_ids(keys, self.t.message_queue)
+        return self._m("ids", build)
+
+    @property
+    def order_messages(self):
+        return M.order_messages(self.headers, self.order_lines, self.message_ids, self.pending,
+                                self.t.whse, self.system_name, as_of=self.as_of)
+
+    @property
+    def po_messages(self):
+        return M.po_messages(self.po, self.po_lines_msg, self.t.pos, self.t.vendors,
+                             self.message_ids, self.pending, self.t.whse, self.system_name,
+                             as_of=self.as_of)
+
+    @property
+    def po_reopen_messages(self):
+        return M.po_reopen_messages(self.po, self.message_ids, self.pending, self.t.whse,
+                                    self.system_name, as_of=self.as_of)
+
+    @property
+    def pallet_messages(self):
+        return M.pallet_messages(self.pallets, self.pallet_items, self.message_ids,
+                                 self.pallet_system_name, as_of=self.as_of)
+
+    @property
+    def queue_rows(self):
+        return M.message_queue_rows(self.order_messages, self.po_reopen_messages,
+                                    self.po_messages, self.pallet_messages)

@@ -80,35 +80,35 @@ def compare(spark, sf_dir, names=None, verbose=True):
         except Exception as e:  # noqa: BLE001
             results[n] = ("spark-error", str(e)[:300])
             if verbose:
-                print(f"{n:34s} SPARK ERROR {str(e)[:300]}")
+                print(f"@@ {n:34s} SPARK ERROR {str(e)[:300]}")
             continue
         ts = time.time() - t0
         if n not in ora:
             results[n] = ("rows-only", len(sr))
             if verbose:
-                print(f"{n:34s} rows-only {len(sr)} ({ts:.1f}s)")
+                print(f"@@ {n:34s} rows-only {len(sr)} ({ts:.1f}s)")
             continue
         try:
             dc, dr = rows_of_duck(con, ora[n])
         except Exception as e:  # noqa: BLE001
             results[n] = ("oracle-error", str(e)[:300])
             if verbose:
-                print(f"{n:34s} ORACLE ERROR {str(e)[:400]}")
+                print(f"@@ {n:34s} ORACLE ERROR {str(e)[:400]}")
             continue
         if sc != dc:
             results[n] = ("schema", (sc, dc))
             if verbose:
-                print(f"{n:34s} SCHEMA spark={sc} oracle={dc}")
+                print(f"@@ {n:34s} SCHEMA spark={sc} oracle={dc}")
             continue
         ss, ds = sorted(sr, key=_key), sorted(dr, key=_key)
         ok = ss == ds
         results[n] = ("ok" if ok else "mismatch", len(sr), len(dr))
         if verbose:
-            print(f"{n:34s} {'OK ' if ok else 'MISMATCH'} spark={len(sr)} oracle={len(dr)} ({ts:.1f}s)")
+            print(f"@@ {n:34s} {'OK ' if ok else 'MISMATCH'} spark={len(sr)} oracle={len(dr)} ({ts:.1f}s)")
             if not ok:
                 a, b = set(ss), set(ds)
-                print("   spark-only:", sorted(a - b, key=_key)[:3])
-                print("   oracle-only:", sorted(b - a, key=_key)[:3])
+                print("@@   spark-only:", sorted(a - b, key=_key)[:3])
+                print("@@   oracle-only:", sorted(b - a, key=_key)[:3])
     return results
 
 
@@ -121,4 +121,4 @@ if __name__ == "__main__":
     spark = get_session()
     res = compare(spark, sf, names)
     bad = [k for k, v in res.items() if v[0] not in ("ok", "rows-only")]
-    print("FAILED:", bad)
+    print("@@ FAILED:", bad)
