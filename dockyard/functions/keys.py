@@ -13,6 +13,15 @@ from dockyard.session import checkpoint_dir
 _IDX_BITS = 33  # monotonically_increasing_id = (partition << 33) + row index
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate that several later steps read: a
+    reliable checkpoint in the shared checkpoint dir (spark.checkpoint.dir),
+    so later plans scan it instead of repeating its joins, and a lost executor
+    does not force a recompute from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int = 1,
                num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = start + rank of the row's key in ``keys`` order.
@@ -20,19 +29,16 @@ def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int
     ``keys`` must be unique in ``df``. Ids depend only on the key order, not
     on the partition count. Two passes, no global window:
 
-    1. range-partition the keys, sort inside each partition, tag each row with
-       its partition and position, and checkpoint (reliable, in the shared
-       checkpoint dir) so both passes see the same partitions;
+    1. range-partition the rows on the keys, sort inside each partition, tag
+       each row with its partition and position, and checkpoint (reliable, in
+       the shared checkpoint dir) so both passes see the same partitions;
     2. count rows per partition (one row per partition), turn the counts into
        offsets (a frame bounded by the partition count, broadcast), add.
-
-    Only the keys go through the checkpoint; the ids are joined back on them.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
-    k = (df.select(*keys)
-         .repartitionByRange(n, *keys)
+    k = (df.repartitionByRange(n, *keys)
          .sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id())
          .checkpoint(eager=True))
@@ -42,9 +48,9 @@ def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int
     # At most `n` rows (one per partition): a single ordered window is cheap.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    ids = (k.join(F.broadcast(offs), "_pid")
-           .select(*keys, (F.col("_off") + F.col("_idx") + F.lit(start)).alias(out_col)))
-    return df.join(ids, keys, "inner")
+    return (k.join(F.broadcast(offs), "_pid")
+            .withColumn(out_col, F.col("_off") + F.col("_idx") + F.lit(start))
+            .drop("_pid", "_idx", "_mid", "_off"))
 
 
 def _all_not_null(keys: list[str]) -> Column:

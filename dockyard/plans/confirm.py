@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from dockyard.functions.keys import stage
 from dockyard.operators import confirm as C
 
 
@@ -51,7 +52,7 @@ class ConfirmRun:
 
     @property
     def carriers(self):
-        return self._m("carriers", lambda: C.load_carrier_class(self.t.orders))
+        return self._m("carriers", lambda: stage(C.load_carrier_class(self.t.orders)))
 
     @property
     def not_loaded(self):
@@ -62,7 +63,8 @@ class ConfirmRun:
         return self._m("shp", lambda: C.already_shipped(self.t.picks))
 
     def _split(self):
-        return self._m("split", lambda: C.reject_loads(self.t.requests, self.not_loaded, self.shipped))
+        return self._m("split", lambda: tuple(stage(x) for x in C.reject_loads(
+            self.t.requests, self.not_loaded, self.shipped)))
 
     @property
     def accepted(self):
@@ -74,8 +76,8 @@ class ConfirmRun:
 
     @property
     def shipments(self):
-        return self._m("shipments", lambda: C.assign_shipments(
-            self.t.loads, self.t.shipments, self.accepted, self.as_of))
+        return self._m("shipments", lambda: stage(C.assign_shipments(
+            self.t.loads, self.t.shipments, self.accepted, self.as_of)))
 
     @property
     def doors(self):
@@ -84,7 +86,7 @@ class ConfirmRun:
 
     @property
     def hus_wc(self):
-        return self._m("hus_wc", lambda: C.will_call_hu_update(self.t.hus, self.doors))
+        return self._m("hus_wc", lambda: stage(C.will_call_hu_update(self.t.hus, self.doors)))
 
     @property
     def items_wc(self):
@@ -92,8 +94,8 @@ class ConfirmRun:
 
     @property
     def hus_archived(self):
-        return self._m("hus_arch", lambda: C.archive_handling_units(
-            self.hus_wc.join(self.accepted.select(*C.LOAD), C.LOAD, "left_semi"), self.shipments))
+        return self._m("hus_arch", lambda: stage(C.archive_handling_units(
+            self.hus_wc.join(self.accepted.select(*C.LOAD), C.LOAD, "left_semi"), self.shipments)))
 
     @property
     def items_archived(self):
@@ -101,7 +103,7 @@ class ConfirmRun:
 
     @property
     def loads_closed(self):
-        return self._m("loads1", lambda: C.close_load_rows(self.t.loads, self.accepted, "seal", self.as_of))
+        return self._m("loads1", lambda: stage(C.close_load_rows(self.t.loads, self.accepted, "seal", self.as_of)))
 
     @property
     def picks_closed(self):
@@ -113,12 +115,12 @@ class ConfirmRun:
 
     @property
     def orders_closed(self):
-        return self._m("orders1", lambda: C.close_order_rows(self.t.orders, self.accepted, self.as_of))
+        return self._m("orders1", lambda: stage(C.close_order_rows(self.t.orders, self.accepted, self.as_of)))
 
     @property
     def orders_cross(self):
-        return self._m("orders2", lambda: C.close_cross_load_orders(
-            self.orders_closed, self.hus_wc, self.loads_closed, self.accepted))
+        return self._m("orders2", lambda: stage(C.close_cross_load_orders(
+            self.orders_closed, self.hus_wc, self.loads_closed, self.accepted)))
 
     @property
     def loads_cross(self):

@@ -2,60 +2,67 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockyard.functions.keys import stage
 from dockyard.operators import confirm as C
 from dockyard.operators import messages as M
 from dockyard.operators import outbound as O
 
 
-@dataclass
 class OutboundInputs:
-    queue: DataFrame
-    loads: DataFrame
-    orders: DataFrame
-    hus_shipped: DataFrame
-    stored_shipped: DataFrame
-    picks: DataFrame
-    pick_masters: DataFrame
-    items: DataFrame
-    uoms: DataFrame
-    upcs: DataFrame
-    customers: DataFrame
-    containers: DataFrame
-    pos: DataFrame
-    po_lines: DataFrame
-    receipts: DataFrame
-    backhauls: DataFrame
-    vendors: DataFrame
-    whse: DataFrame
-    shipments: DataFrame          # counted-product shipments written by confirm
-    container_history: DataFrame  # container shipments of earlier runs
-    message_queue: DataFrame      # outbound message queue (ids continue after it)
+    """Tables read by the outbound job. Built lazily: a query only pays for
+    the tables it touches."""
+
+    NAMES = ("queue", "loads", "orders", "hus_shipped", "stored_shipped", "picks",
+             "pick_masters", "items", "uoms", "upcs", "customers", "containers", "pos",
+             "po_lines", "receipts", "backhauls", "vendors", "whse",
+             "shipments",          # counted-product shipments written by confirm
+             "container_history",  # container shipments of earlier runs
+             "message_queue")      # outbound message queue (ids continue after it)
+
+    def __init__(self, **frames):
+        self._frames = {}
+        self._makers = {}
+        for k, v in frames.items():
+            (self._makers if callable(v) else self._frames)[k] = v
+
+    def __getattr__(self, name):
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._frames:
+            if name not in self._makers:
+                raise AttributeError(name)
+            self._frames[name] = self._makers[name]()
+        return self._frames[name]
 
     @classmethod
     def from_fixtures(cls, fx) -> "OutboundInputs":
-        picks = fx.f_pick.withColumn("shipped_quantity", F.col("picked_quantity"))
-        counted = C.counted_product_shipments(fx.f_pick, fx.f_item, fx.f_item_uom, fx.f_order,
-                                              fx.f_customer)
-        # history of earlier runs: every load's containers, dated by its ship date
-        all_loads = fx.f_load.select("wh_id", "load_id", "earliest_ship_date")
-        lines_all = O.shipped_lines(all_loads, fx.f_hu_shipped, fx.f_stored_shipped, fx.f_pick,
-                                    fx.f_item, fx.f_item_uom, fx.f_order, fx.f_customer)
-        hist = O.container_shipments(
-            lines_all.join(all_loads, ["wh_id", "load_id"]), fx.f_container,
-            ship_date_col="earliest_ship_date")
-        return cls(queue=fx.f_load_queue, loads=fx.f_load, orders=fx.f_order,
-                   hus_shipped=fx.f_hu_shipped, stored_shipped=fx.f_stored_shipped,
-                   picks=picks, pick_masters=fx.f_pick_master, items=fx.f_item,
-                   uoms=fx.f_item_uom, upcs=fx.f_item_upc, customers=fx.f_customer,
-                   containers=fx.f_container, pos=fx.f_po, po_lines=fx.f_po_line,
-                   receipts=fx.f_receipt, backhauls=fx.f_backhaul, vendors=fx.f_vendor,
-                   whse=fx.f_whse, shipments=counted, container_history=hist,
-                   message_queue=fx.f_message)
+        def counted():
+            return C.counted_product_shipments(fx.f_pick, fx.f_item, fx.f_item_uom, fx.f_order,
+                                               fx.f_customer)
+
+        def history():
+            # earlier runs: every load's containers, dated by its ship date
+            all_loads = fx.f_load.select("wh_id", "load_id", "earliest_ship_date")
+            lines_all = O.shipped_lines(all_loads, fx.f_hu_shipped, fx.f_stored_shipped,
+                                        fx.f_pick, fx.f_item, fx.f_item_uom, fx.f_order,
+                                        fx.f_customer)
+            return O.container_shipments(lines_all.join(all_loads, ["wh_id", "load_id"]),
+                                         fx.f_container, ship_date_col="earliest_ship_date")
+
+        f = {n: (lambda v=v: fx[v]) for n, v in dict(
+            queue="f_load_queue", loads="f_load", orders="f_order", hus_shipped="f_hu_shipped",
+            stored_shipped="f_stored_shipped", pick_masters="f_pick_master", items="f_item",
+            uoms="f_item_uom", upcs="f_item_upc", customers="f_customer",
+            containers="f_container", pos="f_po", po_lines="f_po_line", receipts="f_receipt",
+            backhauls="f_backhaul", vendors="f_vendor", whse="f_whse",
+            message_queue="f_message").items()}
+        f["picks"] = lambda: fx.f_pick.withColumn("shipped_quantity", F.col("picked_quantity"))
+        f["shipments"] = counted
+        f["container_history"] = history
+        return cls(**f)
 
 
 class OutboundRun:
@@ -84,7 +91,7 @@ class OutboundRun:
 
     @property
     def pending(self):
-        return self._m("pending", lambda: O.pending_loads(self.t.queue, self.t.loads))
+        return self._m("pending", lambda: stage(O.pending_loads(self.t.queue, self.t.loads)))
 
     @property
     def stops(self):
@@ -92,9 +99,9 @@ class OutboundRun:
 
     @property
     def lines(self):
-        return self._m("lines", lambda: O.shipped_lines(
+        return self._m("lines", lambda: stage(O.shipped_lines(
             self.pending, self.t.hus_shipped, self.t.stored_shipped, self.t.picks,
-            self.t.items, self.t.uoms, self.t.orders, self.t.customers))
+            self.t.items, self.t.uoms, self.t.orders, self.t.customers)))
 
     @property
     def candidates(self):
@@ -111,12 +118,12 @@ class OutboundRun:
 
     @property
     def prior_counts(self):
-        return self._m("ptc", lambda: O.prior_tote_count(self.prior, self.units))
+        return self._m("ptc", lambda: stage(O.prior_tote_count(stage(self.prior), self.units)))
 
     @property
     def totes(self):
-        return self._m("totes", lambda: O.fallback_tote_count(
-            self.prior_counts, self.t.container_history, self.t.customers, self.as_of))
+        return self._m("totes", lambda: stage(O.fallback_tote_count(
+            self.prior_counts, self.t.container_history, self.t.customers, self.as_of)))
 
     @property
     def tote_log(self):
@@ -128,9 +135,9 @@ class OutboundRun:
 
     @property
     def po(self):
-        return self._m("po", lambda: O.backhaul_pos(
+        return self._m("po", lambda: stage(O.backhaul_pos(
             self.pending, self.stops, self.t.pos, self.t.po_lines, self.t.receipts,
-            self.t.backhauls))
+            self.t.backhauls)))
 
     @property
     def gtins(self):
@@ -159,8 +166,8 @@ class OutboundRun:
 
     @property
     def headers(self):
-        return self._m("headers", lambda: O.order_properties(O.order_headers(
-            self.lines, self.t.orders, self.t.customers, self.totes, self.totals)))
+        return self._m("headers", lambda: stage(O.order_properties(O.order_headers(
+            self.lines, self.t.orders, self.t.customers, self.totes, self.totals))))
 
     @property
     def po_lines_msg(self):
@@ -168,7 +175,7 @@ class OutboundRun:
 
     @property
     def pallet_heads(self):
-        return self._m("pheads", lambda: O.pallet_purpose(O.pallet_heads(self.lines, self.t.upcs)))
+        return self._m("pheads", lambda: stage(O.pallet_purpose(O.pallet_heads(self.lines, self.t.upcs))))
 
     @property
     def pallets(self):

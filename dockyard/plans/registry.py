@@ -25,8 +25,8 @@ def query(name: str, sql: str | None = None):
     """Register ``fn(fx: Fixtures) -> DataFrame`` under ``name``."""
 
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Fixtures(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str, tables_dir: str | None = None) -> DataFrame:
+            return fn(Fixtures(spark, sf_dir, tables_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

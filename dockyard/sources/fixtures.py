@@ -265,16 +265,21 @@ class Fixtures:
 
     spark: SparkSession
     sf_dir: str
+    # optional folder of materialised views (``{name}.parquet``), read instead
+    # of deriving them; see :func:`materialise`
+    tables_dir: str | None = None
     _frames: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or name in ("spark", "sf_dir"):
+        if name.startswith("_") or name in ("spark", "sf_dir", "tables_dir"):
             raise AttributeError(name)
         return self[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            if name in RAW_TABLES:
+            if self.tables_dir and name in VIEWS and _exists(self.spark, f"{self.tables_dir}/{name}.parquet"):
+                df = self.spark.read.parquet(f"{self.tables_dir}/{name}.parquet")
+            elif name in RAW_TABLES:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             elif name in VIEWS:
                 refs = {d: self[d] for d in deps(name)}
@@ -283,3 +288,17 @@ class Fixtures:
                 raise KeyError(name)
             self._frames[name] = df
         return self._frames[name]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialise(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> None:
+    """Write fixture views as parquet tables (the warehouse tables they stand
+    for), so jobs read them instead of re-deriving them from the star schema."""
+    fx = Fixtures(spark, sf_dir)
+    for n in names or VIEWS:
+        fx[n].write.mode("overwrite").parquet(f"{out_dir}/{n}.parquet")
