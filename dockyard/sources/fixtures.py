@@ -219,6 +219,29 @@ FROM {nation}
     "f_pick_master": """
 SELECT DISTINCT wh_id, load_id, container_id AS pick_master_id, container_type, 'RELEASED' AS status
 FROM {f_pick}
+""",
+    "f_import_queue": """
+SELECT unique_id, CASE WHEN unique_id % 10 = 9 THEN 'C' ELSE 'N' END AS status FROM {f_import}
+""",
+    "f_customer_totes": """
+SELECT order_key AS unique_id, wh_id, 'C' || CAST(customer_id AS STRING) AS customer_code,
+  CAST(order_key % 5 AS INT) AS tote_expected
+FROM {f_order} WHERE order_key % 3 = 0
+""",
+    "f_tote_tracking": """
+SELECT order_number, wh_id FROM {f_order} WHERE order_key % 50 = 0
+""",
+    "f_backhaul_log": """
+SELECT po_number, carrier_scac AS wh_id,
+  CASE WHEN order_key % 8 = 0 THEN TIMESTAMP '2001-09-01 06:00:00'
+       ELSE TIMESTAMP '2001-08-15 06:00:00' END AS create_date
+FROM {f_po} WHERE order_key % 4 = 0
+""",
+    "f_pod_header": """
+SELECT order_number, wh_id FROM {f_order} WHERE order_key % 45 = 0
+""",
+    "f_pod_detail": """
+SELECT order_number, wh_id FROM {f_order} WHERE order_key % 55 = 0
 """,
 })
 
