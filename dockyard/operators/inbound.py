@@ -36,6 +36,8 @@ EVENT_SCHEMA = (
     "orderItemStatusGroup: struct<recipient: struct<signature: string>, "
     "orderItemStatusSummary: array<struct<lineNumber: string, description: string, status: string, "
     "expectedQuantity: string, acceptedQuantity: string, scanned: string, serviceLevel: string, "
+    "purposeNumber: string, createdOnClient: struct<reason: struct<reasonCode: string, "
+    "reasonDescription: string>>, "
     "adjustment: struct<adjustQuantity: string, reason: struct<reasonCode: string, "
     "reasonDescription: string>>>>>>, "
     "orderStatusDetail struct<visit: struct<service: struct<actualStart: string, actualEnd: string, "

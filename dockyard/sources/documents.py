@@ -66,6 +66,8 @@ def event_documents(f_import: DataFrame, f_order: DataFrame, f_customer: DataFra
         F.when(F.col("container_type") == "PALLET", F.lit("Pallet"))
          .when(F.col("container_type") == "TOTE", F.lit("Tote")).otherwise(F.lit("Case"))
          .alias("serviceLevel"),
+        F.when(F.col("picked_quantity") != F.col("planned_quantity"), F.lit("Delivery"))
+         .alias("purposeNumber"),
         F.when(F.col("picked_quantity") != F.col("planned_quantity"),
                F.struct((F.col("picked_quantity") - F.col("planned_quantity")).cast("string")
                         .alias("adjustQuantity"),

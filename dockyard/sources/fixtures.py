@@ -242,6 +242,15 @@ SELECT order_number, wh_id FROM {f_order} WHERE order_key % 45 = 0
 """,
     "f_pod_detail": """
 SELECT order_number, wh_id FROM {f_order} WHERE order_key % 55 = 0
+""",
+    "f_reason": """
+SELECT DISTINCT CASE WHEN n_nationkey % 2 = 0 THEN 'SHORT' ELSE 'DAMAGED' END AS reason_id,
+  'RETURNS' AS type FROM {nation}
+""",
+    "f_rma_route": """
+SELECT wh_id, CASE WHEN wh_id = 'W0' THEN 'ALL' ELSE 'R1' END AS route FROM {f_whse}
+UNION ALL
+SELECT wh_id, 'R3' AS route FROM {f_whse} WHERE wh_id = 'W1'
 """,
 })
 
