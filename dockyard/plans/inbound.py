@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from dockyard.functions.keys import stage
-from dockyard.operators import confirm as C
 from dockyard.operators import inbound as I
-from dockyard.sources.documents import event_documents
 
 
 class InboundInputs:
@@ -34,15 +32,8 @@ class InboundInputs:
 
     @classmethod
     def from_fixtures(cls, fx) -> "InboundInputs":
-        def queue():
-            docs = event_documents(fx.f_import, fx.f_order, fx.f_customer, fx.f_whse, fx.f_pick)
-            return fx.f_import_queue.join(docs, "unique_id")
-
-        def shipments():
-            return C.counted_product_shipments(fx.f_pick, fx.f_item, fx.f_item_uom, fx.f_order,
-                                               fx.f_customer)
-
-        return cls(queue=queue, whse=lambda: fx.f_whse, shipments=shipments,
+        return cls(queue=lambda: fx.d_import_queue, whse=lambda: fx.f_whse,
+                   shipments=lambda: fx.f_pod_shipments,
                    customers=lambda: fx.f_customer, customer_totes=lambda: fx.f_customer_totes,
                    orders=lambda: fx.f_order, tote_tracking=lambda: fx.f_tote_tracking,
                    pos=lambda: fx.f_po, backhaul_log=lambda: fx.f_backhaul_log,

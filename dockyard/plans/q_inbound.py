@@ -63,7 +63,7 @@ hdr0 AS (
     strftime(event_ts, {FMT}) AS actual_end_time
   FROM dlv),
 hdr AS (SELECT h.*, w.wh_id FROM hdr0 h LEFT JOIN f_whse w ON w.pod_whse = h.pod_whse),
-cps AS ({COUNTED_SQL}),
+cps AS (SELECT * FROM f_pod_shipments),
 expc AS (
   SELECT h.unique_id, h.wh_id, h.order_number,
     (SELECT max(uom_qty) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number

@@ -98,10 +98,7 @@ ptc AS (
     WHERE u.wh_id = p.wh_id AND u.load_id = p.prior_load_id
       AND (u.customer_id = p.customer_id OR ({_addr('u', 'p')}))), 0) AS INT) AS tote_count
   FROM prior p),
-{_hs("hs_all", "f_load").strip()},
-hist AS ({_CONTAINERS.format(date="l.earliest_ship_date", hs="hs_all",
-                             extra="JOIN f_load l ON l.wh_id = h.wh_id AND l.load_id = h.load_id",
-                             gextra=", l.earliest_ship_date")}),
+hist AS (SELECT * FROM f_container_history),
 fbm AS (
   SELECT p.wh_id, p.load_id, p.order_number, p.customer_id, p.ship_to_addr1, p.ship_to_city,
     p.ship_to_state, p.ship_to_zip, CAST(hi.shipment_date AS DATE) AS d,
@@ -364,7 +361,7 @@ _PROPS = [
 ]
 
 HEADERS = f""",
-cps AS ({COUNTED_SQL}),
+cps AS (SELECT * FROM f_pod_shipments),
 tot AS ({TOTALS_SQL}),
 hdr AS (
   SELECT k.wh_id, k.load_id, k.order_number, c.customer_id, c.customer_code, c.customer_name,

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from dockyard.functions.columns import AS_OF
 from dockyard.operators import replies as R
 from dockyard.plans.registry import query
-from dockyard.sources.documents import outbound_queue, reply_documents
 
 TS = f"CAST(TIMESTAMP '{AS_OF}' AS TIMESTAMP)"
 QCOLS = ["unique_id", "order_number", "message_type", "queue_status", "retries", "error_msg"]
@@ -32,11 +31,11 @@ WITH rep AS (
 
 
 def _queue(fx):
-    return outbound_queue(fx.f_message)
+    return fx.d_outbound_queue
 
 
 def _replies(fx):
-    return reply_documents(fx.f_message)
+    return fx.d_replies
 
 
 @query("pending_messages", """

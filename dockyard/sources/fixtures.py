@@ -199,6 +199,9 @@ FROM {f_rma} r JOIN {f_pick} k ON 'RMA' || k.order_number = r.rma_number
 
 # Fixture views added by this repo (inputs the reference reads but the
 # fixture list does not define). Same rules: one text, both engines.
+# f_container_history and f_pod_shipments are what earlier runs wrote: the
+# container counts of every load (dated by its ship date) and the counted
+# products of every load.
 VIEWS.update({
     "f_shipment": """
 SELECT load_master_id, wh_id, CAST(load_master_id * 10 AS STRING) AS shipment_number
@@ -251,6 +254,59 @@ SELECT DISTINCT CASE WHEN n_nationkey % 2 = 0 THEN 'SHORT' ELSE 'DAMAGED' END AS
 SELECT wh_id, CASE WHEN wh_id = 'W0' THEN 'ALL' ELSE 'R1' END AS route FROM {f_whse}
 UNION ALL
 SELECT wh_id, 'R3' AS route FROM {f_whse} WHERE wh_id = 'W1'
+""",
+    "f_container_history": """
+WITH hs_all AS (
+  SELECT hum.hu_id, hum.wh_id, k.order_number, hum.load_id, hum.parent_hu_id,
+    '-' AS pallet_desc,
+    CASE WHEN k.cartonization_batch_id IS NULL THEN i.description
+         ELSE coalesce(k.pick_area, '') || '-' || coalesce(k.cartonization_batch_id, '') END AS hu_desc,
+    s.item_number, i.description AS item_description, k.line_number,
+    CAST(floor(round(CAST(sum(s.actual_qty) AS DOUBLE) / u.conversion_factor, 6)) AS INT) AS quantity,
+    k.cartonization_batch_id, i.class_id, k.pick_area, k.uom AS order_uom, c.gln,
+    CASE WHEN coalesce(i.gs1_required_flag, 0) = 1 AND coalesce(c.gs1_required_flag, 0) = 1
+         THEN 1 ELSE 0 END AS gs1_required_flag,
+    c.customer_code, o.stop_id, c.totes_required, c.customer_id,
+    coalesce(o.tote_count_flag, 0) AS tote_count_flag,
+    o.ship_to_addr1, o.ship_to_city, o.ship_to_state, o.ship_to_zip, k.container_type, o.carrier
+  FROM {f_hu_shipped} hum
+  JOIN {f_stored_shipped} s ON s.hu_id = hum.hu_id AND s.wh_id = hum.wh_id
+  JOIN {f_pick} k ON s.type = k.pick_id
+  JOIN {f_item} i ON i.item_number = s.item_number AND i.wh_id = s.wh_id
+  JOIN {f_item_uom} u ON u.item_number = k.item_number AND u.uom = k.uom AND u.wh_id = k.wh_id
+  JOIN {f_order} o ON o.order_number = k.order_number AND o.wh_id = k.wh_id
+  JOIN {f_customer} c ON c.customer_id = o.customer_id
+  WHERE EXISTS (SELECT 1 FROM {f_load} p WHERE p.wh_id = hum.wh_id AND p.load_id = hum.load_id)
+  GROUP BY hum.hu_id, hum.wh_id, k.order_number, hum.load_id, hum.parent_hu_id, s.item_number,
+    i.description, k.line_number, k.cartonization_batch_id, k.pick_area, k.uom,
+    u.conversion_factor, i.class_id, c.gln, i.gs1_required_flag, c.gs1_required_flag,
+    c.customer_code, c.customer_id, o.stop_id, c.totes_required, o.tote_count_flag,
+    o.ship_to_addr1, o.ship_to_city, o.ship_to_state, o.ship_to_zip, k.container_type, o.carrier)
+
+  SELECT h.wh_id, h.customer_code, h.load_id, h.order_number, h.container_type,
+    CAST(count(DISTINCT h.hu_id) AS INT) AS shipped_qty, l.earliest_ship_date AS shipment_date,
+    h.ship_to_addr1, h.ship_to_city, h.ship_to_state, h.ship_to_zip, h.stop_id, h.carrier
+  FROM hs_all h JOIN {f_load} l ON l.wh_id = h.wh_id AND l.load_id = h.load_id
+  JOIN {f_container} n ON n.wh_id = h.wh_id AND n.container_type = h.container_type
+  WHERE coalesce(h.totes_required, 0) = 1 AND coalesce(n.shipping_container, 0) = 1
+    AND h.quantity > 0
+  GROUP BY h.wh_id, h.customer_code, h.load_id, h.order_number, h.container_type,
+    h.ship_to_addr1, h.ship_to_city, h.ship_to_state, h.ship_to_zip, h.stop_id, h.carrier, l.earliest_ship_date
+""",
+    "f_pod_shipments": """
+SELECT k.wh_id, c.customer_code, k.load_id, k.order_number, o.earliest_ship_date AS shipment_date,
+  o.stop_id,
+  CAST(floor(round(sum(CAST(k.planned_quantity AS DOUBLE) / u.conversion_factor), 6)) AS INT) AS uom_qty,
+  i.product_type, CAST(TIMESTAMP '2001-09-01 00:00:00' AS TIMESTAMP) AS create_date
+FROM {f_pick} k
+JOIN {f_item} i ON i.wh_id = k.wh_id AND i.item_number = k.item_number
+JOIN {f_item_uom} u ON u.wh_id = k.wh_id AND u.item_number = k.item_number AND u.uom = k.uom
+JOIN {f_order} o ON o.wh_id = k.wh_id AND o.order_number = k.order_number
+JOIN {f_customer} c ON c.customer_id = o.customer_id
+WHERE rtrim(i.product_type) IN ('LILCIG', 'ECIG', 'CIG', 'CIGP', 'SNF', 'SNFP')
+  AND k.picked_quantity > 0 AND coalesce(o.order_type, '') <> 'TRANSFER'
+GROUP BY k.wh_id, k.load_id, k.order_number, i.product_type, o.stop_id, c.customer_code,
+  o.earliest_ship_date
 """,
 })
 
@@ -309,8 +365,11 @@ class Fixtures:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            if self.tables_dir and name in VIEWS and _exists(self.spark, f"{self.tables_dir}/{name}.parquet"):
+            stored = name in VIEWS or name in DERIVED
+            if self.tables_dir and stored and _exists(self.spark, f"{self.tables_dir}/{name}.parquet"):
                 df = self.spark.read.parquet(f"{self.tables_dir}/{name}.parquet")
+            elif name in DERIVED:
+                df = DERIVED[name](self)
             elif name in RAW_TABLES:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             elif name in VIEWS:
@@ -328,9 +387,35 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _import_queue(fx: "Fixtures") -> DataFrame:
+    from dockyard.sources.documents import event_documents
+    docs = event_documents(fx.f_import, fx.f_order, fx.f_customer, fx.f_whse, fx.f_pick)
+    return fx.f_import_queue.join(docs, "unique_id")
+
+
+def _replies(fx: "Fixtures") -> DataFrame:
+    from dockyard.sources.documents import reply_documents
+    return reply_documents(fx.f_message)
+
+
+def _outbound_queue(fx: "Fixtures") -> DataFrame:
+    from dockyard.sources.documents import outbound_queue
+    return outbound_queue(fx.f_message)
+
+
+# Inputs that hold XML documents: assembled by Spark (``to_xml``) from the
+# fixture columns; like the views they can be materialised once.
+DERIVED = {
+    "d_import_queue": _import_queue,
+    "d_replies": _replies,
+    "d_outbound_queue": _outbound_queue,
+}
+
+
 def materialise(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> None:
-    """Write fixture views as parquet tables (the warehouse tables they stand
-    for), so jobs read them instead of re-deriving them from the star schema."""
+    """Write fixture views and derived inputs as parquet tables (the
+    warehouse tables they stand for), so jobs read them instead of re-deriving
+    them from the star schema."""
     fx = Fixtures(spark, sf_dir)
-    for n in names or VIEWS:
+    for n in names or [*VIEWS, *DERIVED]:
         fx[n].write.mode("overwrite").parquet(f"{out_dir}/{n}.parquet")
