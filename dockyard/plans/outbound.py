@@ -79,7 +79,7 @@ class OutboundRun:
 
     @property
     def pending(self):
-        return self._m("pending", lambda: stage(O.pending_loads(self.t.queue, self.t.loads)))
+        return self._m("pending", lambda: O.pending_loads(self.t.queue, self.t.loads))
 
     @property
     def stops(self):
@@ -106,7 +106,7 @@ class OutboundRun:
 
     @property
     def prior_counts(self):
-        return self._m("ptc", lambda: stage(O.prior_tote_count(stage(self.prior), self.units)))
+        return self._m("ptc", lambda: stage(O.prior_tote_count(self.prior, self.units)))
 
     @property
     def totes(self):
