@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.functions.keys import stage
-from dockyard.operators import confirm as C
 from dockyard.operators import messages as M
 from dockyard.operators import outbound as O
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from dockyard.functions.columns import AS_OF
 from dockyard.operators import confirm as C

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from dockyard.functions.columns import AS_OF
 from dockyard.plans.inbound import InboundInputs, InboundRun
-from dockyard.plans.q_confirm import COUNTED_SQL
 from dockyard.plans.registry import query
 
 TS = f"CAST(TIMESTAMP '{AS_OF}' AS TIMESTAMP)"

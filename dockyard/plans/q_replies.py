@@ -6,7 +6,6 @@ Replies are fixture documents built with ``to_xml`` from f_message
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from dockyard.functions.columns import AS_OF
 from dockyard.operators import replies as R
