@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,12 +15,18 @@ _IDX_BITS = 33  # monotonically_increasing_id = (partition << 33) + row index
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an intermediate that several later steps read: a
-    reliable checkpoint in the shared checkpoint dir (spark.checkpoint.dir),
-    so later plans scan it instead of repeating its joins, and a lost executor
-    does not force a recompute from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of an intermediate that several later steps read.
+
+    The rows are written once as a parquet table under the shared checkpoint
+    folder (spark.checkpoint.dir) and read back: later plans scan it instead
+    of repeating its joins, a lost executor does not force a recompute from
+    the sources, and the planner sees the real size of the table (so its
+    broadcast decisions are size-checked). Unlike an eager ``checkpoint()``
+    the input is computed once."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int = 1,
@@ -30,18 +37,18 @@ def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int
     on the partition count. Two passes, no global window:
 
     1. range-partition the rows on the keys, sort inside each partition, tag
-       each row with its partition and position, and checkpoint (reliable, in
-       the shared checkpoint dir) so both passes see the same partitions;
+       each row with its partition and position, and stage the tagged rows
+       (a table in the shared checkpoint dir) so both passes see the same tags;
     2. count rows per partition (one row per partition), turn the counts into
        offsets (a frame bounded by the partition count, broadcast), add.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
-    k = (df.repartitionByRange(n, *keys)
-         .sortWithinPartitions(*keys)
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
+    # the tags are stored, so both passes read the same numbers
+    k = stage(df.repartitionByRange(n, *keys)
+              .sortWithinPartitions(*keys)
+              .withColumn("_mid", F.monotonically_increasing_id()))
     k = (k.withColumn("_pid", F.shiftrightunsigned("_mid", _IDX_BITS))
           .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1))))
     counts = k.groupBy("_pid").agg((F.max("_idx") + 1).alias("_n"))

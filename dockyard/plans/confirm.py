@@ -38,7 +38,10 @@ class ConfirmInputs:
 
 class ConfirmRun:
     """Lazily evaluated steps of one confirm job. Every attribute is a
-    DataFrame; nothing runs until a sink or an action asks for it."""
+    DataFrame; nothing runs until a sink or an action asks for it, except the
+    staged intermediates that several later steps read (accepted loads, units
+    after the will-call move, archived units, orders after the cross-load
+    close), which are written once to the shared checkpoint folder."""
 
     def __init__(self, t: ConfirmInputs, as_of=None):
         self.t = t
@@ -52,7 +55,7 @@ class ConfirmRun:
 
     @property
     def carriers(self):
-        return self._m("carriers", lambda: stage(C.load_carrier_class(self.t.orders)))
+        return self._m("carriers", lambda: C.load_carrier_class(self.t.orders))
 
     @property
     def not_loaded(self):
@@ -62,8 +65,14 @@ class ConfirmRun:
     def shipped(self):
         return self._m("shp", lambda: C.already_shipped(self.t.picks))
 
+    @staticmethod
+    def _stage_first(pair):
+        # accepted loads feed every later step: staged once; rejections are
+        # read by one output only
+        return stage(pair[0]), pair[1]
+
     def _split(self):
-        return self._m("split", lambda: tuple(stage(x) for x in C.reject_loads(
+        return self._m("split", lambda: self._stage_first(C.reject_loads(
             self.t.requests, self.not_loaded, self.shipped)))
 
     @property
@@ -76,8 +85,8 @@ class ConfirmRun:
 
     @property
     def shipments(self):
-        return self._m("shipments", lambda: stage(C.assign_shipments(
-            self.t.loads, self.t.shipments, self.accepted, self.as_of)))
+        return self._m("shipments", lambda: C.assign_shipments(
+            self.t.loads, self.t.shipments, self.accepted, self.as_of))
 
     @property
     def doors(self):
@@ -103,7 +112,7 @@ class ConfirmRun:
 
     @property
     def loads_closed(self):
-        return self._m("loads1", lambda: stage(C.close_load_rows(self.t.loads, self.accepted, "seal", self.as_of)))
+        return self._m("loads1", lambda: C.close_load_rows(self.t.loads, self.accepted, "seal", self.as_of))
 
     @property
     def picks_closed(self):
@@ -115,7 +124,7 @@ class ConfirmRun:
 
     @property
     def orders_closed(self):
-        return self._m("orders1", lambda: stage(C.close_order_rows(self.t.orders, self.accepted, self.as_of)))
+        return self._m("orders1", lambda: C.close_order_rows(self.t.orders, self.accepted, self.as_of))
 
     @property
     def orders_cross(self):

@@ -45,7 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        # local runs and tests only: a session without a shared folder
         d = tempfile.mkdtemp(prefix="dockyard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir() or d
     return d
