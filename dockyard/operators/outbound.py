@@ -126,8 +126,9 @@ def prior_load(cands: DataFrame, orders: DataFrame, loads: DataFrame) -> DataFra
     Only one load is excluded per candidate, so the two latest loads per
     address suffice. They come from two hash aggregates (partial, skew-safe)
     instead of a sort of each address's history."""
-    el = _eligible_loads(orders, loads)
     key = ["wh_id", *ADDR]
+    # only the addresses of this run's candidates matter
+    el = _eligible_loads(orders, loads).join(cands.select(*key).distinct(), key, "left_semi")
     top1 = el.groupBy(*key).agg(F.max("_k").alias("_t1"))
     top2 = (el.join(top1, key)
             .filter(F.col("_k") != F.col("_t1"))
@@ -140,9 +141,12 @@ def prior_load(cands: DataFrame, orders: DataFrame, loads: DataFrame) -> DataFra
 
 
 def shipped_units(picks: DataFrame, pick_masters: DataFrame, orders: DataFrame,
-                  containers: DataFrame) -> DataFrame:
+                  containers: DataFrame, loads: DataFrame | None = None) -> DataFrame:
     """Units with a shipped quantity in shipping containers, per order of a
-    non-transfer, non will-call order: (wh, load, order, customer, address, hu)."""
+    non-transfer, non will-call order: (wh, load, order, customer, address, hu).
+
+    ``loads`` (wh_id, load_id) restricts the scan to those loads' orders and
+    picks (the prior loads of a run), instead of the whole pick history."""
     pkm = pick_masters.select("pick_master_id", F.col("wh_id").alias("_pwh"), "container_type")
     con = F.broadcast(containers.filter(nz("shipping_container") == 1)
                       .select(F.col("wh_id").alias("_pwh"), "container_type"))
@@ -152,6 +156,9 @@ def shipped_units(picks: DataFrame, pick_masters: DataFrame, orders: DataFrame,
     o = (orders.filter((F.coalesce(F.col("order_type"), F.lit("")) != "TRANSFER")
                        & (carrier_suffix("carrier", 2) != "WC"))
          .select("wh_id", "order_number", "load_id", "customer_id", *ADDR))
+    if loads is not None:
+        o = o.join(loads.select(*LOAD).distinct(), LOAD, "left_semi")
+        pkd = pkd.join(o.select("wh_id", "order_number"), ["wh_id", "order_number"], "left_semi")
     return (pkd.join(pkm, "pick_master_id").join(con, ["_pwh", "container_type"])
             .join(o, ["wh_id", "order_number"])
             .select("wh_id", "load_id", "customer_id", *ADDR, "hu_id"))
@@ -194,6 +201,9 @@ def fallback_tote_count(cands: DataFrame, history: DataFrame, customers: DataFra
                   *[F.col(a).alias("cs_" + a) for a in ADDR], "shipped_qty"))
     cu = customers.select("customer_code", "customer_addr1", "customer_city", "customer_state",
                           "customer_zip")
+    # one row per (customer, day, shipped-to address) before any join
+    cs = (cs.groupBy("customer_code", "ship_date", *["cs_" + a for a in ADDR])
+          .agg(F.sum("shipped_qty").alias("shipped_qty")))
     h = cs.join(cu, "customer_code")
     ck = ["wh_id", "load_id", "order_number", "customer_id", *ADDR]
     zero = cands.filter(F.col("tote_count") == 0).select(*ck, "customer_code")

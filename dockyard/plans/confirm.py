@@ -55,15 +55,20 @@ class ConfirmRun:
 
     @property
     def carriers(self):
-        return self._m("carriers", lambda: C.load_carrier_class(self.t.orders))
+        # checks read only the requested loads' orders and picks
+        return self._m("carriers", lambda: C.load_carrier_class(self.t.orders, self.t.requests))
 
     @property
     def not_loaded(self):
-        return self._m("nfl", lambda: C.not_fully_loaded(self.t.picks, self.t.hus, self.carriers))
+        return self._m("nfl", lambda: C.not_fully_loaded(self._req_picks, self.t.hus, self.carriers))
 
     @property
     def shipped(self):
-        return self._m("shp", lambda: C.already_shipped(self.t.picks))
+        return self._m("shp", lambda: C.already_shipped(self._req_picks))
+
+    @property
+    def _req_picks(self):
+        return self.t.picks.join(self.t.requests.select(*C.LOAD).distinct(), C.LOAD, "left_semi")
 
     @staticmethod
     def _stage_first(pair):

@@ -96,12 +96,13 @@ class OutboundRun:
 
     @property
     def prior(self):
-        return self._m("prior", lambda: O.prior_load(self.candidates, self.t.orders, self.t.loads))
+        return self._m("prior", lambda: stage(O.prior_load(self.candidates, self.t.orders, self.t.loads)))
 
     @property
     def units(self):
+        prior_loads = self.prior.select("wh_id", F.col("prior_load_id").alias("load_id"))
         return self._m("units", lambda: O.shipped_units(
-            self.t.picks, self.t.pick_masters, self.t.orders, self.t.containers))
+            self.t.picks, self.t.pick_masters, self.t.orders, self.t.containers, prior_loads))
 
     @property
     def prior_counts(self):

@@ -151,12 +151,12 @@ def q_load_carrier_class(fx):
 
 @query("not_fully_loaded", _CHAIN + "SELECT wh_id, load_id, 'NOT FULLY LOADED' AS reason FROM nfl")
 def q_not_fully_loaded(fx):
-    return _run(fx).not_loaded
+    return C.not_fully_loaded(fx.f_pick, fx.f_hu, C.load_carrier_class(fx.f_order))
 
 
 @query("already_shipped", _CHAIN + "SELECT wh_id, load_id, 'LOAD ALREADY SHIPPED' AS reason FROM shp")
 def q_already_shipped(fx):
-    return _run(fx).shipped
+    return C.already_shipped(fx.f_pick)
 
 
 @query("reject_loads", _CHAIN + """
