@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockyard.functions.columns import code, nz, tsql_plus
+from dockyard.functions.columns import as_of_lit, code, nz, tsql_concat, tsql_plus
 from dockyard.functions.keys import assign_ids
-from dockyard.operators.messages import PHASE_RETURN
+from dockyard.operators.messages import (
+    COUNTRY, DEFAULT_SERVICE_INSTRUCTIONS, ORDER_TYPE_DESCRIPTION, ORDER_TYPE_NAME, PHASE_RETURN,
+    _fix_item_names, dt_text, ts_text, xml_text)
 
 MAX_UPCS = 10  # the message carries up to ten UPC barcodes per line
 RETURN_PURPOSES = ["Product Pickup", "18"]
@@ -115,14 +117,9 @@ def return_message_keys(selected: DataFrame) -> DataFrame:
 def return_messages(selected: DataFrame, rmas: DataFrame, customers: DataFrame,
                     rlines: DataFrame, ids: DataFrame, pending: DataFrame, whse: DataFrame,
                     system_name: str = "legacySystem", as_of=None) -> DataFrame:
-    """add / update return message per (load, RMA) with its open lines; the
-    reopen message comes from :func:`dockyard.operators.messages.po_reopen_messages`
-    style keys (sub 0) and is built here too."""
-    from dockyard.operators.messages import (
-        COUNTRY, DEFAULT_SERVICE_INSTRUCTIONS, ORDER_TYPE_DESCRIPTION, ORDER_TYPE_NAME,
-        _fix_item_names, ts_text, xml_text, dt_text)
-    from dockyard.functions.columns import as_of_lit, tsql_concat
-
+    """Messages of each selected (load, RMA): add, or reopen + update when the
+    RMA was sent before (keys from :func:`return_message_keys`), with its open
+    lines, up to ten UPC barcodes and the GTIN per line."""
     keys = ["wh_id", "load_id", "rma_number"]
     item = F.struct(
         F.lit("item").alias("_typeName"), F.col("class_id").alias("_typeDescription"),
