@@ -15,8 +15,9 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     queue = fx.d_import_queue.select("unique_id", "status", "xml_response")
     queue.filter("unique_id % 2 = 0").write.parquet(f"{root}/src/part=0")
     queue.filter("unique_id % 2 = 1").write.parquet(f"{root}/src/part=1")
+    # one file per micro-batch: the guards must also hold across batches
     q = start_import_stream(spark, f"{root}/src/*", fixture_tables(fx), f"{root}/out",
-                            f"{root}/ckpt")
+                            f"{root}/ckpt", max_files_per_trigger=1)
     q.awaitTermination(300)
     batch = InboundRun(InboundInputs.from_fixtures(fx))
     for table, attr in (("delivery_header", "pod_header"), ("delivery_detail", "detail"),
