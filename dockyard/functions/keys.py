@@ -13,6 +13,9 @@ from dockyard.session import checkpoint_dir
 
 _IDX_BITS = 33  # monotonically_increasing_id = (partition << 33) + row index
 
+# staged tables written by this process, removed by drop_staged()
+_STAGED: list[str] = []
+
 
 def stage(df: DataFrame) -> DataFrame:
     """Cut the lineage of an intermediate that several later steps read.
@@ -26,9 +29,20 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.parquet(path)
 
 
+def drop_staged(spark) -> None:
+    """Delete the staged tables this process wrote (call when the job's
+    outputs are written; frames that read them are invalid afterwards)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    while _STAGED:
+        p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        p.getFileSystem(conf).delete(p, True)
+
+
 def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int = 1,
                num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = start + rank of the row's key in ``keys`` order.

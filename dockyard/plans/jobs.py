@@ -2,18 +2,20 @@
 
 Outputs land under ``out_dir/<table>``; appended rows use :func:`append`,
 changed tables :func:`write_version`. All writes come after the chain is
-planned; each output is one Spark job over all loads / messages.
+planned; each output is one Spark job over all loads / messages. The staged
+intermediates of the run are deleted from the checkpoint folder at the end.
 """
 
 from __future__ import annotations
 
+from dockyard.functions.keys import drop_staged
 from dockyard.plans.confirm import ConfirmInputs, ConfirmRun
 from dockyard.plans.inbound import InboundInputs, InboundRun
 from dockyard.plans.outbound import OutboundInputs, OutboundRun
 from dockyard.sources.sinks import append, write_version
 
 
-def run_confirm(t: ConfirmInputs, out_dir: str, as_of=None) -> ConfirmRun:
+def run_confirm(t: ConfirmInputs, out_dir: str, as_of=None) -> None:
     """Ship-confirm all requested loads."""
     r = ConfirmRun(t, as_of)
     append(r.rejected, f"{out_dir}/confirm_rejections")
@@ -29,11 +31,11 @@ def run_confirm(t: ConfirmInputs, out_dir: str, as_of=None) -> ConfirmRun:
     append(r.audit, f"{out_dir}/tran_log")
     append(r.enqueue_wc.unionByName(r.enqueue_std), f"{out_dir}/load_queue_new")
     append(r.counted, f"{out_dir}/pod_shipments")
-    return r
+    drop_staged(r.accepted.sparkSession)
 
 
 def run_outbound(t: OutboundInputs, out_dir: str, as_of=None,
-                 system_name: str = "legacySystem") -> OutboundRun:
+                 system_name: str = "legacySystem") -> None:
     """Build and queue the messages of all pending loads."""
     r = OutboundRun(t, as_of, system_name)
     append(r.tote_log, f"{out_dir}/customer_totes")
@@ -43,10 +45,10 @@ def run_outbound(t: OutboundInputs, out_dir: str, as_of=None,
     write_version(new_pos, f"{out_dir}/po_master")
     write_version(new_backhauls, f"{out_dir}/po_backhaul")
     write_version(r.queue_done, f"{out_dir}/load_queue")
-    return r
+    drop_staged(r.pending.sparkSession)
 
 
-def run_import(t: InboundInputs, out_dir: str, as_of=None, signature_flag: int = 1) -> InboundRun:
+def run_import(t: InboundInputs, out_dir: str, as_of=None, signature_flag: int = 1) -> None:
     """Consume all pending inbound event documents."""
     r = InboundRun(t, as_of, signature_flag)
     append(r.totes, f"{out_dir}/tote_tracking")
@@ -55,4 +57,4 @@ def run_import(t: InboundInputs, out_dir: str, as_of=None, signature_flag: int =
     append(r.pod_header, f"{out_dir}/pod_header")
     append(r.detail, f"{out_dir}/pod_detail")
     write_version(r.queue_after, f"{out_dir}/import_queue")
-    return r
+    drop_staged(r.events.sparkSession)
