@@ -31,8 +31,39 @@ def op8_top_k(spark, sf_dir):
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+    from dockyard.llm.packing import pack_documents
+    packed = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048, 0)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op2_html_extract(spark, sf_dir):
+    from dockyard.llm.html_text import extract
+    return extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_language_id(spark, sf_dir):
+    from dockyard.llm.langid import fit, held_out, identify
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out()))
+    return (identify(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected"))
+
+
+def op10_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+    from dockyard.llm.bpe import decode, encode
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return decode(encode(_table(spark, sf_dir, "documents"), path), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_exact_dedup, op5_chat_format, op8_top_k)
+    f.__name__: f for f in (op1_best_fit_packing, op2_html_extract, op4_exact_dedup, op5_chat_format, op8_top_k,
+                            op9_language_id, op10_byte_bpe)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -80,3 +80,37 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     first = np.cumsum(lengths) - lengths
     return np.arange(total) + np.repeat(starts - first, lengths)
+
+
+class HashTable:
+    """64-bit keys to small integers: open addressing in numpy, whole arrays at a time."""
+
+    def __init__(self, room: int):
+        self._bits = max(10, int(room * 2).bit_length())
+        self._keys = np.zeros(1 << self._bits, np.uint64)
+        self._values = np.full(1 << self._bits, -1, np.int64)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys that are distinct and not there yet; the table must keep free slots."""
+        slot = self._slots(keys)
+        while len(keys):  # each round settles one key a free slot; the others move on
+            first = np.zeros(len(keys), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = first & (self._values[slot] == -1)
+            self._keys[slot[put]], self._values[slot[put]] = keys[put], values[put]
+            keys, values, slot = keys[~put], values[~put], (slot[~put] + 1) & ((1 << self._bits) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where it isn't there."""
+        slot = self._slots(keys)
+        out = self._values[slot]
+        todo = np.flatnonzero((self._keys[slot] != keys) & (out != -1))
+        while len(todo):
+            slot = (slot[todo] if len(slot) == len(keys) else slot) + 1 & ((1 << self._bits) - 1)
+            out[todo] = self._values[slot]
+            on = (self._keys[slot] != keys[todo]) & (out[todo] != -1)
+            todo, slot = todo[on], slot[on]
+        return out
