@@ -12,6 +12,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_dedup(spark, sf_dir):
+    from dockyard.llm.minhash import near_groups
+    return near_groups(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op4_exact_dedup(spark, sf_dir):
     from dockyard.llm.exact_dedup import exact_groups
     return exact_groups(_table(spark, sf_dir, "documents"), keep="max")
@@ -62,7 +67,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_html_extract, op4_exact_dedup, op5_chat_format, op8_top_k,
+    f.__name__: f for f in (op1_best_fit_packing, op2_html_extract, op3_minhash_dedup, op4_exact_dedup, op5_chat_format, op8_top_k,
                             op9_language_id, op10_byte_bpe)
 }
 
