@@ -70,6 +70,6 @@ def repeated_bytes(docs: list[tuple[int, str | None]], length: int = 50) -> dict
         for p in range(len(b) - length + 1):
             if first[b[p: p + length]] < i:
                 gone[p: p + length] = b"\1" * length
-        runs = len(re.findall(rb"\1+", bytes(gone)))
+        runs = len(re.findall(b"\x01+", bytes(gone)))
         out[i] = (len(b), sum(gone), runs, bytes(x for x, g in zip(b, gone) if not g))
     return out
