@@ -10,7 +10,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.tables import staged
+from dockyard.llm.tables import fresh, staged, tasks
+
+#: Rows of one hash that are compared in one task.
+PART = 1024
 
 
 def ascii_lower(text: Column) -> Column:
@@ -45,10 +48,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     narrow = staged(keyed.select("_id", "_hash", F.unhex(F.sha2("_text", 256)).alias("_sha")))
 
     groups = staged(narrow.groupBy("_hash").agg(best("_id").alias("_keep"), F.count(F.lit(1)).alias("_n")))
-    several = groups.filter("_n > 1").select("_hash")
-    members = keyed.join(several, "_hash", "left_semi")
-    mixed = staged(members.groupBy("_hash").agg(F.min("_text").alias("_a"), F.max("_text").alias("_b"))
-                   .filter("_a <> _b").select("_hash"))
+    several = groups.filter("_n > 1").select("_hash", "_n")
+    # a large group is compared in parts, and then part by part
+    salt = F.when(F.col("_n") > PART, F.pmod(F.xxhash64("_id"), F.ceil(F.col("_n") / PART))).otherwise(0)
+    members = keyed.join(several, "_hash").withColumn("_salt", salt).repartition(tasks(docs.sparkSession), "_hash", "_salt")
+    parts = staged(members.groupBy("_hash", "_salt", "_n").agg(F.min("_text").alias("_a"), F.max("_text").alias("_b"))
+                   .filter((F.col("_a") != F.col("_b")) | (F.col("_n") > PART)))
+    mixed = (parts.groupBy("_hash").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"))
+             .filter("_a <> _b").select("_hash"))
 
     plain = narrow.join(mixed, "_hash", "left_anti").join(groups, "_hash")
     collided = keyed.join(mixed, "_hash", "left_semi")
@@ -62,6 +69,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """``docs`` without the rows that :func:`exact_groups` drops; all columns stay."""
-    gone = exact_groups(docs, id_col, text_col, keep).filter("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    """``docs`` with one row of each group of :func:`exact_groups`; all columns stay.
+
+    Of rows that repeat both id and text, one (any) stays.
+    """
+    groups = staged(exact_groups(docs, id_col, text_col, keep).withColumnRenamed(id_col, "_id"))
+    ids = groups.groupBy("_id").agg(F.max("kept").alias("_any"), F.count(F.lit(1)).alias("_n"))
+    gone, sha = fresh(docs, "_gone"), fresh(docs, "_sha")
+    out = ids.filter("not _any").select(F.col("_id").alias(gone))
+    again = staged(ids.filter("_any and _n > 1").select(F.col("_id").alias(gone)))
+    if again.isEmpty():
+        return docs.join(out, docs[id_col].eqNullSafe(F.col(gone)), "left_anti")
+    # rows that share their id with others: those of a text that stays, once each
+    whole = docs.join(out.union(again), docs[id_col].eqNullSafe(F.col(gone)), "left_anti")
+    close = (docs.join(again, docs[id_col].eqNullSafe(F.col(gone)), "left_semi")
+             .withColumn(sha, F.sha2(ascii_lower(F.coalesce(text_col, F.lit(""))).cast("binary"), 256)))
+    kept = groups.filter("kept").select(F.col("_id").alias(gone), F.col("text_sha256").alias(sha + "_")).distinct()
+    stays = close.join(kept, close[id_col].eqNullSafe(F.col(gone)) & (F.col(sha) == F.col(sha + "_")), "left_semi")
+    return whole.unionByName(stays.dropDuplicates([id_col, sha]).select(*docs.columns))

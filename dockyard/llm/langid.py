@@ -187,3 +187,18 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 [*keep, "lang_pred", "score", "rejected"])
 
     return docs.select(*keep).mapInArrow(run, out)
+
+
+def drop_rejected(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that a model of ``docs`` itself rejects; all columns stay."""
+    model = fit(docs.filter(~held_out(id_col)), lang_col, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            keep = ~shared.value.predict(batch.column(at).to_pylist())[2]
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
 from dockyard.llm.rolling import Rolling, mix
-from dockyard.llm.tables import staged
+from dockyard.llm.tables import fresh, staged
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -206,6 +206,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
 
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the one document of each group that :func:`near_groups` keeps; all columns stay."""
-    gone = near_groups(docs, words, percent, id_col=id_col, text_col=text_col).filter("not kept").select(
-        F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    gone = fresh(docs, "_gone")
+    out = near_groups(docs, words, percent, id_col=id_col, text_col=text_col).filter("not kept").select(
+        F.col(id_col).alias(gone)).distinct()
+    return docs.join(out, F.col(id_col).cast("long") == F.col(gone), "left_anti")

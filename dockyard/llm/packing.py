@@ -156,6 +156,11 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """
     spark = pieces.sparkSession
     pieces = staged(pieces)
+    # a full piece is a sequence of its own; their ids are negative
+    full = pieces.filter(F.col("length") == capacity).select(
+        "_id", "piece", "start", "length", "ids",
+        (-1 - (F.col("_part").cast("long") * (1 << 36) + F.col("_rank"))).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    pieces = pieces.filter(F.col("length") < capacity)
     by_part = pieces.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     first = by_part.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
@@ -179,7 +184,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     return (ranked.join(p, (F.col("length") == F.col("_length")) & (F.col("_r") >= F.col("_lo")) & (F.col("_r") < F.col("_hi")))
             .select("_id", "piece", "start", "length", "ids",
                     (F.col("_seq") + F.expr("(_r - _lo) div _times")).alias("sequence_id"),
-                    (F.col("_at") + F.pmod(at, F.col("_times")) * F.col("length")).alias("offset")))
+                    (F.col("_at") + F.pmod(at, F.col("_times")) * F.col("length")).alias("offset"))
+            .unionByName(full))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,

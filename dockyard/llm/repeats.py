@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.rolling import BASES, Rolling, ragged, sliding_min
-from dockyard.llm.tables import staged, tasks
+from dockyard.llm.tables import fresh, staged, tasks
 
 _POSITION = np.uint64((1 << 26) - 1)
 _BLOCK = 1 << 19  # bytes hashed at once, so that the arrays stay in the processor's cache
@@ -249,27 +249,57 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 22, id_col: st
     An empty table gives an empty result; other columns aren't read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("_raw"))
-    spans = repeated_spans(own.filter("_id is not null"), length, gram)
-    gone = spans.groupBy(F.col("_id").alias("_of")).agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for raw, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if not spans:
-                    out.append((len(raw), 0, 0, raw))
-                    continue
-                step = np.zeros(len(raw) + 1, np.int32)
-                np.add.at(step, [x["s"] for x in spans], 1)
-                np.add.at(step, [x["e"] for x in spans], -1)
-                off = np.cumsum(step[:-1]) > 0
-                runs = int(off[0]) + int((off[1:] & ~off[:-1]).sum())
-                out.append((len(raw), int(off.sum()), runs, np.frombuffer(raw, np.uint8)[~off].tobytes()))
+            out = [_cut(raw, spans) for raw, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             n, removed, runs, kept = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
                 ["_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return (own.join(gone, F.col("_id") == F.col("_of"), "left").select("_id", "_raw", "_spans")
+    return (_with_spans(own, "_id", "_raw", length, gram).select("_id", "_raw", "_spans")
             .mapInArrow(cut, "_id long, n_bytes long, n_removed long, n_spans long, kept binary")
             .withColumnRenamed("_id", id_col))
+
+
+def drop_repeats(docs: DataFrame, length: int = 50, gram: int = 22, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the texts that :func:`remove_repeats` keeps; all rows and columns stay.
+
+    Bytes that are left of a character cut in two go as well. A null text
+    stays null. Where ``docs`` has ``n_chars``, it is counted anew.
+    """
+    spans = fresh(docs, "_spans")
+    columns = docs.columns
+    at = columns.index(text_col)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t if t is None or not s else _cut(t.encode(), s)[3].decode("utf-8", "ignore")
+                     for t, s in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))], columns)
+
+    out = _with_spans(docs, id_col, text_col, length, gram, spans).mapInArrow(cut, docs.schema)
+    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out
+
+
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, name: str = "_spans") -> DataFrame:
+    """``docs`` with the array of its spans (null: none) as the last column."""
+    raw = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("_raw"))
+    of = fresh(docs, "_of")
+    spans = repeated_spans(raw.filter("_id is not null"), length, gram)
+    gone = spans.groupBy(F.col("_id").alias(of)).agg(F.collect_list(F.struct("s", "e")).alias(name))
+    return docs.join(gone, F.col(id_col).cast("long") == F.col(of), "left").select(*docs.columns, name)
+
+
+def _cut(raw: bytes, spans: list | None) -> tuple[int, int, int, bytes]:
+    """(bytes, bytes removed, maximal removed runs, bytes kept)."""
+    if not spans:
+        return len(raw), 0, 0, raw
+    step = np.zeros(len(raw) + 1, np.int32)
+    np.add.at(step, np.minimum([x["s"] for x in spans], len(raw)), 1)
+    np.add.at(step, np.minimum([x["e"] for x in spans], len(raw)), -1)
+    off = np.cumsum(step[:-1]) > 0
+    runs = int(off[:1].sum()) + int((off[1:] & ~off[:-1]).sum())
+    return len(raw), int(off.sum()), runs, np.frombuffer(raw, np.uint8)[~off].tobytes()

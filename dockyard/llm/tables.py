@@ -42,3 +42,11 @@ def staged(df: DataFrame) -> DataFrame:
 def tasks(spark: SparkSession) -> int:
     """The session's shuffle partition count, which the user sizes with the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
