@@ -22,6 +22,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
+    r"|</?[a-zA-Z][^>]*+\Z"
     r"|<[!?/][^>]*+>"
     r"|[^<]++|<", re.S)
 _NAME = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
