@@ -30,6 +30,12 @@ def op5_chat_format(spark, sf_dir):
     return read_back(format_turns(turns.unionByName(extra)))
 
 
+def op6_line_dedup(spark, sf_dir):
+    from dockyard.llm.lines import drop_lines
+    return drop_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_suffix_dedup(spark, sf_dir):
     from dockyard.llm.repeats import remove_repeats
     cut = remove_repeats(_table(spark, sf_dir, "documents"), length=50)
@@ -73,7 +79,7 @@ def op10_byte_bpe(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_html_extract, op3_minhash_dedup, op4_exact_dedup, op5_chat_format, op7_suffix_dedup, op8_top_k,
+    f.__name__: f for f in (op1_best_fit_packing, op2_html_extract, op3_minhash_dedup, op4_exact_dedup, op5_chat_format, op6_line_dedup, op7_suffix_dedup, op8_top_k,
                             op9_language_id, op10_byte_bpe)
 }
 
