@@ -85,7 +85,7 @@ def _chunks(sizes: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]
 
 
 def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count: int = 14, band_rows: int = 5,
-                list_size: int = 24, hubs: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                list_size: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id, line, kept`` for every line that isn't blank (``line`` counts all lines of the text from 0).
 
     Two lines are linked when they are equal after :func:`normal`, or when the
@@ -158,18 +158,12 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([some[i]["node"] for i in keep], pa.int64()), _list(values, n)], ["node", "_full"])
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs)
-        need = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
-        per = need.groupBy("_id").agg(F.collect_list(F.struct("node", "line", "key")).alias("_want"))
-        sets = staged(own.join(per, own["_id"].eqNullSafe(per["_id"])).select("_text", "_want")
-                      .mapInArrow(full, "node long, _full array<long>").dropDuplicates(["node"]))
-        met = (pairs.join(sets.select(F.col("node").alias("a"), F.col("_full").alias("_fa")), "a")
-               .join(sets.select(F.col("node").alias("b"), F.col("_full").alias("_fb")), "b")
-               .withColumn("_i", F.size(F.array_intersect("_fa", "_fb"))))
-        return staged(met.filter(F.col("_i") * 100 >= (F.size("_fa") + F.size("_fb") - F.col("_i")) * percent).select("a", "b"))
-
-    groups = linked_groups(lists, percent, confirm, list_size, hubs)
+    def sets(need: DataFrame) -> DataFrame:
+        per = nodes.join(need, "node").groupBy("_id").agg(F.collect_list(F.struct("node", "line", "key")).alias("_want"))
+        return (own.join(per, own["_id"].eqNullSafe(per["_id"])).select("_text", "_want")
+                .mapInArrow(full, "node long, _full array<long>").dropDuplicates(["node"]))
+
+    groups = linked_groups(lists, percent, sets, list_size)
     labelled = nodes.join(groups, "node", "left").select("key", "_id", "line", F.coalesce("component", "node").alias("g"))
     stays = labelled.groupBy("g").agg(F.min(F.struct("_id", "line")).alias("_stay"))
     place = labelled.join(stays, "g").select("key", "_stay")

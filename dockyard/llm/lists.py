@@ -4,59 +4,132 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
 from dockyard.llm.tables import staged
 
+#: Members of a component, and documents held against it, that are compared in one task.
+BLOCK = 256
+#: Rounds of taking the largest component out of the long lists; what then is left meets pair by pair.
+ROUNDS = 3
+
 
 def similar_size(percent: int, a: str, b: str) -> Column:
     """Sets whose sizes differ more can't have a Jaccard similarity of ``percent`` per cent."""
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def linked_groups(lists: DataFrame, percent: int, confirm: Callable[[DataFrame], DataFrame],
-                  list_size: int, hubs: int) -> DataFrame:
-    """``node, component`` of every node that has a confirmed link.
+def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], DataFrame], list_size: int,
+                  promising: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+    """``node, component`` of every node with a Jaccard similarity of ``percent`` per cent or more to another.
 
     ``lists`` (written, with ``v, node, n``: list, member, size of its set)
-    brings together what may be similar; ``confirm`` takes pairs ``a, b`` and
-    returns those that are (written). Lists up to ``list_size`` give all their
-    pairs. In a longer list every member meets ``hubs`` hubs, drawn for that
-    list; then those that aren't in the list's largest component meet all
-    members of other components. So work stays linear where a long list is one
-    group of near copies, and no link between components is left out.
+    brings together what may be similar. ``sets`` gives ``node, _full`` (the
+    full set as an array) for a frame of nodes, ``promising`` may drop pairs
+    that can't be similar.
+
+    Lists up to ``list_size`` give all their pairs. In a longer list every
+    member meets one hub, the member that is in most long lists, as copies of
+    a text share more with it than with each other. What is linked forms
+    components. A member of a long list that isn't in the list's largest
+    component is then held against that whole component, in blocks and on full
+    sets, and the lists go on without it. So a long list of near copies costs
+    about its length, and no link between components is left out: members of
+    long lists that never form a large component meet pair by pair at the end.
     """
-    sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    small = lists.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
-    long_ = staged(lists.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"))
-
-    def pair(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
-        met = x.join(y, (F.col("xv") == F.col("yv")) & on & similar_size(percent, "na", "nb"))
-        return met.select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b"))
-
-    def left(df: DataFrame, *more: Column) -> DataFrame:
-        return df.select(F.col("v").alias("xv"), F.col("node").alias("xn"), F.col("n").alias("na"), *more)
-
-    def right(df: DataFrame, *more: Column) -> DataFrame:
-        return df.select(F.col("v").alias("yv"), F.col("node").alias("yn"), F.col("n").alias("nb"), *more)
-
-    drawn = long_.groupBy("v").agg(*[
-        F.min_by(F.struct("node", "n"), F.xxhash64("node", "v", F.lit(i))).alias(f"h{i}") for i in range(hubs)])
-    hub = drawn.select("v", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(hubs)]))).alias("h")).select("v", "h.node", "h.n")
-    pairs = pair(left(small), right(small), F.col("xn") < F.col("yn")).union(
-        pair(left(long_), right(hub), F.col("xn") != F.col("yn")))
-    links = confirm(pairs.distinct())
+    def exact(pairs: DataFrame) -> DataFrame:
+        near = staged(promising(pairs.distinct()))
+        full = staged(sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+        met = (near.join(full.select(F.col("node").alias("a"), F.col("_full").alias("_fa")), "a")
+               .join(full.select(F.col("node").alias("b"), F.col("_full").alias("_fb")), "b")
+               .withColumn("_i", F.size(F.array_intersect("_fa", "_fb"))))
+        total = F.size("_fa") + F.size("_fb") - F.col("_i")
+        return staged(met.filter(F.col("_i") * 100 >= total * percent).select("a", "b"))
+
+    def met_in(some: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(pairs of the short lists and of members with hubs of the long ones, the long lists)."""
+        sizes = some.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        short = some.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
+        long_ = staged(some.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"))
+        degree = long_.groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+        hub = (long_.join(degree, "node").groupBy("v")
+               .agg(F.max_by(F.struct("node", "n"), F.struct("d", F.xxhash64("node"), "node")).alias("h"))
+               .select("v", "h.node", "h.n"))
+        return _pairs(short, short, F.col("xn") < F.col("yn"), percent).union(
+            _pairs(long_, hub, F.col("xn") != F.col("yn"), percent)), long_
+
+    pairs, long_ = met_in(lists)
+    links = exact(pairs)
     groups = components(links)
+    for _ in range(ROUNDS):
+        torn = _torn(long_, groups)
+        if torn.isEmpty():
+            return groups
+        more = _against(torn.select(F.col("node").alias("d"), F.col("_main").alias("g")).distinct(), groups, sets, percent)
+        pairs, long_ = met_in(torn.select("v", "node", "n"))
+        links = staged(links.union(more).union(exact(pairs)))
+        groups = components(links)
+    torn = _torn(long_, groups, whole=True)
+    if torn.isEmpty():
+        return groups
+    return components(links.union(exact(_pairs(torn, torn, (F.col("xn") < F.col("yn")) & (F.col("xg") != F.col("yg")), percent))))
+
+
+def _pairs(x: DataFrame, y: DataFrame, on: Column, percent: int) -> DataFrame:
+    def side(df: DataFrame, s: str, n: str) -> DataFrame:
+        more = [F.col("g").alias(f"{s}g")] if "g" in df.columns else []
+        return df.select(F.col("v").alias(f"{s}v"), F.col("node").alias(f"{s}n"), F.col("n").alias(n), *more)
+
+    met = side(x, "x", "na").join(side(y, "y", "nb"), (F.col("xv") == F.col("yv")) & on & similar_size(percent, "na", "nb"))
+    return met.select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b"))
 
-    labelled = long_.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).select("v", "node", "n", "g")
+
+def _torn(long_: DataFrame, groups: DataFrame, whole: bool = False) -> DataFrame:
+    """Members of lists with several components that aren't in the largest (``whole``: all members of such lists)."""
+    labelled = long_.join(groups, "node", "left").select("v", "node", "n", F.coalesce("component", "node").alias("g"))
     main = (labelled.groupBy("v", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("v")
             .agg(F.max_by("g", F.struct("c", "g")).alias("_main"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1"))
-    torn = staged(labelled.join(main.select("v", "_main"), "v"))
-    rest = torn.filter("g <> _main")
-    if rest.isEmpty():
-        return groups
-    more = pair(left(rest, F.col("g").alias("gx")), right(torn, F.col("g").alias("gy")), F.col("gx") != F.col("gy"))
-    more = confirm(more.distinct())
-    return groups if more.isEmpty() else components(links.union(more))
+    out = labelled.join(main.select("v", "_main"), "v")
+    return staged(out if whole else out.filter("g <> _main"))
+
+
+def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """``a, b``: for each ``d, g`` of ``want`` one link, if there is any, of d to each block of component g's members."""
+    want = staged(want)
+    own = want.select("g").distinct()
+    members = groups.select("node", F.col("component").alias("g")).join(own, "g", "left_semi").union(
+        own.join(groups.select(F.col("node").alias("g")), "g", "left_anti").select(F.col("g").alias("node"), "g"))
+    members = staged(members.select("node", "g"))
+    cut = (members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"))
+           .join(want.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nc")), "g"))
+    full = staged(sets(members.select("node").union(want.select("d")).distinct()))
+
+    def cells(df: DataFrame, own_: str, count: str, other: str, others: str) -> DataFrame:
+        return (df.join(cut, "g").withColumn(own_, F.pmod(F.xxhash64("node"), F.col(count)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
+                .join(full, "node").select(*[F.col(x).alias(x) for x in ("g", "b", "c", "node", "_full")]))
+
+    left = cells(members, "b", "nb", "c", "nc")
+    right = cells(want.withColumnRenamed("d", "node"), "c", "nc", "b", "nb")
+
+    def first_link(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(x):
+            size = x["_full"].map(len).to_numpy()
+            values = np.concatenate(x["_full"].to_list())
+            of = np.repeat(np.arange(len(x)), size)
+            nodes = x["node"].to_numpy()
+            for node, own in zip(y["node"], y["_full"]):
+                own = np.sort(own)
+                at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                both = np.bincount(of[own[at] == values], minlength=len(x))
+                hit = np.flatnonzero((100 * both >= percent * (size + len(own) - both)) & (nodes != node))
+                if len(hit):
+                    out.append((min(node, nodes[hit[0]]), max(node, nodes[hit[0]])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return staged(left.groupBy("g", "b", "c").cogroup(right.groupBy("g", "b", "c")).applyInPandas(first_link, "a long, b long"))

@@ -13,10 +13,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.components import components
+from dockyard.llm.lists import linked_groups
 from dockyard.llm.rolling import Rolling, mix
 from dockyard.llm.tables import fresh, staged
 
@@ -108,11 +108,7 @@ def _full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "_id long, _full array<long>")
 
 
-def _similar_size(percent: int, a: str = "na", b: str = "nb") -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-
-
-def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, list_size: int = 24, hubs: int = 4,
+def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, list_size: int = 24,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -127,11 +123,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     rest works on one document per set. Of its retained values a document
     lists only the rarest: so many that two similar documents, whose sketches
     share well over half of their values (the chance of less is below 1e-7),
-    must meet in a list. Lists up to ``list_size`` give all their pairs. In a
-    longer list every document meets ``hubs`` hubs, drawn for that list; then
-    those that aren't in the list's largest component meet all members of
-    other components. So work stays linear where a long list is one group of
-    near copies, and no link between components is left out.
+    must meet in a list. :func:`linked_groups` compares what meets.
     """
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
     sk = staged(_sketches(own, words, k))
@@ -148,53 +140,21 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
              .withColumn("_take", F.size("_l") - overlap + 1)  # values of one document alone come first and need no list
              .filter("_take > 0")
              .select("node", "n", F.explode(F.slice("_l", F.lit(1), F.col("_take").cast("int"))["v"]).alias("v")))
-    lists = staged(lists)
-    sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    small = lists.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
-    long_ = staged(lists.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"))
-
-    def pair(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
-        return (x.join(y, on).select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b")))
-
-    x = small.select(F.col("v").alias("xv"), F.col("node").alias("xn"), F.col("n").alias("na"))
-    y = small.select(F.col("v").alias("yv"), F.col("node").alias("yn"), F.col("n").alias("nb"))
-    pairs = pair(x, y, (F.col("xv") == F.col("yv")) & (F.col("xn") < F.col("yn")) & _similar_size(percent))
-    drawn = long_.groupBy("v").agg(*[F.min_by(F.struct("node", "n"), F.xxhash64("node", "v", F.lit(i))).alias(f"h{i}") for i in range(hubs)])
-    hub = drawn.select(F.col("v").alias("yv"), F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(hubs)]))).alias("_h")).select(
-        "yv", F.col("_h.node").alias("yn"), F.col("_h.n").alias("nb"))
-    far = long_.select(F.col("v").alias("xv"), F.col("node").alias("xn"), F.col("n").alias("na"))
-    pairs = pairs.union(pair(far, hub, (F.col("xv") == F.col("yv")) & (F.col("xn") != F.col("yn")) & _similar_size(percent)))
-
-    def linked(found: DataFrame) -> DataFrame:
-        """Pairs that the union sketch lets through and the full sets confirm."""
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        """Pairs whose similarity, estimated from the sketch of the union, may be high enough."""
         sa = nodes.select(F.col("node").alias("a"), F.col("_sketch").alias("_sa"))
         sb = nodes.select(F.col("node").alias("b"), F.col("_sketch").alias("_sb"))
         union = F.slice(F.sort_array(F.array_union("_sa", "_sb")), 1, k)
         both = F.size(F.array_intersect(F.array_intersect("_sa", "_sb"), F.col("_u")))
-        near = staged(found.join(sa, "a").join(sb, "b").withColumn("_u", union)
-                      .filter(both >= F.size("_u") * (percent / 100 - 0.3)).select("a", "b"))
-        need = near.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-        full = staged(_full_sets(own.join(need, "_id", "left_semi").select("_id", "_text"), words))
-        met = (near.join(full.select(F.col("_id").alias("a"), F.col("_full").alias("_fa")), "a")
-               .join(full.select(F.col("_id").alias("b"), F.col("_full").alias("_fb")), "b")
-               .withColumn("_i", F.size(F.array_intersect("_fa", "_fb"))))
-        total = F.size("_fa") + F.size("_fb") - F.col("_i")
-        return staged(met.filter(F.col("_i") * 100 >= total * percent).select("a", "b"))
-
-    links = linked(pairs.distinct())
-    groups = components(links)
-    labelled = long_.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).select("v", "node", "n", "g")
-    main = (labelled.groupBy("v", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("v")
-            .agg(F.max_by("g", F.struct("c", "g")).alias("_main"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1"))
-    torn = staged(labelled.join(main.select("v", "_main"), "v"))
-    rest = torn.filter("g <> _main").select(F.col("v").alias("xv"), F.col("node").alias("xn"), F.col("n").alias("na"), F.col("g").alias("gx"))
-    all_ = torn.select(F.col("v").alias("yv"), F.col("node").alias("yn"), F.col("n").alias("nb"), F.col("g").alias("gy"))
-    if not rest.isEmpty():
-        more = pair(rest, all_, (F.col("xv") == F.col("yv")) & (F.col("gx") != F.col("gy")) & _similar_size(percent))
-        more = linked(more.distinct())
-        if not more.isEmpty():
-            groups = components(links.union(more))
+        return (pairs.join(sa, "a").join(sb, "b").withColumn("_u", union)
+                .filter(both >= F.size("_u") * (percent / 100 - 0.3)).select("a", "b"))
+
+    def sets(need: DataFrame) -> DataFrame:
+        some = own.join(need.withColumnRenamed("node", "_id"), "_id", "left_semi").select("_id", "_text")
+        return _full_sets(some, words).withColumnRenamed("_id", "node")
 
+    groups = linked_groups(staged(lists), percent, sets, list_size, promising)
     classes = reps.join(groups, F.col("_rep") == F.col("node"), "left").select(
         "_set", F.coalesce("component", "_rep").alias("component_id"))
     some = sk.filter("n > 0 and _id is not null").select("_id", "n", "_set").join(classes, "_set")

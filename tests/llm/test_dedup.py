@@ -43,7 +43,7 @@ def test_near_groups_odd_texts(spark, words):
     rows = odd_rows()
     df = odd_documents(spark)
     want = brute.near_components(rows, words, 80)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_groups(df, words, 80, list_size=3, hubs=1).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_groups(df, words, 80, list_size=3).collect()}
     assert got == want
     assert near_groups(df, words, 80).count() == df.count()
 
@@ -66,7 +66,7 @@ def test_near_groups_long_lists_are_whole(spark):
         rows.append((i, " ".join(passage + own)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute.near_components(rows, 2, 80)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_groups(df, 2, 80, list_size=4, hubs=1).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_groups(df, 2, 80, list_size=4).collect()}
     assert got == want and len({c for _, c in want.values()}) > 20
 
 

@@ -53,7 +53,7 @@ def rows_with_lines():
 def test_near_lines(spark):
     rows = rows_with_lines()
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for how in ({}, {"list_size": 2, "hubs": 1}):
+    for how in ({}, {"list_size": 2}):
         got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in drop_lines(df, **how).collect()}
         assert got == plain(rows)
 
