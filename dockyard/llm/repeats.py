@@ -26,7 +26,7 @@ from dockyard.llm.tables import fresh, staged, tasks
 
 _POSITION = np.uint64((1 << 26) - 1)
 _BLOCK = 1 << 19  # bytes hashed at once, so that the arrays stay in the processor's cache
-_FLUSH = 1 << 20  # records sorted at once inside a task
+_FLUSH = 1 << 19  # records sorted at once inside a task
 
 SPAN, RUN = 0, 1
 

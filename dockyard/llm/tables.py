@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,12 +31,14 @@ def staged(df: DataFrame) -> DataFrame:
 
     Later steps read the files instead of repeating the work, a lost executor
     costs no more than its own tasks, and the shuffle files of the steps
-    before can go (the JVM drops them when it collects the finished plan).
+    before can go: Spark drops them once the driver has collected the plans
+    that made them, which is asked for here.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
