@@ -4,6 +4,8 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,8 +15,8 @@ from dockyard.session import checkpoint_dir
 
 _IDX_BITS = 33  # monotonically_increasing_id = (partition << 33) + row index
 
-# staged tables written by this process, removed by drop_staged()
-_STAGED: list[str] = []
+# paths staged by the job or micro-batch that is running in this context
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -24,23 +26,33 @@ def stage(df: DataFrame) -> DataFrame:
     folder (spark.checkpoint.dir) and read back: later plans scan it instead
     of repeating its joins, a lost executor does not force a recompute from
     the sources, and the planner sees the real size of the table (so its
-    broadcast decisions are size-checked). Unlike an eager ``checkpoint()``
-    the input is computed once."""
+    broadcast decisions are size-checked). Inside :func:`staging` the table is
+    deleted at the end of the block; elsewhere it stays, as the frame that is
+    returned reads it."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STAGED.append(path)
+    mine = _STAGED.get()
+    if mine is not None:
+        mine.append(path)
     return spark.read.parquet(path)
 
 
-def drop_staged(spark) -> None:
-    """Delete the staged tables this process wrote (call when the job's
-    outputs are written; frames that read them are invalid afterwards)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    while _STAGED:
-        p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        p.getFileSystem(conf).delete(p, True)
+@contextmanager
+def staging(spark):
+    """Delete what the block stages when it ends, also when it fails. Frames
+    that read staged tables are invalid afterwards; blocks of other threads
+    keep their own lists."""
+    mine: list[str] = []
+    token = _STAGED.set(mine)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in mine:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
 def assign_ids(df: DataFrame, keys: list[str], out_col: str = "_seq", start: int = 1,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dockyard.functions.columns import as_of_lit, nz
 from dockyard.functions.keys import first_wins, first_wins_new, stage
-from dockyard.operators.replies import XML_OPTS, root_name
+from dockyard.operators.replies import XML_OPTS, result_node, root_name
 
 TIMEOUT_CODE = "41001"
 DELIVERABLE_TRIGGERS = ["OTA", "Finalize", "Web"]
@@ -25,26 +25,44 @@ WORKFLOW_NODES = ["Actual Qty", "Actual Cig Count", "Actual Snuff Count", "Actua
                   "Actual LilCig Count"]
 COUNT_COLS = ["tote_count", "cig_count", "snuff_count", "ecig_count", "lil_cig_count"]
 
-_S = "string"
+# Every element that a path walks through is an array: a path means all nodes
+# of that name, in document order, and a scalar is the first of them.
+_T = "array<string>"
+_REASON = f"array<struct<reasonCode: {_T}, reasonDescription: {_T}>>"
 EVENT_SCHEMA = (
-    "trigger struct<_type: string, centerNumber: string, "
-    "employee: struct<firstName: string, lastName: string, username: string>>, "
-    "orderStatusSummary struct<routeNumber: string, status: string, timestamp: string, "
-    "orderNumber: string, customerInfo: struct<customerNumber: string, customerName: string, "
-    "customerAddress: struct<addressLine1: string, city: string, state: string, zipCode: string, "
-    "country: string>>, serviceSummary: struct<serviceSummaryEntry: struct<purposeNumber: string>>, "
-    "orderItemStatusGroup: struct<recipient: struct<signature: string>, "
-    "orderItemStatusSummary: array<struct<lineNumber: string, description: string, status: string, "
-    "expectedQuantity: string, acceptedQuantity: string, scanned: string, serviceLevel: string, "
-    "purposeNumber: string, createdOnClient: struct<reason: struct<reasonCode: string, "
-    "reasonDescription: string>>, "
-    "adjustment: struct<adjustQuantity: string, reason: struct<reasonCode: string, "
-    "reasonDescription: string>>>>>>, "
-    "orderStatusDetail struct<visit: struct<service: struct<actualStart: string, actualEnd: string, "
-    "stopWorkflowData: array<struct<_name: string, _VALUE: string>>, "
-    "receipt: array<struct<_lineNumber: string, palletNumber: string>>>>>, "
+    f"trigger array<struct<_type: string, centerNumber: {_T}, "
+    f"employee: array<struct<firstName: {_T}, lastName: {_T}, username: {_T}>>>>, "
+    f"orderStatusSummary array<struct<routeNumber: {_T}, status: {_T}, timestamp: {_T}, "
+    f"orderNumber: {_T}, customerInfo: array<struct<customerNumber: {_T}, customerName: {_T}, "
+    f"customerAddress: array<struct<addressLine1: {_T}, city: {_T}, state: {_T}, zipCode: {_T}, "
+    f"country: {_T}>>>>, serviceSummary: array<struct<serviceSummaryEntry: array<struct<purposeNumber: {_T}>>>>, "
+    f"orderItemStatusGroup: array<struct<recipient: array<struct<signature: {_T}>>, "
+    f"orderItemStatusSummary: array<struct<lineNumber: {_T}, description: {_T}, status: {_T}, "
+    f"expectedQuantity: {_T}, acceptedQuantity: {_T}, scanned: {_T}, serviceLevel: {_T}, "
+    f"purposeNumber: {_T}, createdOnClient: array<struct<reason: {_REASON}>>, "
+    f"adjustment: array<struct<adjustQuantity: {_T}, reason: {_REASON}>>>>>>>>, "
+    f"orderStatusDetail array<struct<visit: array<struct<service: array<struct<actualStart: {_T}, "
+    "actualEnd: array<string>, stopWorkflowData: array<struct<_name: string, _VALUE: string>>, "
+    f"receipt: array<struct<_lineNumber: string, palletNumber: {_T}>>>>>>>>, "
     "result struct<resultType: string, errorCode: string, message: string>, "
     "message string, _corrupt_record string")
+ROOT = "orderStatusSummaryEvent"
+
+
+def nodes(c: Column, path: str) -> Column:
+    """All nodes of a slash path below the nodes ``c``, in document order."""
+    for name in path.split("/"):
+        c = F.flatten(F.filter(F.transform(c, _child(name)), lambda x: x.isNotNull()))
+    return c
+
+
+def _child(name: str):
+    return lambda x: x[name]
+
+
+def first_node(c: Column, path: str) -> Column:
+    """The first node of a path (NULL when there is none)."""
+    return F.try_element_at(nodes(c, path), F.lit(1))
 
 
 def _cut(c: Column, n: int) -> Column:
@@ -59,9 +77,10 @@ def pending_imports(queue: DataFrame) -> DataFrame:
 def parse_events(queue: DataFrame, col: str = "xml_response", stage_result: bool = True) -> DataFrame:
     """unique_id + ``ev`` (parsed struct) + ``root`` + ``malformed``; staged so
     later filters on parsed fields do not re-parse."""
-    p = (queue.select("unique_id", F.from_xml(F.col(col), EVENT_SCHEMA, XML_OPTS).alias("ev"),
-                      root_name(col).alias("root"))
-         .withColumn("malformed", F.coalesce(F.col("ev._corrupt_record").isNotNull(), F.lit(False))))
+    p = (queue.select("unique_id", F.col(col).alias("_xml"),
+                      F.from_xml(F.col(col), EVENT_SCHEMA, XML_OPTS).alias("ev"), root_name(col).alias("root"))
+         .withColumn("malformed", F.coalesce(F.col("ev._corrupt_record").isNotNull(), F.lit(False)))
+         .withColumn("result", result_node("_xml", F.col("ev.result"), F.col("malformed"))).drop("_xml"))
     return stage(p) if stage_result else p
 
 
@@ -69,29 +88,36 @@ def event_result(events: DataFrame) -> DataFrame:
     """failure result -> code:message (NULL if a part is NULL); else a root
     error -> its message; else NULL. The raw error code is kept. Text that is
     not XML (the reference cannot store it) is reported as an error."""
-    r = F.col("ev.result")
-    fail = F.lower(r["resultType"]) == "failure"
-    msg = (F.when(F.col("malformed"), F.lit(MALFORMED))
-           .when(fail, F.concat(r["errorCode"], F.lit(":"), r["message"]))
-           .when(F.col("root") == "error", F.col("ev.message")))
-    return events.select("unique_id", r["errorCode"].alias("error_code"), msg.alias("error_msg"),
-                         F.col("ev.trigger._type").alias("trigger_type"))
+    return events.select("unique_id", F.col("result.errorCode").alias("error_code"),
+                         _error().alias("error_msg"), trigger_type().alias("trigger_type"))
+
+
+def _error() -> Column:
+    r = F.col("result")
+    return (F.when(F.col("malformed"), F.lit(MALFORMED))
+            .when(F.lower(r["resultType"]) == "failure", F.concat(r["errorCode"], F.lit(":"), r["message"]))
+            .when(F.col("root") == "error", F.col("ev.message")))
+
+
+def trigger_type() -> Column:
+    """Type of the event's first trigger; NULL under a foreign root."""
+    types = F.filter(F.transform(F.col("ev.trigger"), lambda t: t["_type"]), lambda t: t.isNotNull())
+    return F.when(F.col("root") == ROOT, F.try_element_at(types, F.lit(1)))
 
 
 def deliverable_events(events: DataFrame) -> DataFrame:
-    """Events without error whose trigger is OTA, Finalize or Web."""
-    res = event_result(events)
-    ok = res.filter((F.coalesce(F.col("error_msg"), F.lit("")) == "")
-                    & F.col("trigger_type").isin(*DELIVERABLE_TRIGGERS)).select("unique_id")
-    return events.join(ok, "unique_id", "left_semi")
+    """Events (root element orderStatusSummaryEvent) without error whose
+    trigger is OTA, Finalize or Web."""
+    return events.filter((F.coalesce(_error(), F.lit("")) == "") & trigger_type().isin(*DELIVERABLE_TRIGGERS))
 
 
 def workflow_counts(events: DataFrame) -> DataFrame:
     """The five counts, each read at one of two adjacent node positions and
-    only when the node's name matches (tote: 1|2, cig: 2|3, snuff: 3|4,
+    only when the node's name matches; positions count over all visits and
+    services of the document (tote: 1|2, cig: 2|3, snuff: 3|4,
     ecig: 4|5, lil cig: 5|6). Non-numeric text gives NULL and sets
     ``parse_error`` (the reference fails the whole job, K18)."""
-    wf = F.col("ev.orderStatusDetail.visit.service.stopWorkflowData")
+    wf = nodes(F.col("ev.orderStatusDetail"), "visit/service/stopWorkflowData")
     cols, errs = [], []
     for i, (name, out) in enumerate(zip(WORKFLOW_NODES, COUNT_COLS)):
         a, b = F.try_element_at(wf, F.lit(i + 1)), F.try_element_at(wf, F.lit(i + 2))
@@ -107,37 +133,26 @@ def workflow_counts(events: DataFrame) -> DataFrame:
 
 def event_header(events: DataFrame) -> DataFrame:
     """Header fields of each event, cut to the reference's declared lengths."""
-    t, s = F.col("ev.trigger"), F.col("ev.orderStatusSummary")
-    ci = s["customerInfo"]
-    ad = ci["customerAddress"]
-    sv = F.col("ev.orderStatusDetail.visit.service")
-    return events.select(
-        "unique_id",
-        _cut(t["centerNumber"], 100).alias("pod_whse"),
-        _cut(s["routeNumber"], 30).alias("route"),
-        _cut(s["status"], 30).alias("status"),
-        _cut(s["timestamp"], 30).alias("order_timestamp"),
-        _cut(t["employee"]["firstName"], 200).alias("driver_first_name"),
-        _cut(t["employee"]["lastName"], 200).alias("driver_last_name"),
-        _cut(t["employee"]["username"], 200).alias("driver_username"),
-        _cut(s["orderNumber"], 30).alias("order_number"),
-        _cut(ci["customerNumber"], 20).alias("customer_code"),
-        _cut(ci["customerName"], 50).alias("customer_name"),
-        _cut(ad["addressLine1"], 50).alias("customer_addr"),
-        _cut(ad["city"], 30).alias("city"),
-        _cut(ad["state"], 3).alias("state"),
-        _cut(ad["zipCode"], 12).alias("zip"),
-        _cut(ad["country"], 5).alias("country"),
-        F.unbase64(s["orderItemStatusGroup"]["recipient"]["signature"]).alias("signature"),
-        _cut(s["serviceSummary"]["serviceSummaryEntry"]["purposeNumber"], 50).alias("purpose_number"),
-        _cut(sv["actualStart"], 30).alias("actual_start_time"),
-        _cut(sv["actualEnd"], 30).alias("actual_end_time"))
+    t, o, d = F.col("ev.trigger"), F.col("ev.orderStatusSummary"), F.col("ev.orderStatusDetail")
+    fields = [
+        ("pod_whse", t, "centerNumber", 100), ("route", o, "routeNumber", 30), ("status", o, "status", 30),
+        ("order_timestamp", o, "timestamp", 30), ("driver_first_name", t, "employee/firstName", 200),
+        ("driver_last_name", t, "employee/lastName", 200), ("driver_username", t, "employee/username", 200),
+        ("order_number", o, "orderNumber", 30), ("customer_code", o, "customerInfo/customerNumber", 20),
+        ("customer_name", o, "customerInfo/customerName", 50),
+        ("customer_addr", o, "customerInfo/customerAddress/addressLine1", 50),
+        ("city", o, "customerInfo/customerAddress/city", 30), ("state", o, "customerInfo/customerAddress/state", 3),
+        ("zip", o, "customerInfo/customerAddress/zipCode", 12),
+        ("country", o, "customerInfo/customerAddress/country", 5),
+        ("purpose_number", o, "serviceSummary/serviceSummaryEntry/purposeNumber", 50),
+        ("actual_start_time", d, "visit/service/actualStart", 30), ("actual_end_time", d, "visit/service/actualEnd", 30)]
+    signature = F.unbase64(first_node(o, "orderItemStatusGroup/recipient/signature")).alias("signature")
+    return events.select("unique_id", *[_cut(first_node(c, path), n).alias(out) for out, c, path, n in fields], signature)
 
 
 def resolve_warehouse(header: DataFrame, whse: DataFrame) -> DataFrame:
-    """Delivery warehouse code -> wh_id (the warehouse list is bounded by the
-    number of warehouses: broadcast)."""
-    w = F.broadcast(whse.select(F.col("pod_whse"), "wh_id"))
+    """Delivery warehouse code -> wh_id."""
+    w = whse.select(F.col("pod_whse"), "wh_id")
     return header.join(w, "pod_whse", "left")
 
 
@@ -145,10 +160,11 @@ def expected_counts(header: DataFrame, shipments: DataFrame) -> DataFrame:
     """Expected CIG / SNF / ECIG / LILCIG quantity of the event's order: the
     quantity of the exact type (CIGP / SNFP are not added, nothing is summed;
     with several rows the newest, by unique_id, wins)."""
-    order = F.col("unique_id") if "unique_id" in shipments.columns else F.col("uom_qty")
+    order = F.col("unique_id")
     types = {"CIG": "expected_cig_count", "SNF": "expected_snuff_count",
              "ECIG": "expected_ecig_count", "LILCIG": "expected_lil_cig_count"}
-    s = shipments.filter(F.col("product_type").isin(*types))
+    keys = header.select("wh_id", "order_number").distinct()
+    s = shipments.filter(F.col("product_type").isin(*types)).join(keys, ["wh_id", "order_number"], "left_semi")
     agg = s.groupBy("wh_id", "order_number").agg(*[
         F.max_by(F.when(F.col("product_type") == t, F.col("uom_qty")),
                  F.when(F.col("product_type") == t, order)).alias(c) for t, c in types.items()])
@@ -170,7 +186,8 @@ def tote_tracking(header: DataFrame, counts: DataFrame, customers: DataFrame,
     p = F.coalesce(F.col("purpose_number"), F.lit(""))
     h = (h.join(cu, "customer_code", "left_semi")
          .filter((p != "Product Pickup") & (p != "Backhaul")))
-    latest = (customer_totes.groupBy("wh_id", "customer_code")
+    latest = (customer_totes.join(h.select("wh_id", "customer_code").distinct(), ["wh_id", "customer_code"], "left_semi")
+              .groupBy("wh_id", "customer_code")
               .agg(F.max_by("tote_expected", "unique_id").alias("_exp")))
     unflagged = orders.filter(nz("tote_count_flag") == 0).select("order_number", "wh_id")
     h = (h.join(latest, ["wh_id", "customer_code"], "left")
@@ -183,6 +200,20 @@ def tote_tracking(header: DataFrame, counts: DataFrame, customers: DataFrame,
                           existing.select("order_number", "wh_id"))
 
 
+def receipt_status() -> Column:
+    """fulfilled -> COMPLETE, anything else (NULL as well) -> INCOMPLETE."""
+    return F.when(F.col("status") == "fulfilled", F.lit("COMPLETE")).otherwise(F.lit("INCOMPLETE"))
+
+
+def with_signatures(rows: DataFrame, control: DataFrame) -> DataFrame:
+    """``rows`` when the control row POD_SIGN_FLAG says 1, else none (also when
+    the row is missing). The flag is an aggregate without keys: one row."""
+    flag = control.filter(F.col("control_type") == "POD_SIGN_FLAG").agg(
+        F.coalesce(F.max(F.col("c1").try_cast("int")), F.lit(0)).alias("_flag"))
+    on = F.broadcast(flag.filter("_flag = 1"))
+    return rows.withColumn("_one", F.lit(1)).join(on, F.col("_one") == F.col("_flag"), "left_semi").drop("_one")
+
+
 def backhaul_receipts(header: DataFrame, pos: DataFrame, existing: DataFrame,
                       as_of=None) -> DataFrame:
     """Backhaul rows to append for Backhaul events: fulfilled -> COMPLETE,
@@ -197,8 +228,7 @@ def backhaul_receipts(header: DataFrame, pos: DataFrame, existing: DataFrame,
                     "driver_username", F.col("order_number").alias("po_number"),
                     F.col("customer_code").alias("vendor_code"),
                     F.col("customer_name").alias("vendor_name"),
-                    F.when(F.col("status") == "fulfilled", F.lit("COMPLETE"))
-                     .otherwise(F.lit("INCOMPLETE")).alias("status"),
+                    receipt_status().alias("status"),
                     "route", "order_timestamp", as_of_lit(as_of).alias("create_date"),
                     F.col("unique_id").alias("import_id")))
     done_today = (existing.filter(F.to_date("create_date") == today)
@@ -206,30 +236,35 @@ def backhaul_receipts(header: DataFrame, pos: DataFrame, existing: DataFrame,
     return first_wins_new(rows, ["wh_id", "po_number"], "import_id", done_today)
 
 
+def backhaul_pos_received(header: DataFrame) -> DataFrame:
+    """POs named by a Backhaul event (whether or not a receipt row was added)."""
+    return (header.filter((F.col("purpose_number") == "Backhaul") & F.col("order_number").isNotNull())
+            .select(F.col("order_number").alias("po_number")).distinct())
+
+
 def backhaul_po_update(pos: DataFrame, header: DataFrame) -> DataFrame:
-    """New PO version: received_by_airclic = 1 for POs named by a Backhaul
-    event (whether or not a receipt row was added)."""
-    got = (header.filter(F.col("purpose_number") == "Backhaul")
-           .select(F.col("order_number").alias("po_number")).distinct().withColumn("_g", F.lit(1)))
+    """New PO version: received_by_service = 1 for POs named by a Backhaul event."""
+    got = backhaul_pos_received(header).withColumn("_g", F.lit(1))
     cols = pos.columns
-    prev = F.col("received_by_airclic") if "received_by_airclic" in cols else F.lit(None).cast("int")
+    prev = F.col("received_by_service") if "received_by_service" in cols else F.lit(None).cast("int")
     out = pos.join(got, "po_number", "left").withColumn(
-        "received_by_airclic", F.when(F.col("_g") == 1, F.lit(1)).otherwise(prev))
-    return out.select(*cols, *([] if "received_by_airclic" in cols else ["received_by_airclic"]))
+        "received_by_service", F.when(F.col("_g") == 1, F.lit(1)).otherwise(prev))
+    return out.select(*cols, *([] if "received_by_service" in cols else ["received_by_service"]))
 
 
 def delivery_header(header: DataFrame, counts: DataFrame, expected: DataFrame,
-                    existing: DataFrame, signature_flag: int = 1, as_of=None) -> DataFrame:
-    """Report header rows to append (only when the signature setting is 1):
+                    existing: DataFrame, control: DataFrame, as_of=None) -> DataFrame:
+    """Report header rows to append (only when the signature control is 1):
     one per (order, warehouse), first event wins, none already in the table.
-    Counts and expected counts default to 0."""
-    if signature_flag != 1:
-        return header.limit(0)
+    Counts and expected counts default to 0. A Backhaul event carries the
+    status of its receipt, COMPLETE or INCOMPLETE (K19)."""
+    header = with_signatures(header, control)
     j = header.join(counts, "unique_id", "left").join(
         expected.drop("wh_id", "order_number"), "unique_id", "left")
     rows = j.select(
         "wh_id", as_of_lit(as_of).alias("create_date"), "route", "order_timestamp",
-        F.col("status").alias("order_status"), "driver_first_name", "driver_last_name",
+        F.when(F.col("purpose_number") == "Backhaul", receipt_status()).otherwise(F.col("status"))
+         .alias("order_status"), "driver_first_name", "driver_last_name",
         "order_number", "customer_code", "customer_name", "customer_addr", "city", "state",
         "zip", "country", F.col("signature").alias("customer_signature"),
         F.lit(0).alias("processed"), F.lit("").alias("processed_timestamp"),
@@ -242,32 +277,34 @@ def delivery_header(header: DataFrame, counts: DataFrame, expected: DataFrame,
 
 
 def event_items(events: DataFrame) -> DataFrame:
-    """Items of each event matched to its receipts by line number (the WHERE
-    of the reference makes the OUTER APPLY an inner match)."""
-    s = F.col("ev.orderStatusSummary.orderItemStatusGroup.orderItemStatusSummary")
-    r = F.col("ev.orderStatusDetail.visit.service.receipt")
-    items = events.select("unique_id", F.explode(s).alias("it"))
-    recs = events.select("unique_id", F.explode(r).alias("rc"))
-    items = items.select("unique_id", F.col("it.lineNumber").alias("_ln"), "it")
-    recs = recs.select("unique_id", F.col("rc._lineNumber").alias("_ln"), "rc")
-    j = items.join(recs, ["unique_id", "_ln"])
-    it = F.col("it")
-    scanned = F.lower(F.trim(it["scanned"]))
+    """Items of each event, over all its item groups, matched to its receipts,
+    over all visits and services, by line number (an inner match). Both lists
+    are in the event's row, so nothing is shuffled."""
+    items = nodes(F.col("ev.orderStatusSummary"), "orderItemStatusGroup/orderItemStatusSummary")
+    receipts = nodes(F.col("ev.orderStatusDetail"), "visit/service/receipt")
+    j = (events.select("unique_id", F.explode(items).alias("it"), receipts.alias("_rs"))
+         .withColumn("_ln", F.try_element_at("it.lineNumber", F.lit(1)))
+         .select("unique_id", "it", F.explode(F.filter("_rs", lambda r: r["_lineNumber"] == F.col("_ln"))).alias("rc")))
+
+    def one(path: str) -> Column:
+        return first_node(F.array(F.col("it")), path)
+
+    scanned = F.lower(F.trim(one("scanned")))
     return j.select(
         "unique_id",
-        _cut(F.col("rc.palletNumber"), 50).alias("container_id"),
-        _cut(it["lineNumber"], 20).alias("line_number"),
+        _cut(first_node(F.array(F.col("rc")), "palletNumber"), 50).alias("container_id"),
+        _cut(one("lineNumber"), 20).alias("line_number"),
         _cut(F.col("rc._lineNumber"), 20).alias("pod_line_number"),
-        _cut(it["description"], 200).alias("item_description"),
-        _cut(it["status"], 50).alias("item_status"),
-        it["expectedQuantity"].try_cast("int").alias("expected_qty"),
-        it["acceptedQuantity"].try_cast("int").alias("accepted_qty"),
+        _cut(one("description"), 200).alias("item_description"),
+        _cut(one("status"), 50).alias("item_status"),
+        one("expectedQuantity").try_cast("int").alias("expected_qty"),
+        one("acceptedQuantity").try_cast("int").alias("accepted_qty"),
         F.when(scanned.isin("true", "1"), F.lit(1)).when(scanned.isin("false", "0"), F.lit(0))
          .alias("scan_status"),
-        _cut(it["serviceLevel"], 50).alias("service_level"),
-        it["adjustment"]["adjustQuantity"].try_cast("int").alias("adjusted_qty"),
-        _cut(it["adjustment"]["reason"]["reasonCode"], 50).alias("reason_code"),
-        _cut(it["adjustment"]["reason"]["reasonDescription"], 250).alias("reason_description"))
+        _cut(one("serviceLevel"), 50).alias("service_level"),
+        one("adjustment/adjustQuantity").try_cast("int").alias("adjusted_qty"),
+        _cut(one("adjustment/reason/reasonCode"), 50).alias("reason_code"),
+        _cut(one("adjustment/reason/reasonDescription"), 250).alias("reason_description"))
 
 
 def normalise_items(items: DataFrame) -> DataFrame:

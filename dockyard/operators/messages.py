@@ -72,7 +72,7 @@ def message_keys(pending: DataFrame, orders: DataFrame, pos: DataFrame, pallets:
         *LOAD, F.lit(PHASE_ORDER).alias("phase"), F.col("order_number").alias("msg_key"),
         F.lit(0).alias("sub"), "order_number",
         F.lit("addOrderAndCustomerRequest").alias("message_type"))
-    ph = pos.groupBy(*LOAD, "po_number").agg(F.max("sent_to_airclic").alias("_sent"))
+    ph = pos.groupBy(*LOAD, "po_number").agg(F.max("sent_to_service").alias("_sent"))
     po_main = ph.select(*LOAD, F.lit(PHASE_PO).alias("phase"), F.col("po_number").alias("msg_key"),
                         F.lit(1).alias("sub"), F.col("po_number").alias("order_number"),
                         F.when(F.col("_sent") == 1, F.lit("updateOrderAndCustomerRequest"))

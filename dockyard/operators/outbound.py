@@ -293,7 +293,7 @@ def backhaul_pos(pending: DataFrame, stops: DataFrame, pos: DataFrame, po_lines:
     return (j.join(pl, ["po_number", "po_wh_id"])
             .select(*LOAD, "po_number", "po_wh_id", "vendor_code",
                     F.col("po_stop").alias("stop_id"), "route_id", "line_number",
-                    "item_number", F.col("sent_flag").alias("sent_to_airclic")))
+                    "item_number", F.col("sent_flag").alias("sent_to_service")))
 
 
 # --------------------------------------------------------------------------
@@ -491,7 +491,7 @@ def po_state_update(pos: DataFrame, backhauls: DataFrame, po: DataFrame) -> tupl
     """(pos, backhauls) after sending: sent flag 1 on every PO handled; backhaul
     rows of POs that were sent before (resent now) become SENT."""
     handled = po.select("po_number").distinct().withColumn("_h", F.lit(1))
-    resent = (po.filter(F.col("sent_to_airclic") == 1).select("po_number").distinct()
+    resent = (po.filter(F.col("sent_to_service") == 1).select("po_number").distinct()
               .withColumn("_r", F.lit(1)))
     pcols, bcols = pos.columns, backhauls.columns
     new_pos = (pos.join(handled, "po_number", "left")

@@ -29,10 +29,42 @@ def root_name(xml) -> Column:
     return F.regexp_extract(col, r"<(?:[A-Za-z_][\w.-]*:)?([A-Za-z_][\w.-]*)", 1)
 
 
+def result_node(xml, parsed: Column, malformed: Column) -> Column:
+    """The last ``result`` element at any depth as a struct.
+
+    The usual place, a single one under the root, is in the parsed document;
+    only other documents are searched by XPath (prefixes are dropped first:
+    the XPath functions don't know namespaces)."""
+    col = F.col(xml) if isinstance(xml, str) else xml
+    n = F.regexp_count(col, F.lit(r"<(?:[A-Za-z_][\w.-]*:)?result[\s/>]"))
+    plain = F.regexp_replace(col, r"(</?)[A-Za-z_][\w.-]*:", "$1")
+    last = "(//result)[last()]"
+
+    def part(name: str) -> Column:
+        return F.when(F.xpath_boolean(plain, F.lit(f"boolean({last}/{name})")),
+                      F.xpath_string(plain, F.lit(f"{last}/{name}")))
+
+    searched = F.struct(part("resultType").alias("resultType"), part("errorCode").alias("errorCode"),
+                        part("message").alias("message"))
+    return F.when(malformed | (n == 0), F.lit(None)).when((n > 1) | parsed.isNull(), searched).otherwise(parsed)
+
+
 def parse_replies(replies: DataFrame, col: str = "response_xml") -> DataFrame:
-    """Adds ``_reply`` (parsed struct) and ``_root`` (root element name)."""
-    return (replies.withColumn("_reply", F.from_xml(F.col(col), REPLY_SCHEMA, XML_OPTS))
-            .withColumn("_root", root_name(col)))
+    """Adds ``_reply`` (parsed struct), ``_root`` (root element name) and
+    ``_result`` (the result element, at any depth)."""
+    p = (replies.withColumn("_reply", F.from_xml(F.col(col), REPLY_SCHEMA, XML_OPTS))
+         .withColumn("_root", root_name(col)))
+    bad = F.coalesce(F.col("_reply._corrupt_record").isNotNull(), F.lit(False))
+    return p.withColumn("_result", result_node(col, F.col("_reply.result"), bad))
+
+
+def _protocol_error() -> Column:
+    return F.when(F.col("_root") == "error", F.left(F.col("_reply.message"), F.lit(500)))
+
+
+def _result_error() -> Column:
+    r = F.col("_result")
+    return F.when(F.lower(r["resultType"]) == "failure", F.concat(r["errorCode"], F.lit(":"), r["message"]))
 
 
 def pending_messages(queue: DataFrame) -> DataFrame:
@@ -69,10 +101,7 @@ def pallet_resend(queue: DataFrame) -> DataFrame:
 def protocol_errors(replies: DataFrame) -> DataFrame:
     """Root error/message of each reply, cut to 500 characters (NULL when the
     root is not ``error``)."""
-    p = parse_replies(replies)
-    return p.select("unique_id",
-                    F.when(p["_root"] == "error", F.left(p["_reply.message"], F.lit(500)))
-                    .alias("protocol_error"))
+    return parse_replies(replies).select("unique_id", _protocol_error().alias("protocol_error"))
 
 
 def retry_plan(queue: DataFrame, replies: DataFrame, max_retries: int = DEFAULT_MAX_RETRIES) -> DataFrame:
@@ -88,12 +117,10 @@ def retry_plan(queue: DataFrame, replies: DataFrame, max_retries: int = DEFAULT_
 def reply_result(replies: DataFrame) -> DataFrame:
     """code:message when the result type is failure (any case), else NULL;
     NULL as well when either part is NULL (T-SQL ``+``)."""
-    p = parse_replies(replies)
-    r = p["_reply.result"]
-    fail = F.lower(r["resultType"]) == "failure"
-    msg = F.when(fail, F.concat(r["errorCode"], F.lit(":"), r["message"]))
-    return p.select("unique_id", r["resultType"].alias("result_type"),
-                    r["errorCode"].alias("error_code"), msg.alias("error_msg"))
+    r = F.col("_result")
+    return parse_replies(replies).select("unique_id", r["resultType"].alias("result_type"),
+                                         r["errorCode"].alias("error_code"),
+                                         _result_error().alias("error_msg"))
 
 
 def message_status(queue: DataFrame, replies: DataFrame, as_of=None) -> DataFrame:
@@ -103,11 +130,12 @@ def message_status(queue: DataFrame, replies: DataFrame, as_of=None) -> DataFram
     K2: as in the reference a protocol error left after the retries does not
     make the status 3 (the result check overwrites it); it is kept in the
     extra ``protocol_error`` column."""
-    res = reply_result(replies).select("unique_id", F.col("error_msg").alias("_err"))
-    pe = protocol_errors(replies)
-    rp = replies.select("unique_id", F.col("response_xml").alias("_resp"), "ms_elapsed",
-                        (F.col("attempts") - 1).alias("_retries"), F.lit(True).alias("_hit"))
-    j = queue.join(rp.join(res, "unique_id").join(pe, "unique_id"), "unique_id", "left")
+    # one parse of each reply, one join to the queue
+    rp = parse_replies(replies).select(
+        "unique_id", F.col("response_xml").alias("_resp"), "ms_elapsed",
+        (F.col("attempts") - 1).alias("_retries"), _result_error().alias("_err"),
+        _protocol_error().alias("protocol_error"), F.lit(True).alias("_hit"))
+    j = queue.join(rp, "unique_id", "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     cols = [c for c in queue.columns]
     out = (j.withColumn("queue_status", F.when(hit, F.when(F.coalesce(F.col("_err"), F.lit("")) == "",

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from dockyard.functions.columns import as_of_lit, code, nz, tsql_concat, tsql_plus
 from dockyard.functions.keys import assign_ids
+from dockyard.operators.inbound import first_node
 from dockyard.operators.messages import (
     COUNTRY, DEFAULT_SERVICE_INSTRUCTIONS, ORDER_TYPE_DESCRIPTION, ORDER_TYPE_NAME, PHASE_RETURN,
     _fix_item_names, dt_text, ts_text, xml_text)
 
-MAX_UPCS = 10  # the message carries up to ten UPC barcodes per line
+UPC_SLOTS = 10  # fixed value: the message has ten UPC elements per line
 RETURN_PURPOSES = ["Product Pickup", "18"]
 DEFAULT_RMA_PREFIX = "RTN"
 
@@ -42,24 +43,30 @@ def open_returns(rmas: DataFrame, lines: DataFrame, routes: DataFrame, shipped:
             .agg(F.min("stop_id").alias("stop_id")))
     p = pending.select("wh_id", "load_id", "route_id")
     rt = routes.select("wh_id", F.col("route").alias("_route")).distinct()
-    served = cust.join(p, ["wh_id", "load_id"])
-    ok = (served.join(rt, "wh_id")
-          .filter((F.col("_route") == F.col("route_id")) | (F.col("_route") == "ALL"))
+    # the OR as two equi-joins: the load's own route, or a warehouse that lists ALL
+    own = (p.withColumnRenamed("route_id", "_route").join(rt, ["wh_id", "_route"], "left_semi")
+           .select("wh_id", "load_id"))
+    every = p.join(rt.filter(F.col("_route") == "ALL").select("wh_id"), "wh_id", "left_semi").select("wh_id", "load_id")
+    ok = (cust.join(own.union(every).distinct(), ["wh_id", "load_id"], "left_semi")
           .select("wh_id", "load_id", "customer_code", "stop_id").distinct())
     return (r.join(ok, ["wh_id", "customer_code"])
             .select("wh_id", "load_id", "rma_number", "customer_code", "stop_id",
-                    nz("sent_flag").alias("sent_to_airclic")))
+                    nz("sent_flag").alias("sent_to_service")))
 
 
-def return_upcs(lines: DataFrame, upcs: DataFrame) -> DataFrame:
-    """Up to ten distinct UPCs per (warehouse, item) on return lines, ranked by
-    upc descending. UPCs per item are few, so the ranking window is small."""
+def return_upcs(lines: DataFrame, upcs: DataFrame, slots: int = UPC_SLOTS) -> DataFrame:
+    """Distinct UPCs per (warehouse, item) on return lines, ranked by upc
+    descending, as many as the message has ``slots`` for; ``n_left_out`` says
+    how many more the item has. UPCs per item are few, so the ranking window
+    is small."""
     items = lines.select("wh_id", "item_number").distinct()
     u = upcs.select("wh_id", "item_number", "upc").distinct().join(items, ["wh_id", "item_number"],
                                                                    "left_semi")
     w = Window.partitionBy("wh_id", "item_number").orderBy(F.col("upc").desc())
+    n = F.count(F.lit(1)).over(Window.partitionBy("wh_id", "item_number"))
     return (u.withColumn("rownum", F.row_number().over(w))
-            .filter(F.col("rownum") <= MAX_UPCS))
+            .withColumn("n_left_out", F.greatest(n - slots, F.lit(0)).cast("int"))
+            .filter(F.col("rownum") <= slots))
 
 
 def return_gtins(rmas: DataFrame, customers: DataFrame, lines: DataFrame,
@@ -106,9 +113,9 @@ def return_message_keys(selected: DataFrame) -> DataFrame:
     main = selected.select(
         "wh_id", "load_id", F.col("rma_number").alias("msg_key"), F.lit(1).alias("sub"),
         F.col("rma_number").alias("order_number"),
-        F.when(F.col("sent_to_airclic") == 1, F.lit("updateOrderAndCustomerRequest"))
+        F.when(F.col("sent_to_service") == 1, F.lit("updateOrderAndCustomerRequest"))
          .otherwise(F.lit("addOrderAndCustomerRequest")).alias("message_type"))
-    reopen = selected.filter(F.col("sent_to_airclic") == 1).select(
+    reopen = selected.filter(F.col("sent_to_service") == 1).select(
         "wh_id", "load_id", F.col("rma_number").alias("msg_key"), F.lit(0).alias("sub"),
         F.col("rma_number").alias("order_number"), F.lit("reopenOrderRequest").alias("message_type"))
     return main.unionByName(reopen).withColumn("phase", F.lit(PHASE_RETURN))
@@ -222,18 +229,19 @@ def return_intake(items: DataFrame, header: DataFrame, reasons: DataFrame, upcs:
     then by item number, then (adjustments) by the picked unit or line of
     the order; the GS1 barcode parse is not built. Lines without an RMA get a
     new RMA per (message, order, warehouse): prefix (control RMA_NUMBER, else
-    RTN) + a number from the id assigner, and line numbers n||'000' per item.
+    RTN) + a number from the id assigner after the highest existing one, and line numbers n||'000' per item.
     """
+    one = lambda path: first_node(F.array(F.col("it")), path)
     it = items.select(
-        "unique_id", F.col("it.lineNumber").alias("line_number"),
-        F.col("it.acceptedQuantity").try_cast("int").alias("qty_accepted"),
-        F.col("it.expectedQuantity").try_cast("int").alias("qty_expected"),
-        F.col("it.createdOnClient.reason.reasonCode").alias("reason_code"),
-        F.col("it.createdOnClient.reason.reasonDescription").alias("reason_description"),
-        F.col("it.purposeNumber").alias("purpose_number"),
-        F.col("it.adjustment.adjustQuantity").try_cast("int").alias("adjust_qty"),
-        F.col("it.adjustment.reason.reasonCode").alias("adjust_reason_code"),
-        F.col("it.adjustment.reason.reasonDescription").alias("adjust_reason_description"))
+        "unique_id", one("lineNumber").alias("line_number"),
+        one("acceptedQuantity").try_cast("int").alias("qty_accepted"),
+        one("expectedQuantity").try_cast("int").alias("qty_expected"),
+        one("createdOnClient/reason/reasonCode").alias("reason_code"),
+        one("createdOnClient/reason/reasonDescription").alias("reason_description"),
+        one("purposeNumber").alias("purpose_number"),
+        one("adjustment/adjustQuantity").try_cast("int").alias("adjust_qty"),
+        one("adjustment/reason/reasonCode").alias("adjust_reason_code"),
+        one("adjustment/reason/reasonDescription").alias("adjust_reason_description"))
     conv = (F.col("adjust_qty") < 0) & (F.col("purpose_number") != "Product Pickup")
     conv = F.coalesce(conv, F.lit(False))
     os_ = (it.withColumn("_c", conv)
@@ -249,12 +257,12 @@ def return_intake(items: DataFrame, header: DataFrame, reasons: DataFrame, upcs:
     h = header.select("unique_id", "wh_id", "order_number", "customer_code", "customer_name")
     os_ = os_.join(h, "unique_id")
     rs = (reasons.filter(code("type") == "RETURNS").select(F.col("reason_id").alias("reason_code"))
-          .distinct().withColumn("hj_reason_code", F.col("reason_code")))
+          .distinct().withColumn("host_reason_code", F.col("reason_code")))
     os_ = os_.join(rs, "reason_code", "left")
     known = rmas.select(F.col("rma_number").alias("order_number"), "wh_id").distinct() \
                 .withColumn("_rma", F.col("order_number"))
     os_ = (os_.join(known, ["order_number", "wh_id"], "left")
-           .filter(F.col("hj_reason_code").isNotNull() | F.col("_rma").isNotNull()))
+           .filter(F.col("host_reason_code").isNotNull() | F.col("_rma").isNotNull()))
     # item lookups for ad hoc lines: by UPC, then by item number
     by_upc = (upcs.groupBy("wh_id", F.col("upc").alias("line_number"))
               .agg(F.min_by(F.struct("item_number", "uom"), F.struct("item_number", "uom")).alias("_u")))
@@ -286,19 +294,25 @@ def return_intake(items: DataFrame, header: DataFrame, reasons: DataFrame, upcs:
                                                 found["item_number"]).otherwise(F.col("item_number")))
               .withColumn("uom", F.when(F.coalesce(need, F.lit(False)) & unique_unit, found["uom"])
                           .otherwise(F.col("uom"))))
-    new = os_.filter(F.col("_rma").isNull() & F.col("hj_reason_code").isNotNull()
+    new = os_.filter(F.col("_rma").isNull() & F.col("host_reason_code").isNotNull()
                      & F.col("item_number").isNotNull())
     prefix = F.lit(DEFAULT_RMA_PREFIX)
     if wh_control is not None:
-        pf = F.broadcast(wh_control.filter(code("control_type") == "RMA_NUMBER")
-                         .select("wh_id", F.col("c1").alias("_pf")))
+        pf = (wh_control.filter(code("control_type") == "RMA_NUMBER")
+              .select("wh_id", F.col("c1").alias("_pf")))
         new = new.join(pf, "wh_id", "left")
         prefix = F.coalesce(F.col("_pf"), prefix)
     new = new.withColumn("_prefix", prefix)
     heads = new.select("unique_id", "wh_id", "order_number", "_prefix").distinct()
     heads = assign_ids(heads, ["wh_id", "order_number", "unique_id"], "_seq")
-    heads = heads.withColumn("rma_number", F.concat(F.col("_prefix"),
-                                                    F.right(F.concat(F.lit("000"), F.col("_seq").cast("string")), F.lit(7))))
+    # numbers go on after the highest one of the prefix, and are padded but never cut
+    parts = F.regexp_extract(F.rtrim("rma_number"), r"^(.*?)([0-9]+)$", 1), F.regexp_extract(F.rtrim("rma_number"), r"^(.*?)([0-9]+)$", 2)
+    last = (rmas.select(parts[0].alias("_prefix"), parts[1].try_cast("bigint").alias("_n"))
+            .groupBy("_prefix").agg(F.max("_n").alias("_last")))
+    heads = heads.join(last, "_prefix", "left")
+    number = (F.coalesce(F.col("_last"), F.lit(0)) + F.col("_seq")).cast("string")
+    heads = heads.withColumn("rma_number", F.concat(
+        F.col("_prefix"), F.when(F.length(number) >= 7, number).otherwise(F.right(F.concat(F.lit("000"), number), F.lit(7)))))
     new = new.join(heads.select("unique_id", "wh_id", "order_number", "rma_number"),
                    ["unique_id", "wh_id", "order_number"])
     itm = new.select("rma_number", "wh_id", "item_number").distinct()
@@ -307,7 +321,7 @@ def return_intake(items: DataFrame, header: DataFrame, reasons: DataFrame, upcs:
     return new.join(itm, ["rma_number", "wh_id", "item_number"]).select(
         "unique_id", "rma_number", "wh_id", "order_number", "customer_code", "customer_name",
         F.col("new_line").alias("line_number"), F.col("line_number").alias("reported_line"),
-        "item_number", "uom", "upc", "qty_expected", "qty_accepted", "hj_reason_code",
+        "item_number", "uom", "upc", "qty_expected", "qty_accepted", "host_reason_code",
         "reason_description", "purpose_number")
 
 
@@ -316,9 +330,9 @@ def return_intake_detail(intake: DataFrame, uoms: DataFrame) -> DataFrame:
     factor per new line."""
     iu = uoms.select("wh_id", "item_number", "uom", "conversion_factor")
     return (intake.join(iu, ["wh_id", "item_number", "uom"])
-            .groupBy("rma_number", "wh_id", "line_number", "item_number", "uom", "hj_reason_code",
+            .groupBy("rma_number", "wh_id", "line_number", "item_number", "uom", "host_reason_code",
                      "conversion_factor")
             .agg((F.sum("qty_expected") * F.col("conversion_factor")).cast("bigint").alias("qty"))
             .select("rma_number", "wh_id", "line_number", "item_number", "uom", "qty",
-                    F.col("hj_reason_code").alias("reason_code"),
-                    F.lit(0).alias("miss_picked_item"), F.lit(1).alias("rcvd_by_airclic")))
+                    F.col("host_reason_code").alias("reason_code"),
+                    F.lit(0).alias("miss_picked_item"), F.lit(1).alias("received_by_service")))

@@ -2,7 +2,7 @@
 
 The same function serves batch runs and streaming micro-batches (see
 :mod:`dockyard.streaming.imports`): every guard reads its target table inside
-the batch, so a replayed batch adds nothing.
+the batch.
 """
 
 from __future__ import annotations
@@ -37,14 +37,14 @@ class InboundInputs:
                    customers=lambda: fx.f_customer, customer_totes=lambda: fx.f_customer_totes,
                    orders=lambda: fx.f_order, tote_tracking=lambda: fx.f_tote_tracking,
                    pos=lambda: fx.f_po, backhaul_log=lambda: fx.f_backhaul_log,
-                   pod_header=lambda: fx.f_pod_header, pod_detail=lambda: fx.f_pod_detail)
+                   pod_header=lambda: fx.f_pod_header, pod_detail=lambda: fx.f_pod_detail,
+                   control=lambda: fx.f_control)
 
 
 class InboundRun:
-    def __init__(self, t: InboundInputs, as_of=None, signature_flag: int = 1):
+    def __init__(self, t: InboundInputs, as_of=None):
         self.t = t
         self.as_of = as_of
-        self.signature_flag = signature_flag
         self._memo: dict[str, DataFrame] = {}
 
     def _m(self, k, f):
@@ -95,10 +95,14 @@ class InboundRun:
     def po_update(self):
         return I.backhaul_po_update(self.t.pos, self.header)
 
+    @property
+    def pos_received(self):
+        return I.backhaul_pos_received(self.header)
+
     @property
     def pod_header(self):
         return I.delivery_header(self.header, self.counts, self.expected, self.t.pod_header,
-                                 self.signature_flag, self.as_of)
+                                 self.t.control, self.as_of)
 
     @property
     def raw_items(self):
@@ -110,9 +114,7 @@ class InboundRun:
 
     @property
     def detail(self):
-        if self.signature_flag != 1:
-            return self.items.limit(0)
-        return I.delivery_detail(self.items, self.header, self.t.pod_detail)
+        return I.delivery_detail(I.with_signatures(self.items, self.t.control), self.header, self.t.pod_detail)
 
     @property
     def queue_after(self):

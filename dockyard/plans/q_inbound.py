@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockyard.functions.columns import AS_OF
+from dockyard.operators.inbound import trigger_type
 from dockyard.plans.inbound import InboundInputs, InboundRun
 from dockyard.plans.registry import query
 
@@ -29,9 +30,12 @@ ie AS (
 res AS (
   SELECT unique_id,
     CASE kind WHEN 'failure' THEN 'E' || CAST(unique_id % 97 AS VARCHAR)
+              WHEN 'nested' THEN 'N' || CAST(unique_id % 97 AS VARCHAR)
               WHEN 'timeout' THEN '41001' END AS error_code,
     CASE kind WHEN 'failure' THEN 'E' || CAST(unique_id % 97 AS VARCHAR) || ':rejected '
                                   || CAST(unique_id AS VARCHAR)
+              WHEN 'nested' THEN 'N' || CAST(unique_id % 97 AS VARCHAR) || ':deep '
+                                  || CAST(unique_id AS VARCHAR)
               WHEN 'timeout' THEN '41001:no events'
               WHEN 'error' THEN 'protocol error ' || CAST(unique_id AS VARCHAR)
               WHEN 'malformed' THEN 'malformed XML' END AS error_msg,
@@ -65,13 +69,13 @@ hdr AS (SELECT h.*, w.wh_id FROM hdr0 h LEFT JOIN f_whse w ON w.pod_whse = h.pod
 cps AS (SELECT * FROM f_pod_shipments),
 expc AS (
   SELECT h.unique_id, h.wh_id, h.order_number,
-    (SELECT max(uom_qty) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
+    (SELECT max_by(uom_qty, unique_id) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
        AND product_type = 'CIG') AS expected_cig_count,
-    (SELECT max(uom_qty) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
+    (SELECT max_by(uom_qty, unique_id) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
        AND product_type = 'SNF') AS expected_snuff_count,
-    (SELECT max(uom_qty) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
+    (SELECT max_by(uom_qty, unique_id) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
        AND product_type = 'ECIG') AS expected_ecig_count,
-    (SELECT max(uom_qty) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
+    (SELECT max_by(uom_qty, unique_id) FROM cps WHERE cps.wh_id = h.wh_id AND cps.order_number = h.order_number
        AND product_type = 'LILCIG') AS expected_lil_cig_count
   FROM hdr h),
 items AS (
@@ -110,8 +114,7 @@ def q_event_result(fx):
 
 @query("deliverable_events", BASE + "SELECT unique_id, trigger_type FROM dlv")
 def q_deliverable_events(fx):
-    return _run(fx).deliverable.select("unique_id",
-                                       F.col("ev.trigger._type").alias("trigger_type"))
+    return _run(fx).deliverable.select("unique_id", trigger_type().alias("trigger_type"))
 
 
 @query("workflow_counts", BASE + "SELECT * FROM cnt")
@@ -196,7 +199,7 @@ def q_backhaul_receipts(fx):
 SELECT p.po_number, p.order_key, p.wh_id, p.carrier_scac, p.route_id, p.shipment_date,
   p.vendor_code, p.status, p.sent_flag,
   CASE WHEN EXISTS (SELECT 1 FROM hdr WHERE hdr.purpose_number = 'Backhaul'
-                    AND hdr.order_number = p.po_number) THEN 1 END AS received_by_airclic
+                    AND hdr.order_number = p.po_number) THEN 1 END AS received_by_service
 FROM f_po p
 """)
 def q_backhaul_po_update(fx):
@@ -210,7 +213,9 @@ _EXP = ("expected_cig_count", "expected_snuff_count", "expected_ecig_count",
 
 @query("delivery_header", BASE + f""",
 r AS (
-  SELECT h.wh_id, {TS} AS create_date, h.route, h.order_timestamp, h.status AS order_status,
+  SELECT h.wh_id, {TS} AS create_date, h.route, h.order_timestamp,
+    CASE WHEN h.purpose_number = 'Backhaul' THEN CASE WHEN h.status = 'fulfilled' THEN 'COMPLETE' ELSE 'INCOMPLETE' END
+         ELSE h.status END AS order_status,
     h.driver_first_name, h.driver_last_name, h.order_number, h.customer_code, h.customer_name,
     h.customer_addr, h.city, h.state, h.zip, h.country, h.signature AS customer_signature,
     0 AS processed, '' AS processed_timestamp, h.unique_id AS import_id, h.actual_start_time,

@@ -135,7 +135,7 @@ stops AS (
 bpo AS (
   SELECT p.wh_id, p.load_id, m.po_number, m.wh_id AS po_wh_id, m.vendor_code,
     s.po_stop AS stop_id, m.route_id, d.line_number, d.item_number,
-    m.sent_flag AS sent_to_airclic
+    m.sent_flag AS sent_to_service
   FROM pend p JOIN stops s ON s.wh_id = p.wh_id AND s.load_id = p.load_id
   JOIN f_po m ON m.carrier_scac = p.wh_id AND m.route_id = p.route_id
     AND m.shipment_date = p.shipment_date
@@ -427,7 +427,7 @@ def q_po_state_update(fx):
 
 @query("backhaul_state_update", BASE + """
 SELECT b.po_number, b.wh_id,
-  CASE WHEN EXISTS (SELECT 1 FROM bpo WHERE bpo.po_number = b.po_number AND bpo.sent_to_airclic = 1)
+  CASE WHEN EXISTS (SELECT 1 FROM bpo WHERE bpo.po_number = b.po_number AND bpo.sent_to_service = 1)
        THEN 'SENT' ELSE b.status END AS status
 FROM f_backhaul b
 """)

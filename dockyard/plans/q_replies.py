@@ -17,11 +17,13 @@ QCOLS = ["unique_id", "order_number", "message_type", "queue_status", "retries",
 _REPLY = """
 WITH rep AS (
   SELECT unique_id, reply_kind, coalesce(retries, 0) AS retries0,
-    CASE WHEN reply_kind = 'Failure' THEN 'Failure' WHEN reply_kind = 'error' THEN NULL
+    CASE WHEN reply_kind = 'Failure' THEN 'Failure' WHEN reply_kind = 'nested' THEN 'failure' WHEN reply_kind = 'error' THEN NULL
          ELSE 'Success' END AS result_type,
-    CASE WHEN reply_kind = 'Failure' THEN 'E' || CAST(unique_id % 50 AS VARCHAR) END AS error_code,
+    CASE WHEN reply_kind = 'Failure' THEN 'E' || CAST(unique_id % 50 AS VARCHAR)
+         WHEN reply_kind = 'nested' THEN 'D1' END AS error_code,
     CASE WHEN reply_kind = 'Failure' THEN 'E' || CAST(unique_id % 50 AS VARCHAR) || ':bad request '
-                                          || CAST(unique_id AS VARCHAR) END AS error_msg,
+                                          || CAST(unique_id AS VARCHAR)
+         WHEN reply_kind = 'nested' THEN 'D1:deep ' || CAST(unique_id AS VARCHAR) END AS error_msg,
     CASE WHEN reply_kind = 'error' THEN 'unreachable ' || CAST(unique_id AS VARCHAR) END
       AS protocol_error,
     CAST((unique_id * 37) % 900 + 40 AS INT) AS ms_elapsed

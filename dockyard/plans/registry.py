@@ -66,10 +66,5 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     # importing the query modules fills the registry
-    from dockyard.plans import q_confirm  # noqa: F401
-    for mod in ("q_outbound", "q_messages", "q_replies", "q_inbound", "q_returns"):
-        try:
-            __import__(f"dockyard.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"dockyard.plans.{mod}":
-                raise
+    from dockyard.plans import (  # noqa: F401
+        q_confirm, q_outbound, q_messages, q_replies, q_inbound, q_returns)

@@ -39,13 +39,16 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Set here only when the session has none (local tests).
+    Where it is unset, a session on a local master gets a temporary folder
+    (tests); any other session is an error, since its executors could not see
+    a folder of the driver's machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # local runs and tests only: a session without a shared folder
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="dockyard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

@@ -43,12 +43,13 @@ def event_documents(f_import: DataFrame, f_order: DataFrame, f_customer: DataFra
                     f_whse: DataFrame, f_pick: DataFrame) -> DataFrame:
     """(unique_id, xml_response) per fixture import row; the shape depends on
     ``kind`` (FIXTURES.md §2): event / failure result / timeout (41001) /
-    root error / text that is not XML."""
+    root error / text that is not XML / a failure result deep in the document /
+    an event under another root."""
     uid = F.col("unique_id")
     o = f_order.select("order_number", "wh_id", "route_id", "customer_id", "ship_to_addr1",
                        "ship_to_city", "ship_to_state", "ship_to_zip")
     c = f_customer.select("customer_id", "customer_name")
-    w = F.broadcast(f_whse.select("wh_id", "pod_whse"))
+    w = f_whse.select("wh_id", "pod_whse")
     k = f_pick.select("order_number", "line_number", "item_number", "container_id",
                       "container_type", "planned_quantity", "picked_quantity")
     ev = f_import.join(o, "order_number", "left").join(c, "customer_id", "left") \
@@ -101,6 +102,31 @@ def event_documents(f_import: DataFrame, f_order: DataFrame, f_customer: DataFra
     flow = F.when(uid % 2 == 1, F.array(wf("Stop Notes", F.lit("ok")), *base)) \
             .otherwise(F.array(*base))
     ts = F.col("event_ts")
+
+    # of four events one has a single group, visit and service, one two groups
+    # and two visits, one two groups and two services in a visit, one all single
+    many = uid % 4 >= 2
+
+    def several(a: Column, b: Column) -> Column:
+        return F.when(many, F.array(a, b)).otherwise(F.array(a))
+
+    def part(name: str, first: bool) -> Column:
+        c = F.col(name)
+        half = F.when(many, F.ceil(F.size(c) / 2)).otherwise(F.size(c)).cast("int")
+        return F.slice(c, F.lit(1), half) if first else F.slice(c, half + 1, F.size(c))
+
+    def group(prefix: str, items: Column) -> Column:
+        signature = F.base64(F.encode(F.concat(F.lit(prefix), uid.cast("string")), "UTF-8"))
+        return F.struct(F.struct(signature.alias("signature")).alias("recipient"), items.alias("orderItemStatusSummary"))
+
+    def service(first: bool) -> Column:
+        late = F.expr("INTERVAL 15 MINUTES") if first else F.expr("INTERVAL 5 MINUTES")
+        split = F.when(many, F.lit(2)).otherwise(F.size(flow)).cast("int")
+        steps = F.slice(flow, F.lit(1), split) if first else F.slice(flow, split + 1, F.size(flow))
+        end = ts if first else ts + F.expr("INTERVAL 1 HOUR")
+        return F.struct(ts_plain(ts - late).alias("actualStart"), ts_plain(end).alias("actualEnd"),
+                        steps.alias("stopWorkflowData"), part("receipts", first).alias("receipt"))
+
     is_bh = F.col("purpose") == "Backhaul"
     event = F.struct(
         F.struct(F.col("trigger_type").alias("_type"), F.col("pod_whse").alias("centerNumber"),
@@ -122,20 +148,23 @@ def event_documents(f_import: DataFrame, f_order: DataFrame, f_customer: DataFra
                               F.col("ship_to_zip").alias("zipCode"),
                               F.lit("USA").alias("country")).alias("customerAddress"))
              .alias("customerInfo"),
-            F.struct(F.struct(F.col("purpose").alias("purposeNumber")).alias("serviceSummaryEntry"))
-             .alias("serviceSummary"),
-            F.struct(F.struct(F.base64(F.encode(F.concat(F.lit("sig-"), uid.cast("string")), "UTF-8"))
-                              .alias("signature")).alias("recipient"),
-                     F.col("items").alias("orderItemStatusSummary")).alias("orderItemStatusGroup"))
+            F.struct(several(F.struct(F.col("purpose").alias("purposeNumber")),
+                             F.struct(F.when(F.col("purpose").isNotNull(), F.lit("Second")).alias("purposeNumber")))
+                     .alias("serviceSummaryEntry")).alias("serviceSummary"),
+            several(group("sig-", part("items", True)), group("second-", part("items", False)))
+             .alias("orderItemStatusGroup"))
          .alias("orderStatusSummary"),
-        F.struct(F.struct(F.struct(
-            ts_plain(ts - F.expr("INTERVAL 15 MINUTES")).alias("actualStart"),
-            ts_plain(ts).alias("actualEnd"),
-            flow.alias("stopWorkflowData"),
-            F.col("receipts").alias("receipt")).alias("service")).alias("visit"))
-         .alias("orderStatusDetail"))
+        F.struct(F.when(uid % 4 == 2, F.array(F.struct(F.array(service(first=True), service(first=False)).alias("service"))))
+                  .otherwise(several(F.struct(F.array(service(first=True)).alias("service")),
+                                     F.struct(F.array(service(first=False)).alias("service"))))
+                  .alias("visit")).alias("orderStatusDetail"))
     root = "orderStatusSummaryEvent"
     event_xml = _prefixed(_flat(F.to_xml(event, {"rowTag": root})), root)
+    foreign_xml = _prefixed(_flat(F.to_xml(event, {"rowTag": "otherEvent"})), "otherEvent")
+    nested = F.struct(F.struct(F.struct(F.struct(
+        F.lit("FAILURE").alias("resultType"), F.concat(F.lit("N"), (uid % 97).cast("string")).alias("errorCode"),
+        F.concat(F.lit("deep "), uid.cast("string")).alias("message")).alias("result")).alias("detail")).alias("body"))
+    nested_xml = _prefixed(_flat(F.to_xml(nested, {"rowTag": "eventResponse"})), "eventResponse")
     kind = F.col("kind")
     doc = (F.when(kind == "ok", event_xml)
            .when(kind == "failure", _result_doc(F.lit("Failure"),
@@ -145,6 +174,7 @@ def event_documents(f_import: DataFrame, f_order: DataFrame, f_customer: DataFra
            .when(kind == "timeout", _result_doc(F.lit("failure"), F.lit("41001"), F.lit("no events"),
                                                 "eventResponse"))
            .when(kind == "error", _error_doc(F.concat(F.lit("protocol error "), uid.cast("string"))))
+           .when(kind == "nested", nested_xml).when(kind == "foreign", foreign_xml)
            .otherwise(F.concat(F.lit('<orderStatusSummaryEvent><trigger type="OTA">'),
                                uid.cast("string"))))
     return ev.select("unique_id", doc.alias("xml_response"))
@@ -161,6 +191,10 @@ def reply_documents(f_message: DataFrame) -> DataFrame:
                                               F.concat(F.lit("bad request "), uid.cast("string")),
                                               "response"))
            .when(k == "error", _error_doc(F.concat(F.lit("unreachable "), uid.cast("string"))))
+           .when(k == "nested", _prefixed(_flat(F.to_xml(F.struct(F.struct(F.struct(
+               F.lit("failure").alias("resultType"), F.lit("D1").alias("errorCode"),
+               F.concat(F.lit("deep "), uid.cast("string")).alias("message")).alias("result")).alias("body")),
+               {"rowTag": "response"})), "response"))
            .otherwise(_result_doc(F.lit("Success"), F.lit(None).cast("string"),
                                   F.lit(None).cast("string"), "response")))
     return sent.select("unique_id", doc.alias("response_xml"),

@@ -169,7 +169,8 @@ SELECT po_number, wh_id, 'SENT' AS status FROM {f_po} WHERE order_key % 24 = 0
 SELECT event_id AS unique_id, CAST((event_id * 7) % 1500 AS STRING) AS order_number,
   CASE event_id % 5 WHEN 0 THEN 'OTA' WHEN 1 THEN 'Finalize' WHEN 2 THEN 'Web' WHEN 3 THEN 'Other' END AS trigger_type,
   CASE WHEN event_id % 17 = 0 THEN 'failure' WHEN event_id % 23 = 0 THEN 'timeout' WHEN event_id % 19 = 0 THEN 'error'
-       WHEN event_id % 29 = 0 THEN 'malformed' ELSE 'ok' END AS kind,
+       WHEN event_id % 29 = 0 THEN 'malformed' WHEN event_id % 37 = 0 THEN 'nested' WHEN event_id % 41 = 0 THEN 'foreign'
+       ELSE 'ok' END AS kind,
   CASE WHEN event_id % 11 = 0 THEN 'Backhaul' WHEN event_id % 13 = 0 THEN 'Product Pickup' END AS purpose,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(user_id % 9 AS INT) END AS tote_count,
   CAST(event_id % 6 AS INT) AS cig_count, ts AS event_ts
@@ -182,7 +183,8 @@ SELECT event_id AS unique_id, CAST(event_id % 1500 AS STRING) AS order_number,
   CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 1 END AS queue_status,
   CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE CAST(event_id % 3 AS INT) END AS retries,
   CASE WHEN event_id % 6 = 0 THEN 'E7:already there' WHEN event_id % 6 = 1 THEN '' END AS error_msg,
-  CASE WHEN event_id % 17 = 0 THEN 'Failure' WHEN event_id % 19 = 0 THEN 'error' ELSE 'ok' END AS reply_kind
+  CASE WHEN event_id % 17 = 0 THEN 'Failure' WHEN event_id % 19 = 0 THEN 'error' WHEN event_id % 13 = 0 THEN 'nested'
+       ELSE 'ok' END AS reply_kind
 FROM {events}
 """,
     "f_rma": """
@@ -225,6 +227,9 @@ FROM {f_pick}
 """,
     "f_import_queue": """
 SELECT unique_id, CASE WHEN unique_id % 10 = 9 THEN 'C' ELSE 'N' END AS status FROM {f_import}
+""",
+    "f_control": """
+SELECT DISTINCT 'POD_SIGN_FLAG' AS control_type, '1' AS c1 FROM {region}
 """,
     "f_customer_totes": """
 SELECT order_key AS unique_id, wh_id, 'C' || CAST(customer_id AS STRING) AS customer_code,
@@ -297,7 +302,8 @@ WITH hs_all AS (
 SELECT k.wh_id, c.customer_code, k.load_id, k.order_number, o.earliest_ship_date AS shipment_date,
   o.stop_id,
   CAST(floor(round(sum(CAST(k.planned_quantity AS DOUBLE) / u.conversion_factor), 6)) AS INT) AS uom_qty,
-  i.product_type, CAST(TIMESTAMP '2001-09-01 00:00:00' AS TIMESTAMP) AS create_date
+  i.product_type, CAST(TIMESTAMP '2001-09-01 00:00:00' AS TIMESTAMP) AS create_date,
+  max(o.order_key) AS unique_id
 FROM {f_pick} k
 JOIN {f_item} i ON i.wh_id = k.wh_id AND i.item_number = k.item_number
 JOIN {f_item_uom} u ON u.wh_id = k.wh_id AND u.item_number = k.item_number AND u.uom = k.uom

@@ -2,29 +2,48 @@
 
 The reference appends with INSERT and changes tables with UPDATE / DELETE.
 Here an operator returns either rows to append or the next version of a
-table; a sink writes it. New versions are written to a new path (or overwrite
-only the partitions they touch), never over the path being read.
+table; a sink writes it, so that a job that is run again with the same run id
+leaves the same tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """INSERT: add the rows to the table at ``path``."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def append(df: DataFrame, path: str, run_id: str) -> None:
+    """INSERT: add the rows to the table at ``path`` as the part of this run.
+    A rerun with the same id replaces its part instead of adding it twice."""
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
-def write_version(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """UPDATE / DELETE: write the table's next version. With ``partition_by``
-    only the partitions present in ``df`` are replaced (dynamic partition
-    overwrite), so a job that touched a few warehouses / days rewrites only
-    those."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+def write_version(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                  touched: DataFrame | None = None) -> None:
+    """UPDATE / DELETE: write the table's next version.
+
+    With ``partition_by`` and ``touched`` (the partition values the job has
+    changed) only those partitions are rewritten, and those that have no rows
+    left are removed; files of all others stay as they are. The driver sees
+    the values of emptied partitions only.
+    """
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    if touched is not None:
+        keys = touched.select(*partition_by).distinct()
+        df = df.join(keys, partition_by, "left_semi")
+    df.write.mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    if touched is not None:
+        spark = df.sparkSession
+        for row in keys.join(df.select(*partition_by).distinct(), partition_by, "left_anti").collect():
+            delete(spark, path + "".join(f"/{k}={row[k]}" for k in partition_by))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
