@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.rolling import BASES, Rolling, ragged, sliding_min
-from dockyard.llm.tables import fresh, staged, tasks
+from dockyard.llm.tables import fresh, release, staged, tasks
 
 _POSITION = np.uint64((1 << 26) - 1)
 _BLOCK = 1 << 19  # bytes hashed at once, so that the arrays stay in the processor's cache
@@ -231,9 +231,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         return pd.concat([_span_frame(before[0], SPAN, before[1], before[2]),
                           _span_frame(doc[o], SPAN, s[o], s[o] + length)])
 
+    release(docs.sparkSession)
     loose = found.filter(F.col("kind") == RUN).groupBy("_id").agg(F.collect_list(F.struct("s", "e")).alias("_runs"))
     more = staged(docs.join(loose, "_id").select("_id", "_raw", "_runs").mapInArrow(windows, _BLOBS)
                   .repartition(tasks(docs.sparkSession), "bucket").groupBy("bucket").applyInPandas(settle_windows, _SPANS))
+    release(docs.sparkSession)
     return found.filter(F.col("kind") == SPAN).union(more).select("_id", "s", "e")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,19 +30,28 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
-    Later steps read the files instead of repeating the work, a lost executor
-    costs no more than its own tasks, and the shuffle files of the steps
-    before can go: Spark drops them once the driver has collected the plans
-    that made them, which is asked for here.
+    Later steps read the files instead of repeating the work, and a lost
+    executor costs no more than its own tasks.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Ask for the shuffle files of finished steps to be dropped.
+
+    Spark does so once the driver has collected the plans that made them. It
+    takes two collections: the first lets go of the frames, the second of
+    their shuffles.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def tasks(spark: SparkSession) -> int:
     """The session's shuffle partition count, which the user sizes with the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
