@@ -8,8 +8,8 @@ inputs untouched.
 
 Grain and keys: loads are keyed by (wh_id, load_id), orders by
 (wh_id, order_number), units by (wh_id, hu_id). Shuffles happen on those keys;
-warehouse-level tables (control rows) are bounded by the number of warehouses
-and broadcast.
+whether a small table is broadcast is left to the size-checked threshold of
+the session.
 """
 
 from __future__ import annotations
@@ -140,7 +140,7 @@ def will_call_door(loads: DataFrame, wh_control: DataFrame, carriers: DataFrame)
 
     The WHERE on the control type makes the reference's LEFT JOIN inner (K5):
     no WC_DEFAULT_DOOR row, no door."""
-    ctl = F.broadcast(wh_control.filter(code("control_type") == "WC_DEFAULT_DOOR")
+    ctl = (wh_control.filter(code("control_type") == "WC_DEFAULT_DOOR")
                       .select("wh_id", F.col("c1").alias("_c1")))
     wc = carriers.filter(F.col("will_call") == 1).select(*LOAD)
     return (loads.join(wc, LOAD, "left_semi").join(ctl, "wh_id", "inner")
@@ -311,7 +311,7 @@ def enqueue_will_call(orders: DataFrame, wh_control: DataFrame, queue: DataFrame
     """Queue rows for confirmed loads with an order whose carrier suffix equals
     the WILL_CALL_POD control c1 (default 'WC') where the control allows it
     (next_value = 1), unless the load is queued already."""
-    ctl = F.broadcast(wh_control.filter((code("control_type") == "WILL_CALL_POD")
+    ctl = (wh_control.filter((code("control_type") == "WILL_CALL_POD")
                                         & (F.col("next_value") == 1))
                       .select("wh_id", F.coalesce("c1", F.lit("WC")).alias("_c1")))
     o = orders.join(accepted.select(*LOAD).distinct(), LOAD, "left_semi")

@@ -164,7 +164,7 @@ def order_messages(headers: DataFrame, lines: DataFrame, ids: DataFrame, pending
     mid = ids.filter(F.col("phase") == PHASE_ORDER).select(*LOAD, F.col("msg_key").alias("order_number"),
                                                            "message_id", "load_uid")
     route = pending.select(*LOAD, "route_id")
-    wh = F.broadcast(whse.select("wh_id", "pod_whse"))
+    wh = (whse.select("wh_id", "pod_whse"))
     h = (headers.drop("route_id").join(mid, ORDER).join(route, LOAD, "left").join(wh, "wh_id", "left")
          .join(items, ORDER, "left"))
     if returns_by_customer is not None:
@@ -246,7 +246,7 @@ def po_messages(po: DataFrame, po_lines: DataFrame, pos: DataFrame, vendors: Dat
     # the queue row exists even when the vendor is unknown: its XML is NULL
     v = vendors.select("vendor_code", "vendor_name", F.lit(True).alias("_vendor"))
     route = pending.select(*LOAD, "route_id")
-    wh = F.broadcast(whse.select("wh_id", "pod_whse"))
+    wh = (whse.select("wh_id", "pod_whse"))
     h = (head.join(mid, keys).join(pm, ["po_number", "po_wh_id"], "left").join(v, "vendor_code", "left")
          .join(route, LOAD, "left").join(wh, "wh_id", "left").join(items, keys, "left"))
     ts = ts_text(as_of_lit(as_of))
@@ -303,7 +303,7 @@ def po_reopen_messages(po: DataFrame, ids: DataFrame, pending: DataFrame, whse:
         *LOAD, F.col("msg_key").alias("po_number"), "message_id")
     head = po.groupBy(*keys).agg(F.first("stop_id").alias("stop_id"))
     route = pending.select(*LOAD, "route_id")
-    wh = F.broadcast(whse.select("wh_id", "pod_whse"))
+    wh = (whse.select("wh_id", "pod_whse"))
     h = head.join(mid, keys).join(route, LOAD, "left").join(wh, "wh_id", "left")
     now = as_of_lit(as_of)
     doc = F.struct(

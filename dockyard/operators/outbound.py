@@ -5,8 +5,8 @@ never cleared between loads (K13); here every set carries its load key, so a
 batch of n loads equals the union of n single-load runs.
 
 Shuffle keys: (wh_id, load_id) for load-level sets, (wh_id, order_number) for
-order-level sets, (wh_id, hu_id) for pallets. Warehouse and container tables
-are bounded by the number of warehouses / container types and broadcast.
+order-level sets, (wh_id, hu_id) for pallets. Whether a small table is broadcast is
+left to the size-checked threshold of the session.
 """
 
 from __future__ import annotations
@@ -124,19 +124,18 @@ def prior_load(cands: DataFrame, orders: DataFrame, loads: DataFrame) -> DataFra
     same address, ignoring transfers and will-call; '' when there is none.
 
     Only one load is excluded per candidate, so the two latest loads per
-    address suffice. They come from two hash aggregates (partial, skew-safe)
-    instead of a sort of each address's history."""
+    address suffice: a top-2 rank, which Spark applies in each task before
+    the rows of an address meet."""
     key = ["wh_id", *ADDR]
     # only the addresses of this run's candidates matter
-    el = _eligible_loads(orders, loads).join(cands.select(*key).distinct(), key, "left_semi")
-    top1 = el.groupBy(*key).agg(F.max("_k").alias("_t1"))
-    top2 = (el.join(top1, key)
-            .filter(F.col("_k") != F.col("_t1"))
-            .groupBy(*key).agg(F.max("_k").alias("_t2")))
-    tops = top1.join(top2, key, "left")
+    el = (_eligible_loads(orders, loads).join(cands.select(*key).distinct(), key, "left_semi")
+          .select(*key, "_k").distinct())
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("_k").desc()))
+    tops = (el.withColumn("_r", rank).filter(F.col("_r") <= 2).groupBy(*key)
+            .agg(F.max(F.when(F.col("_r") == 1, F.col("_k.load_id"))).alias("_t1"),
+                 F.max(F.when(F.col("_r") == 2, F.col("_k.load_id"))).alias("_t2")))
     j = cands.join(tops, key, "left")
-    pick = (F.when(F.col("_t1.load_id") != F.col("load_id"), F.col("_t1.load_id"))
-            .otherwise(F.col("_t2.load_id")))
+    pick = F.when(F.col("_t1") != F.col("load_id"), F.col("_t1")).otherwise(F.col("_t2"))
     return j.withColumn("prior_load_id", F.coalesce(pick, F.lit(""))).drop("_t1", "_t2")
 
 
@@ -148,11 +147,9 @@ def shipped_units(picks: DataFrame, pick_masters: DataFrame, orders: DataFrame,
     ``loads`` (wh_id, load_id) restricts the scan to those loads' orders and
     picks (the prior loads of a run), instead of the whole pick history."""
     pkm = pick_masters.select("pick_master_id", F.col("wh_id").alias("_pwh"), "container_type")
-    con = F.broadcast(containers.filter(nz("shipping_container") == 1)
-                      .select(F.col("wh_id").alias("_pwh"), "container_type"))
+    con = containers.filter(nz("shipping_container") == 1).select(F.col("wh_id").alias("_pwh"), "container_type")
     pkd = (picks.filter(F.col("shipped_quantity") > 0)
-           .select(F.col("container_id").alias("pick_master_id"), "wh_id", "order_number",
-                   F.col("container_id").alias("hu_id")))
+           .select("pick_master_id", "wh_id", "order_number", F.col("container_id").alias("hu_id")))
     o = (orders.filter((F.coalesce(F.col("order_type"), F.lit("")) != "TRANSFER")
                        & (carrier_suffix("carrier", 2) != "WC"))
          .select("wh_id", "order_number", "load_id", "customer_id", *ADDR))
@@ -195,27 +192,25 @@ def fallback_tote_count(cands: DataFrame, history: DataFrame, customers: DataFra
     customer code OR address. Ties on the day: smallest address first (K8).
     Candidates without history keep 0."""
     today = F.to_date(as_of_lit(as_of))
+    ck = ["wh_id", "load_id", "order_number", "customer_id", *ADDR]
+    hk = ["ship_date", *["cs_" + a for a in ADDR]]
+    zero = cands.filter(F.col("tote_count") == 0).select(*ck, "customer_code")
+    # the customer codes a candidate is matched with: its own, and those of
+    # customers at its address (a customer without a record has no history)
+    cu = customers.select("customer_code", *[F.col("customer_" + s).alias(a) for s, a in
+                                             zip(("addr1", "city", "state", "zip"), ADDR)])
+    known = cu.select("customer_code").distinct()
+    match = (zero.select(*ck, "customer_code").join(known, "customer_code", "left_semi")
+             .unionByName(zero.select(*ck).join(cu, ADDR).select(*ck, "customer_code")).distinct())
+    # of their history only the latest day per code can be a candidate's latest
     cs = (history.filter(_not_all_marks("load_id") & (carrier_suffix("carrier", 2) != "WC")
                          & (F.to_date("shipment_date") < today))
+          .join(match.select("customer_code").distinct(), "customer_code", "left_semi")
           .select("customer_code", F.to_date("shipment_date").alias("ship_date"),
-                  *[F.col(a).alias("cs_" + a) for a in ADDR], "shipped_qty"))
-    cu = customers.select("customer_code", "customer_addr1", "customer_city", "customer_state",
-                          "customer_zip")
-    # one row per (customer, day, shipped-to address) before any join
-    cs = (cs.groupBy("customer_code", "ship_date", *["cs_" + a for a in ADDR])
-          .agg(F.sum("shipped_qty").alias("shipped_qty")))
-    h = cs.join(cu, "customer_code")
-    ck = ["wh_id", "load_id", "order_number", "customer_id", *ADDR]
-    zero = cands.filter(F.col("tote_count") == 0).select(*ck, "customer_code")
-    hk = ["ship_date", *["cs_" + a for a in ADDR]]
-    by_code = zero.join(h.select("customer_code", *hk, "shipped_qty"), "customer_code")
-    hh = h.select(*[F.col("customer_" + s).alias(a) for s, a in
-                    zip(("addr1", "city", "state", "zip"), ADDR)], *hk, "shipped_qty",
-                  F.col("customer_code").alias("_hc"))
-    by_addr = (zero.join(hh, ADDR)
-               # rows whose customer code matches are already in by_code
-               .filter(F.coalesce(F.col("_hc") != F.col("customer_code"), F.lit(True))))
-    m = by_code.select(*ck, *hk, "shipped_qty").unionByName(by_addr.select(*ck, *hk, "shipped_qty"))
+                  *[F.col(a).alias("cs_" + a) for a in ADDR], "shipped_qty")
+          .groupBy("customer_code", *hk).agg(F.sum("shipped_qty").alias("shipped_qty")))
+    last = cs.groupBy("customer_code").agg(F.max("ship_date").alias("ship_date"))
+    m = match.join(cs.join(last, ["customer_code", "ship_date"], "left_semi"), "customer_code")
     per_day = m.groupBy(*ck, *hk).agg(F.sum("shipped_qty").alias("_sum"))
     # latest day first, then the smallest address: one min_by, no sort
     okey = F.struct((-F.datediff(F.col("ship_date"), F.lit("1970-01-01"))).alias("_nd"),
@@ -246,8 +241,7 @@ def container_shipments(lines: DataFrame, containers: DataFrame, as_of=None,
     """Rows appended to the container-shipment history: COUNT(DISTINCT unit)
     per order and container type in shipping containers, for customers that
     need totes and lines with quantity > 0."""
-    con = F.broadcast(containers.filter(nz("shipping_container") == 1)
-                      .select("wh_id", "container_type"))
+    con = containers.filter(nz("shipping_container") == 1).select("wh_id", "container_type")
     l = lines.filter((nz("totes_required") == 1) & (F.col("quantity") > 0)).join(
         con, ["wh_id", "container_type"])
     keys = ["wh_id", "customer_code", "load_id", "order_number", "container_type", *ADDR,
@@ -343,18 +337,17 @@ def counted_product_totals(shipments: DataFrame) -> DataFrame:
                  s("SNF", "SNFP").alias("snuff_count"), s("ECIG").alias("ecig_count")))
 
 
-def _line_base(lines: DataFrame, order_detail: DataFrame, items: DataFrame, customers: DataFrame,
-               upcs: DataFrame) -> DataFrame:
-    od = order_detail.select("wh_id", "order_number", "line_number", "item_number",
-                             "order_uom", "qty")
+def _line_base(lines: DataFrame, order_detail: DataFrame, items: DataFrame, upcs: DataFrame) -> DataFrame:
+    """The work set's lines with their order line, item and arm, read once for
+    both arms. The work set comes first, so no join sees the lines of other
+    loads' orders. Picks of one order line were summed into the work set per
+    unit; order detail has one row per order line."""
+    hs = lines.select(*LOAD, "order_number", "line_number", "hu_id", "gs1_required_flag", "quantity", "gln")
+    od = order_detail.select("wh_id", "order_number", "line_number", "item_number", "order_uom", "qty")
     im = items.select("wh_id", "item_number", "class_id", "description", "net_weight_barcode")
-    hs = lines.select("wh_id", "load_id", "order_number", "line_number", "hu_id",
-                      "gs1_required_flag", "quantity", "customer_id")
-    cu = customers.select("customer_id", "gln")
-    has_case = case_upcs(upcs).select("wh_id", "item_number").distinct() \
-        .withColumn("_case", F.lit(True))
-    j = (od.join(im, ["wh_id", "item_number"]).join(hs, ["wh_id", "order_number", "line_number"])
-         .join(cu, "customer_id").join(has_case, ["wh_id", "item_number"], "left"))
+    has_case = case_upcs(upcs).select("wh_id", "item_number").distinct().withColumn("_case", F.lit(True))
+    j = (hs.join(od, ["wh_id", "order_number", "line_number"]).join(im, ["wh_id", "item_number"])
+         .join(has_case, ["wh_id", "item_number"], "left"))
     # GS1 arm test; NULL order_uom makes it unknown, so the line is in neither arm (K9)
     gs1 = ((code("order_uom") == "CS") & (F.coalesce(F.col("gln"), F.lit("")) != "")
            & F.coalesce(F.col("_case"), F.lit(False)))
@@ -377,35 +370,36 @@ def _line_cols(df: DataFrame, line_id, gs1_type, gs1_number) -> DataFrame:
         "item_number", "order_uom")
 
 
-def gs1_order_lines(lines, order_detail, items, customers, upcs) -> DataFrame:
-    """Case lines of GLN customers with a case UPC: one row per handling unit;
-    line id = unit id, plus '-GS1' when GS1 is required; GTIN when required."""
-    b = _line_base(lines, order_detail, items, customers, upcs).filter(F.col("_gs1_arm"))
-    g = (b.groupBy(*LOAD, "order_number", "class_id", "item_number", "line_number",
-                   "description", "qty", "order_uom", "hu_id", "gs1_required_flag",
-                   "net_weight_barcode")
-         .agg(F.sum("quantity").alias("_q")))
-    gt = latest_case_gtin(upcs)
-    g = g.join(gt, ["wh_id", "item_number"], "left")
-    req = F.col("gs1_required_flag") == 1
-    line_id = F.concat(F.col("hu_id"), F.when(req, F.lit("-GS1")).otherwise(F.lit("")))
-    return _line_cols(g, line_id, F.when(req, F.lit("GTIN")), F.when(req, F.col("gtin")))
-
-
-def standard_order_lines(lines, order_detail, items, customers, upcs) -> DataFrame:
-    """Every other line (NOT the GS1 test, in three-valued logic): one row per
-    order line."""
-    b = _line_base(lines, order_detail, items, customers, upcs).filter(~F.col("_gs1_arm"))
-    g = (b.groupBy(*LOAD, "order_number", "class_id", "item_number", "line_number",
-                   "description", "qty", "order_uom", "net_weight_barcode")
+def order_lines(lines, order_detail, items, upcs, gs1: bool | None = None) -> DataFrame:
+    """Message lines of both arms from one pass (``gs1`` restricts to one).
+
+    Case lines of GLN customers with a case UPC give one row per handling
+    unit: line id = unit id, plus '-GS1' when GS1 is required; GTIN when
+    required. Every other line (NOT the GS1 test, in three-valued logic) gives
+    one row per order line."""
+    arm = F.col("_gs1_arm")
+    base = _line_base(lines, order_detail, items, upcs)
+    base = base.filter(arm.isNotNull() if gs1 is None else arm if gs1 else ~arm)
+    g = (base.groupBy(*LOAD, "order_number", "class_id", "item_number", "line_number", "description",
+                      "qty", "order_uom", "net_weight_barcode", "_gs1_arm",
+                      F.when(arm, F.col("hu_id")).alias("hu_id"),
+                      F.when(arm, F.col("gs1_required_flag")).alias("gs1_required_flag"))
          .agg(F.sum("quantity").alias("_q")))
-    return _line_cols(g, F.col("line_number"), F.lit(None).cast("string"),
-                      F.lit(None).cast("string"))
+    g = g.join(latest_case_gtin(upcs), ["wh_id", "item_number"], "left")
+    req = arm & (F.col("gs1_required_flag") == 1)
+    unit = F.concat(F.col("hu_id"), F.when(req, F.lit("-GS1")).otherwise(F.lit("")))
+    return _line_cols(g, F.when(arm, unit).otherwise(F.col("line_number")),
+                      F.when(req, F.lit("GTIN")), F.when(req, F.col("gtin")))
+
+
+def gs1_order_lines(lines, order_detail, items, upcs) -> DataFrame:
+    """The GS1 arm of :func:`order_lines`."""
+    return order_lines(lines, order_detail, items, upcs, gs1=True)
 
 
-def order_lines(lines, order_detail, items, customers, upcs) -> DataFrame:
-    return gs1_order_lines(lines, order_detail, items, customers, upcs).unionByName(
-        standard_order_lines(lines, order_detail, items, customers, upcs))
+def standard_order_lines(lines, order_detail, items, upcs) -> DataFrame:
+    """The other arm of :func:`order_lines`."""
+    return order_lines(lines, order_detail, items, upcs, gs1=False)
 
 
 _PROPS = [

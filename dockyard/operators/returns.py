@@ -164,7 +164,7 @@ def return_messages(selected: DataFrame, rmas: DataFrame, customers: DataFrame,
     h = (selected.join(mid, keys).join(rm, ["rma_number", "wh_id"], "left")
          .join(cu, "customer_code", "left")
          .join(pending.select("wh_id", "load_id", "route_id"), ["wh_id", "load_id"], "left")
-         .join(F.broadcast(whse.select("wh_id", "pod_whse")), "wh_id", "left")
+         .join((whse.select("wh_id", "pod_whse")), "wh_id", "left")
          .join(items, keys, "left"))
     now = as_of_lit(as_of)
     reopen = F.struct(

@@ -14,7 +14,7 @@ class OutboundInputs:
     """Tables read by the outbound job. Built lazily: a query only pays for
     the tables it touches."""
 
-    NAMES = ("queue", "loads", "orders", "hus_shipped", "stored_shipped", "picks",
+    NAMES = ("queue", "loads", "orders", "hus_shipped", "stored_shipped", "picks", "order_detail",
              "pick_masters", "items", "uoms", "upcs", "customers", "containers", "pos",
              "po_lines", "receipts", "backhauls", "vendors", "whse",
              "shipments",          # counted-product shipments written by confirm
@@ -45,7 +45,10 @@ class OutboundInputs:
             containers="f_container", pos="f_po", po_lines="f_po_line", receipts="f_receipt",
             backhauls="f_backhaul", vendors="f_vendor", whse="f_whse",
             message_queue="f_message").items()}
-        f["picks"] = lambda: fx.f_pick.withColumn("shipped_quantity", F.col("picked_quantity"))
+        # fixture picks have one pick master per container
+        f["picks"] = lambda: fx.f_pick.withColumns({
+            "shipped_quantity": F.col("picked_quantity"), "pick_master_id": F.col("container_id")})
+        f["order_detail"] = lambda: fx.f_order_detail
         # what earlier runs wrote (fixture inputs, see sources.fixtures)
         f["shipments"] = lambda: fx.f_pod_shipments
         f["container_history"] = lambda: fx.f_container_history
@@ -72,9 +75,7 @@ class OutboundRun:
 
     @property
     def order_detail(self):
-        return self.t.picks.select("wh_id", "order_number", "line_number", "item_number",
-                                   F.col("uom").alias("order_uom"),
-                                   F.col("planned_quantity").alias("qty"))
+        return self.t.order_detail
 
     @property
     def pending(self):
@@ -106,7 +107,7 @@ class OutboundRun:
 
     @property
     def prior_counts(self):
-        return self._m("ptc", lambda: stage(O.prior_tote_count(self.prior, self.units)))
+        return self._m("ptc", lambda: O.prior_tote_count(self.prior, self.units))
 
     @property
     def totes(self):
@@ -140,22 +141,20 @@ class OutboundRun:
 
     @property
     def gs1_lines(self):
-        return O.gs1_order_lines(self.lines, self.order_detail, self.t.items, self.t.customers,
-                                 self.t.upcs)
+        return O.gs1_order_lines(self.lines, self.order_detail, self.t.items, self.t.upcs)
 
     @property
     def standard_lines(self):
-        return O.standard_order_lines(self.lines, self.order_detail, self.t.items,
-                                      self.t.customers, self.t.upcs)
+        return O.standard_order_lines(self.lines, self.order_detail, self.t.items, self.t.upcs)
 
     @property
     def order_lines(self):
-        return self._m("olines", lambda: self.gs1_lines.unionByName(self.standard_lines))
+        return self._m("olines", lambda: O.order_lines(self.lines, self.order_detail, self.t.items, self.t.upcs))
 
     @property
     def headers(self):
-        return self._m("headers", lambda: stage(O.order_properties(O.order_headers(
-            self.lines, self.t.orders, self.t.customers, self.totes, self.totals))))
+        return self._m("headers", lambda: O.order_properties(O.order_headers(
+            self.lines, self.t.orders, self.t.customers, self.totes, self.totals)))
 
     @property
     def po_lines_msg(self):

@@ -166,7 +166,7 @@ UNION ALL
 SELECT po_number, wh_id, 'SENT' AS status FROM {f_po} WHERE order_key % 24 = 0
 """,
     "f_import": """
-SELECT event_id AS unique_id, CAST((event_id * 7) % 1500 AS STRING) AS order_number,
+SELECT event_id AS unique_id, CAST((event_id * 7) % ((SELECT max(o_orderkey) FROM {orders}) + 1) AS STRING) AS order_number,
   CASE event_id % 5 WHEN 0 THEN 'OTA' WHEN 1 THEN 'Finalize' WHEN 2 THEN 'Web' WHEN 3 THEN 'Other' END AS trigger_type,
   CASE WHEN event_id % 17 = 0 THEN 'failure' WHEN event_id % 23 = 0 THEN 'timeout' WHEN event_id % 19 = 0 THEN 'error'
        WHEN event_id % 29 = 0 THEN 'malformed' WHEN event_id % 37 = 0 THEN 'nested' WHEN event_id % 41 = 0 THEN 'foreign'
@@ -177,7 +177,7 @@ SELECT event_id AS unique_id, CAST((event_id * 7) % 1500 AS STRING) AS order_num
 FROM {events}
 """,
     "f_message": """
-SELECT event_id AS unique_id, CAST(event_id % 1500 AS STRING) AS order_number,
+SELECT event_id AS unique_id, CAST(event_id % ((SELECT max(o_orderkey) FROM {orders}) + 1) AS STRING) AS order_number,
   CASE event_id % 4 WHEN 0 THEN 'addPalletRequest' WHEN 1 THEN 'addOrderAndCustomerRequest'
        WHEN 2 THEN 'updateOrderAndCustomerRequest' ELSE 'reopenOrderRequest' END AS message_type,
   CASE event_id % 5 WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 1 END AS queue_status,
@@ -227,6 +227,10 @@ FROM {f_pick}
 """,
     "f_import_queue": """
 SELECT unique_id, CASE WHEN unique_id % 10 = 9 THEN 'C' ELSE 'N' END AS status FROM {f_import}
+""",
+    "f_order_detail": """
+SELECT wh_id, order_number, line_number, item_number, uom AS order_uom, planned_quantity AS qty
+FROM {f_pick}
 """,
     "f_control": """
 SELECT DISTINCT 'POD_SIGN_FLAG' AS control_type, '1' AS c1 FROM {region}

@@ -27,7 +27,7 @@ def test_archived_plus_remaining_units_is_all_units(spark):
 
 def test_a_line_is_in_at_most_one_arm(spark):
     r = OutboundRun(OutboundInputs.from_fixtures(Fixtures(spark, SF_SMALL)))
-    base = O._line_base(r.lines, r.order_detail, r.t.items, r.t.customers, r.t.upcs)
+    base = O._line_base(r.lines, r.order_detail, r.t.items, r.t.upcs)
     k = ["wh_id", "load_id", "order_number", "line_number"]
     arms = base.groupBy(*k).agg(F.countDistinct("_gs1_arm").alias("n"))
     assert arms.filter("n > 1").count() == 0
