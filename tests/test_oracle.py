@@ -4,11 +4,12 @@
 import pytest
 
 import __spark_entry__ as E
+from dockyard.plans import registry
 from tests.conftest import SF_SMALL
 from tests.oracle_check import _key, duck, rows_of_duck, rows_of_spark
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
