@@ -14,8 +14,6 @@ from dockyard.llm.tables import staged
 
 #: Members of a component, and documents held against it, that are compared in one task.
 BLOCK = 256
-#: Rounds of taking the largest component out of the long lists; what then is left meets pair by pair.
-ROUNDS = 3
 
 
 def similar_size(percent: int, a: str, b: str) -> Column:
@@ -35,11 +33,11 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
     Lists up to ``list_size`` give all their pairs. In a longer list every
     member meets one hub, the member that is in most long lists, as copies of
     a text share more with it than with each other. What is linked forms
-    components. A member of a long list that isn't in the list's largest
-    component is then held against that whole component, in blocks and on full
-    sets, and the lists go on without it. So a long list of near copies costs
-    about its length, and no link between components is left out: members of
-    long lists that never form a large component meet pair by pair at the end.
+    components. Members of a long list that aren't in the list's largest
+    component are then held against that whole component and against each
+    other, in blocks and on full sets, and give a spanning forest of their
+    links. So a long list of near copies costs about its length in rows, and
+    no link between components is left out.
     """
     def exact(pairs: DataFrame) -> DataFrame:
         near = staged(promising(pairs.distinct()))
@@ -50,86 +48,83 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
         total = F.size("_fa") + F.size("_fb") - F.col("_i")
         return staged(met.filter(F.col("_i") * 100 >= total * percent).select("a", "b"))
 
-    def met_in(some: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(pairs of the short lists and of members with hubs of the long ones, the long lists)."""
-        sizes = some.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        short = some.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
-        long_ = staged(some.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"))
-        degree = long_.groupBy("node").agg(F.count(F.lit(1)).alias("d"))
-        hub = (long_.join(degree, "node").groupBy("v")
-               .agg(F.max_by(F.struct("node", "n"), F.struct("d", F.xxhash64("node"), "node")).alias("h"))
-               .select("v", "h.node", "h.n"))
-        return _pairs(short, short, F.col("xn") < F.col("yn"), percent).union(
-            _pairs(long_, hub, F.col("xn") != F.col("yn"), percent)), long_
-
-    pairs, long_ = met_in(lists)
-    links = exact(pairs)
+    sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    short = lists.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
+    long_ = staged(lists.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"))
+    degree = long_.groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+    hub = (long_.join(degree, "node").groupBy("v")
+           .agg(F.max_by(F.struct("node", "n"), F.struct("d", F.xxhash64("node"), "node")).alias("h"))
+           .select("v", "h.node", "h.n"))
+    links = exact(_pairs(short, short, F.col("xn") < F.col("yn"), percent)
+                  .union(_pairs(long_, hub, F.col("xn") != F.col("yn"), percent)))
     groups = components(links)
-    for _ in range(ROUNDS):
-        torn = _torn(long_, groups)
-        if torn.isEmpty():
-            return groups
-        more = _against(torn.select(F.col("node").alias("d"), F.col("_main").alias("g")).distinct(), groups, sets, percent)
-        pairs, long_ = met_in(torn.select("v", "node", "n"))
-        links = staged(links.union(more).union(exact(pairs)))
-        groups = components(links)
-    torn = _torn(long_, groups, whole=True)
-    if torn.isEmpty():
+    want = _apart(long_, groups)
+    if want.isEmpty():
         return groups
-    return components(links.union(exact(_pairs(torn, torn, (F.col("xn") < F.col("yn")) & (F.col("xg") != F.col("yg")), percent))))
+    return components(links.union(_against(want, groups, sets, percent)))
 
 
 def _pairs(x: DataFrame, y: DataFrame, on: Column, percent: int) -> DataFrame:
-    def side(df: DataFrame, s: str, n: str) -> DataFrame:
-        more = [F.col("g").alias(f"{s}g")] if "g" in df.columns else []
-        return df.select(F.col("v").alias(f"{s}v"), F.col("node").alias(f"{s}n"), F.col("n").alias(n), *more)
-
-    met = side(x, "x", "na").join(side(y, "y", "nb"), (F.col("xv") == F.col("yv")) & on & similar_size(percent, "na", "nb"))
+    left = x.select(F.col("v").alias("xv"), F.col("node").alias("xn"), F.col("n").alias("na"))
+    right = y.select(F.col("v").alias("yv"), F.col("node").alias("yn"), F.col("n").alias("nb"))
+    met = left.join(right, (F.col("xv") == F.col("yv")) & on & similar_size(percent, "na", "nb"))
     return met.select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b"))
 
 
-def _torn(long_: DataFrame, groups: DataFrame, whole: bool = False) -> DataFrame:
-    """Members of lists with several components that aren't in the largest (``whole``: all members of such lists)."""
-    labelled = long_.join(groups, "node", "left").select("v", "node", "n", F.coalesce("component", "node").alias("g"))
-    main = (labelled.groupBy("v", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("v")
-            .agg(F.max_by("g", F.struct("c", "g")).alias("_main"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1"))
-    out = labelled.join(main.select("v", "_main"), "v")
-    return staged(out if whole else out.filter("g <> _main"))
+def _apart(long_: DataFrame, groups: DataFrame) -> DataFrame:
+    """``d, g``: members of a list that aren't in its largest component, and that component."""
+    labelled = long_.join(groups, "node", "left").select("v", "node", F.coalesce("component", "node").alias("own"))
+    main = (labelled.groupBy("v", "own").agg(F.count(F.lit(1)).alias("c")).groupBy("v")
+            .agg(F.max_by("own", F.struct("c", "own")).alias("g"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1"))
+    return staged(labelled.join(main.select("v", "g"), "v").filter("own <> g").select(F.col("node").alias("d"), "g").distinct())
 
 
 def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """``a, b``: for each ``d, g`` of ``want`` one link, if there is any, of d to each block of component g's members."""
-    want = staged(want)
+    """``a, b``: links of each ``d, g`` of ``want`` to members of component g and to other d of that g.
+
+    Per pair of blocks a spanning forest is given: links that join nothing new
+    are left out, members of g count as joined already.
+    """
     own = want.select("g").distinct()
-    members = groups.select("node", F.col("component").alias("g")).join(own, "g", "left_semi").union(
+    members = groups.select("node", F.col("component").alias("g")).join(own, "g", "left_semi").select("node", "g").union(
         own.join(groups.select(F.col("node").alias("g")), "g", "left_anti").select(F.col("g").alias("node"), "g"))
-    members = staged(members.select("node", "g"))
-    cut = (members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"))
-           .join(want.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nc")), "g"))
-    full = staged(sets(members.select("node").union(want.select("d")).distinct()))
+    others = want.select(F.col("d").alias("node"), "g")
+    all_ = staged(members.withColumn("inside", F.lit(True)).union(others.withColumn("inside", F.lit(False))))
+    cut = (all_.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"),
+                                 F.ceil(F.count_if(~F.col("inside")) / BLOCK).alias("nc")))
+    full = staged(sets(all_.select("node").distinct()))
+
+    def cells(df: DataFrame, mine: str, count: str, other: str, counts: str) -> DataFrame:
+        return (df.join(cut, "g").withColumn(mine, F.pmod(F.xxhash64("node"), F.col(count)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(counts) - 1)))
+                .join(full, "node").select(*[F.col(x).alias(x) for x in ("g", "b", "c", "node", "inside", "_full")]))
+
+    left = cells(all_, "b", "nb", "c", "nc")
+    right = cells(all_.filter(~F.col("inside")), "c", "nc", "b", "nb")
 
-    def cells(df: DataFrame, own_: str, count: str, other: str, others: str) -> DataFrame:
-        return (df.join(cut, "g").withColumn(own_, F.pmod(F.xxhash64("node"), F.col(count)))
-                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
-                .join(full, "node").select(*[F.col(x).alias(x) for x in ("g", "b", "c", "node", "_full")]))
+    def forest(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out, parent = [], {}
 
-    left = cells(members, "b", "nb", "c", "nc")
-    right = cells(want.withColumnRenamed("d", "node"), "c", "nc", "b", "nb")
+        def root(n):
+            while parent.setdefault(n, n) != n:
+                parent[n] = parent[parent[n]]
+                n = parent[n]
+            return n
 
-    def first_link(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        out = []
         if len(x):
             size = x["_full"].map(len).to_numpy()
             values = np.concatenate(x["_full"].to_list())
             of = np.repeat(np.arange(len(x)), size)
-            nodes = x["node"].to_numpy()
-            for node, own in zip(y["node"], y["_full"]):
-                own = np.sort(own)
-                at = np.minimum(np.searchsorted(own, values), len(own) - 1)
-                both = np.bincount(of[own[at] == values], minlength=len(x))
-                hit = np.flatnonzero((100 * both >= percent * (size + len(own) - both)) & (nodes != node))
-                if len(hit):
-                    out.append((min(node, nodes[hit[0]]), max(node, nodes[hit[0]])))
+            nodes, inside = x["node"].tolist(), x["inside"].tolist()
+            for node, mine in zip(y["node"].tolist(), y["_full"]):
+                mine = np.sort(mine)
+                at = np.minimum(np.searchsorted(mine, values), len(mine) - 1)
+                both = np.bincount(of[mine[at] == values], minlength=len(x))
+                for i in np.flatnonzero(100 * both >= percent * (size + len(mine) - both)).tolist():
+                    p, q = root(node), root("inside" if inside[i] else nodes[i])
+                    if p != q:
+                        parent[p] = q
+                        out.append((min(node, nodes[i]), max(node, nodes[i])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return staged(left.groupBy("g", "b", "c").cogroup(right.groupBy("g", "b", "c")).applyInPandas(first_link, "a long, b long"))
+    return staged(left.groupBy("g", "b", "c").cogroup(right.groupBy("g", "b", "c")).applyInPandas(forest, "a long, b long"))
