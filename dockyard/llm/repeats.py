@@ -6,8 +6,8 @@ so the suffixes that meet in a shuffle are chosen by content: of every window
 of ``length`` bytes, the gram with the least hash is its anchor. Neighbouring
 windows share their anchor, and such a run of windows is compared as one
 string, by its prefix polynomial hash. Equal runs settle all their windows.
-Runs that share only their anchor's gram with another document (at the ends of
-a repeated passage, or by chance) are compared window by window. Every sort
+Runs that share only their anchor's gram and some bytes around it with another
+document (at the ends of a repeated passage) are compared window by window. Every sort
 is of hash-compared suffixes cut at the length that matters.
 """
 
@@ -43,7 +43,9 @@ def _blocks(raw: Sequence[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def anchored_runs(raw: Sequence[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document, first start, last start, gram hash, run hash) of each run of windows with one anchor.
+    """Of each run of windows with one anchor: document, first start, last start, anchor, the hashes of its gram
+    and of the whole run, and of the gram with as many bytes before and after it as any window of its first
+    or second half holds (0 where the run has no window of that half).
 
     The anchor is the leftmost gram with the least hash in the window, so it
     depends on the window's bytes alone. A text longer than 2**26 bytes is cut
@@ -71,9 +73,12 @@ def anchored_runs(raw: Sequence[bytes], length: int, gram: int) -> tuple[np.ndar
         last = np.flatnonzero(good & np.append(change[1:] | ~good[1:], True))
         d = doc[first]
         base = ends[d] - sizes[d] - at
-        out.append((d, first - base, last - base, g[anchor[first]], r.of(first, last + length)))
+        a, half = anchor[first], (length - gram) // 2
+        before = np.where(first <= a - half, r.of(np.maximum(a - half, 0), a + gram), 0)
+        after = np.where(last > a - half, r.of(a, np.minimum(a + gram + half, len(b))), 0)
+        out.append((d, first - base, last - base, a - base, g[a], r.of(first, last + length), before, after))
     if not out:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64,) * 4 + (np.uint64,) * 4)
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -102,7 +107,18 @@ def _smallest(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> tuple[np.ndarray
     return o, group, d != d[np.flatnonzero(new)][group]
 
 
-_BLOBS = "bucket long, kind int, n long, doc binary, a binary, b binary, c binary, d binary"
+def _shared(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """True where the key is in several documents."""
+    distinct, of = np.unique(key, return_inverse=True)
+    low = np.full(len(distinct), np.iinfo(np.int64).max)
+    high = np.full(len(distinct), np.iinfo(np.int64).min)
+    np.minimum.at(low, of, doc)
+    np.maximum.at(high, of, doc)
+    return (low < high)[of]
+
+
+_BLOBS = "bucket long, kind int, n long, doc binary, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
+_CELLS = ("doc", "a", "b", "c", "d", "e", "f", "g")
 _SPANS = "_id long, kind int, s int, e int"
 
 
@@ -114,12 +130,12 @@ def _blob_rows(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> Iter
     columns = [c[o] for c in columns]
     for lo, hi in zip(cut, np.append(cut[1:], len(bucket))):
         cells = [c[lo:hi].tobytes() for c in columns]
-        yield (int(bucket[lo]), kind, int(hi - lo), *cells, *[b""] * (5 - len(cells)))
+        yield (int(bucket[lo]), kind, int(hi - lo), *cells, *[b""] * (len(_CELLS) - len(cells)))
 
 
 def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
-    names = ["bucket", "kind", "n", "doc", "a", "b", "c", "d"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * len(_CELLS)]
+    names = ["bucket", "kind", "n", *_CELLS]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
@@ -130,7 +146,7 @@ def _spread_spans(doc, start, end, buckets: int) -> Iterator[tuple]:
 
 def _read(group: pd.DataFrame, kind: int, types: Sequence) -> list[np.ndarray]:
     rows = group[group["kind"] == kind]
-    return [np.frombuffer(b"".join(rows[c]), t) for c, t in zip(("doc", "a", "b", "c", "d"), types)]
+    return [np.frombuffer(b"".join(rows[c]), t) for c, t in zip(_CELLS, types)]
 
 
 def _span_frame(doc, kind, start, end) -> pd.DataFrame:
@@ -154,14 +170,15 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         def flush() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            doc, s, e, g, x = (np.concatenate(c) for c in zip(*held))
+            doc, s, e, a, g, x, before, after = (np.concatenate(c) for c in zip(*held))
             held.clear()
             g = (g >> np.uint64(32)).astype(np.uint32)
             o, _, later = _smallest((g, x), doc)
             rows = list(_spread_spans(doc[o[later]], s[o[later]], e[o[later]] + length, buckets))
             o = o[~later]
             rows += _blob_rows(RUN, (g[o] % np.uint32(buckets)).astype(np.int64),
-                               [doc[o], s[o].astype(np.int32), (e - s)[o].astype(np.uint16), g[o], x[o]])
+                               [doc[o], s[o].astype(np.int32), (e - s)[o].astype(np.uint16), (a - s)[o].astype(np.uint16), g[o], x[o],
+                                (before[o] >> np.uint64(48)).astype(np.uint16), (after[o] >> np.uint64(48)).astype(np.uint16)])
             yield _blob_batch(rows)
 
         for batch in batches:
@@ -175,21 +192,23 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         yield from flush()
 
     def settle_runs(key, group: pd.DataFrame) -> pd.DataFrame:
-        doc, s, n, g, x = _read(group, RUN, (np.int64, np.int32, np.uint16, np.uint32, np.uint64))
+        doc, s, n, a, g, x, *sides = _read(
+            group, RUN, (np.int64, np.int32, np.uint16, np.uint16, np.uint32, np.uint64, np.uint16, np.uint16))
         e = s + n
         o, _, later = _smallest((g, x), doc)
         known = _merged(doc[o[later]], s[o[later]], e[o[later]] + length)
         o = o[~later]
-        # a gram of one document alone matches nothing; of the others the windows are compared
-        by_gram, shared = np.unique(g[o], return_inverse=True)
-        low = np.full(len(by_gram), np.iinfo(np.int64).max)
-        high = np.full(len(by_gram), np.iinfo(np.int64).min)
-        np.minimum.at(low, shared, doc[o])
-        np.maximum.at(high, shared, doc[o])
-        o = o[(low < high)[shared]]
+        # a gram with its surroundings in one document alone matches nothing; of the others the windows are
+        # compared. Short hashes will do here: they only choose what is compared.
+        doc_, s_, e_ = doc[o], s[o].astype(np.int64), e[o].astype(np.int64)
+        middle = s_ + a[o] - (length - gram) // 2  # the last start of the first half
+        first_half, second_half = (_shared(g[o].astype(np.uint64) << np.uint64(16) | side[o], doc_) for side in sides)
+        start = np.where(first_half, s_, np.maximum(s_, middle + 1))
+        end = np.where(second_half, e_, np.minimum(e_, middle))
+        loose = (first_half | second_half) & (start <= end)
         before = _read(group, SPAN, (np.int64, np.int32, np.int32))
         return pd.concat([_span_frame(before[0], SPAN, before[1], before[2]),
-                          _span_frame(known[0], SPAN, known[1], known[2]), _span_frame(doc[o], RUN, s[o], e[o])])
+                          _span_frame(known[0], SPAN, known[1], known[2]), _span_frame(doc_[loose], RUN, start[loose], end[loose])])
 
     found = staged(docs.mapInArrow(runs, _BLOBS).repartition(tasks(docs.sparkSession), "bucket")
                    .groupBy("bucket").applyInPandas(settle_runs, _SPANS))
