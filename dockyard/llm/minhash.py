@@ -97,15 +97,36 @@ def _sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "_id long, n long, _set binary, _sketch array<long>")
 
 
-def _full_sets(docs: DataFrame, words: int) -> DataFrame:
+#: Bits of the filter that keeps documents nobody asks for from being cut into shingles; it only saves work.
+FILTER_BITS = 1 << 22
+
+
+def _filter(need: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which every ``node`` of ``need`` has its bit."""
+    at = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    words = need.select((at / 64).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(node), {FILTER_BITS}) % 64 as int))").alias("bit"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.groupBy("w").agg(F.bit_or("bit").alias("bits")).collect():  # as many rows as the bitmap has words
+        out[r["w"]] = r["bits"]
+    return out
+
+
+def _full_sets(docs: DataFrame, need: DataFrame, words: int) -> DataFrame:
+    """``node, _full`` for the documents of ``need``; texts stay where they are read."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter(need))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         for batch in batches:
+            at = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((bits[at // 64] >> (at % 64)) & 1 == 1))
             texts = batch.column(1).to_pylist()
             for a, b in _blocks(texts):
                 values, n = shingle_sets(texts[a:b], words)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _list(values, n)], ["_id", "_full"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _list(values, n)], ["node", "_full"])
 
-    return docs.mapInArrow(run, "_id long, _full array<long>")
+    rows = docs.filter("_id is not null").select("_id", "_text", F.pmod(F.xxhash64("_id"), F.lit(FILTER_BITS)).alias("_at"))
+    return rows.mapInArrow(run, "node long, _full array<long>").join(need, "node", "left_semi")
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, list_size: int = 24,
@@ -151,8 +172,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
                 .filter(both >= F.size("_u") * (percent / 100 - 0.3)).select("a", "b"))
 
     def sets(need: DataFrame) -> DataFrame:
-        some = own.join(need.withColumnRenamed("node", "_id"), "_id", "left_semi").select("_id", "_text")
-        return _full_sets(some, words).withColumnRenamed("_id", "node")
+        return _full_sets(own, staged(need), words)
 
     groups = linked_groups(staged(lists), percent, sets, list_size, promising)
     classes = reps.join(groups, F.col("_rep") == F.col("node"), "left").select(
