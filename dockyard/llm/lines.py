@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dockyard.llm.lists import linked_groups
 from dockyard.llm.minhash import _list
 from dockyard.llm.rolling import Rolling, mix, ragged
-from dockyard.llm.tables import staged, tasks
+from dockyard.llm.tables import release, staged, tasks
 
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _EMPTY = np.uint64(2**64 - 1)
@@ -121,6 +121,7 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
 
     seen = staged(own.mapInArrow(read, "_id long, line int, key binary, bands array<long>"))
     first = seen.groupBy("key").agg(F.min(F.struct("_id", "line", "bands")).alias("f"))
+    release(docs.sparkSession)
     nodes = staged(first.select(F.monotonically_increasing_id().alias("node"), "key", "f._id", "f.line", "f.bands"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +164,9 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
         return (own.join(per, own["_id"].eqNullSafe(per["_id"])).select("_text", "_want")
                 .mapInArrow(full, "node long, _full array<long>").dropDuplicates(["node"]))
 
+    release(docs.sparkSession)
     groups = linked_groups(lists, percent, sets, list_size)
+    release(docs.sparkSession)
     labelled = nodes.join(groups, "node", "left").select("key", "_id", "line", F.coalesce("component", "node").alias("g"))
     stays = labelled.groupBy("g").agg(F.min(F.struct("_id", "line")).alias("_stay"))
     place = labelled.join(stays, "g").select("key", "_stay")

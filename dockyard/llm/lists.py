@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
-from dockyard.llm.tables import staged
+from dockyard.llm.tables import release, staged
 
 #: Members of a component, and documents held against it, that are compared in one task.
 BLOCK = 256
@@ -57,6 +57,7 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
            .select("v", "h.node", "h.n"))
     links = exact(_pairs(short, short, F.col("xn") < F.col("yn"), percent)
                   .union(_pairs(long_, hub, F.col("xn") != F.col("yn"), percent)))
+    release(lists.sparkSession)
     groups = components(links)
     want = _apart(long_, groups)
     if want.isEmpty():
