@@ -116,18 +116,20 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(train: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", dim: int = 4096,
-        sizes: Sequence[int] = (1, 2, 3), clusters: int = 4, sample: int = 240, slack: float = 0.5) -> Model:
-    """A model of the rows of ``train`` with a language and a text.
+        sizes: Sequence[int] = (1, 2, 3), clusters: int = 4, sample: int = 240, slack: float = 0.5, low: float = 0.02) -> Model:
+    """A model of the rows of ``train`` with a language and a text that holds a letter.
 
     Document frequencies come from all rows. The centroids of a language come
     from ``clusters`` clusters of a sample of about ``sample`` of its rows,
     chosen by a hash of id and text. A text is rejected when its similarity to
-    the nearest centroid is below ``slack`` times the least similarity of that
-    language's sample. The model's size depends on ``dim``, ``clusters`` and
-    the number of languages only. With no rows, every text is rejected.
+    the nearest centroid is below ``slack`` times the ``low`` quantile of the
+    similarities of that language's sample, so that a few mislabelled rows
+    can't set it (below 51 rows it is the least one). The model's size depends
+    on ``dim``, ``clusters`` and the number of languages only. With no rows,
+    every text is rejected.
     """
     spark = train.sparkSession
-    rows = train.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = train.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
 
     def frequency(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,8 +155,9 @@ def fit(train: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_c
     def cluster(key, group: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(group["text"])
         x = np.concatenate([vectors(texts[a:b], idf, sizes) for a, b in _chunks(texts)])
-        c = centroids(x[x.any(axis=1)], clusters) if x.any() else x[:1]
-        return pd.DataFrame({"lang": key[0], "floor": float(slack * (x @ c.T).max(axis=1).min()),
+        c = centroids(x, clusters)
+        floor = slack * np.quantile((x @ c.T).max(axis=1), low, method="lower")
+        return pd.DataFrame({"lang": key[0], "floor": float(floor),
                              "point": [p.astype(np.float32).tobytes() for p in c]})
 
     made = some.groupBy("lang").applyInPandas(cluster, "lang string, floor double, point binary").collect()

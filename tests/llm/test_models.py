@@ -145,3 +145,15 @@ def test_pipeline_of_odd_documents(spark):
 def test_registered(spark):
     import __spark_entry__ as e
     assert set(queries.QUERIES) | {"pipeline"} <= set(e.queries())
+
+
+def test_other_languages_are_rejected_beside_letterless_rows(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter(~held_out()).select("doc_id", "text", "lang")
+    langs = [r.lang for r in docs.select("lang").distinct().collect()]
+    junk = [(-i, t, lang) for i, (t, lang) in enumerate(itertools.product(["", "2024 1234 !!", " – €", None], langs), 1)]
+    plain, model = fit(docs), fit(docs.unionByName(spark.createDataFrame(junk, docs.schema)))
+    assert sorted(set(model.langs)) == sorted(langs) and (model.floors > 0.1).all()
+    assert (model.floors == plain.floors).all()
+    strange = ["Это совсем другой язык, которого модель никогда не видела", "これは学習していない言語の文章です",
+               "Tämä on aivan toinen kieli jota malli ei ole koskaan nähnyt", "U2FsdGVkX1+vupppZksvRf5pq5g5XjFRIipRkwB0K1Y="]
+    assert model.predict(strange)[2].all()
