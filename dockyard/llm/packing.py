@@ -36,9 +36,19 @@ def piece_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
     return lambda pieces: [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(spell))] for p in pieces]
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the strings that the tokenizer file at ``path`` matches before its model sees a text."""
+    from tokenizers import Tokenizer
+    tokens = Tokenizer.from_file(path).get_added_tokens_decoder()
+    for t in tokens.values():
+        if t.single_word or t.lstrip or t.rstrip:
+            raise ValueError(f"{t.content}: added tokens that look at the text around them are not supported")
+    return {t.content: i for i, t in tokens.items()}
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
-    return Encoder(piece_encoder(path))
+    return Encoder(piece_encoder(path), added=added_tokens(path))
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,

@@ -7,6 +7,7 @@ class may differ between Unicode versions go through the pattern itself.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
@@ -124,11 +125,15 @@ class Encoder:
 
     ``encode_pieces`` gives the ids of a list of pre-tokens. They are kept for
     the next blocks in a table of bounded size, which only saves work: when
-    ``keep`` is passed, the table starts anew.
+    ``keep`` is passed, the table starts anew. Texts are cut at the strings of
+    ``added``, of which the leftmost, then the longest counts; these get their
+    own ids, and what is between them is split by itself.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[Sequence[int]]], keep: int = 1_000_000):
-        self._encode, self._keep = encode_pieces, keep
+    def __init__(self, encode_pieces: Callable[[list[str]], list[Sequence[int]]], keep: int = 1_000_000,
+                 added: dict[str, int] | None = None):
+        self._encode, self._keep, self._added = encode_pieces, keep, added or {}
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
         self._clear(0)
 
     def _clear(self, new: int) -> None:
@@ -160,7 +165,12 @@ class Encoder:
     def __call__(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For one block of texts after another: (ids of all texts in a row, ids per text)."""
         for a, b in blocks(texts):
-            block = Block(texts[a:b])
+            some, cuts = texts[a:b], None
+            if any(token in t for token in self._added for t in some):
+                # text, token, text, ...: every other part is a token
+                cuts = [self._cut.split(t) for t in some]
+                some = [part for c in cuts for part in c[::2]]
+            block = Block(some)
             row = self._table.get(block.hash)
             missing = np.flatnonzero(row < 0)
             if len(missing):
@@ -175,4 +185,12 @@ class Encoder:
                 out = self._ids[ragged(self._begin[row], per)]
             ends = np.concatenate([[0], np.cumsum(per)])
             stops = np.cumsum(block.counts)
-            yield out, ends[stops] - ends[stops - block.counts]
+            n = ends[stops] - ends[stops - block.counts]
+            if cuts:
+                parts = np.fromiter((len(c) // 2 + 1 for c in cuts), np.int64, len(cuts))
+                first = np.cumsum(parts) - parts
+                follows = np.ones(len(n), bool)
+                follows[first] = False
+                out = np.insert(out, (np.cumsum(n) - n)[follows], [self._added[t] for c in cuts for t in c[1::2]])
+                n = np.add.reduceat(n, first) + parts - 1
+            yield out, n

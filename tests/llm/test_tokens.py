@@ -153,3 +153,16 @@ def test_chat_nulls_ties_and_empty(spark):
     got = {r.conv_id: (r.n_turns, r.loss_chars) for r in read_back(format_turns(df)).collect()}
     assert got == {None: (1, 0), 2: (3, 2)}
     assert read_back(format_turns(spark.createDataFrame([], kind))).count() == 0
+
+
+def test_added_tokens_like_the_library(spark):
+    rng = random.Random(9)
+    bits = ["<|endoftext|>", "<|endoftext|", "|>", "<", " ", "\n", "ab", "it's", "日", "12", "é "]
+    texts = ["ab <|endoftext|> cd", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a  <|endoftext|>  b", "plain", "", None]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    t = Tokenizer.from_file(JSON)
+    want = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in enumerate(texts)}
+    assert want[0] == [397, 220, 50256, 22927, 0]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in pack_documents(df, JSON).collect()}
+    assert got == want
