@@ -49,20 +49,38 @@ BOILER_WORDS = frozenset(
     "disclaimer warning popup modal overlay newsletter subscribe subscription signup login comment comments commentlist "
     "reply replies respond disqus discussion share sharing social related recommended recirculation breadcrumb breadcrumbs "
     "pagination pager widget toolbar search form copyright legal skip tags".split())
+#: Of these, words that also name the layout of a page on the element around all of it.
+LAYOUT_WORDS = frozenset("nav navbar navigation menu menubar sidebar rail".split())
 CONTENT_WORDS = frozenset("article content post entry story main body text prose page".split())
+#: What follows one of these in a name ("has-sidebar", "no-ads") tells how a page is laid out, not what an element is.
+STATE_WORDS = frozenset("has no with without".split())
+#: Costs of a name with a word of BOILER_WORDS: as part of an article's name, of layout words alone, and of others.
+#: They are inherited; blocks with the most content evidence there is (7.4) can outweigh the first two.
+PART_COST, LAYOUT_COST, NAME_COST = 1.0, 5.0, 8.0
 
 
 class _Element:
-    __slots__ = ("tag", "number", "boiler", "inside", "link", "skip")
+    __slots__ = ("tag", "number", "boiler", "named", "inside", "link", "skip")
 
-    def __init__(self, tag, number, boiler, inside, link, skip):
-        self.tag, self.number, self.boiler, self.inside, self.link, self.skip = tag, number, boiler, inside, link, skip
+    def __init__(self, tag, number, boiler, named, inside, link, skip):
+        self.tag, self.number, self.boiler, self.named, self.inside, self.link, self.skip = tag, number, boiler, named, inside, link, skip
+
+
+def _words(names: str) -> list[str]:
+    """The words of a class or id, without what follows a word of STATE_WORDS in a name."""
+    out = []
+    for name in names.split():
+        for w in _WORD.findall(_CAMEL.sub(" ", name).lower()):
+            if w in STATE_WORDS:
+                break
+            out.append(w)
+    return out
 
 
 def blocks(page: str) -> list[tuple]:
     """(text, parent element, boilerplate evidence, content evidence, characters in links, tag) per block."""
     out: list[tuple] = []
-    stack = [_Element("", 0, 0.0, 0.0, False, False)]
+    stack = [_Element("", 0, 0.0, 0.0, 0.0, False, False)]
     number, parts, linked = 0, [], 0
     skip_to = None
 
@@ -75,7 +93,7 @@ def blocks(page: str) -> list[tuple]:
                 home = next((e for e in reversed(stack) if e.tag in BLOCK or not e.tag))
                 at = stack.index(home)
                 above = next((e.number for e in reversed(stack[:at]) if e.tag in BLOCK or not e.tag), 0)
-                out.append((text, above, home.boiler, home.inside, linked, home.tag))
+                out.append((text, above, max(home.boiler, home.named), home.inside, linked, home.tag))
         linked = 0
 
     for m in _TOKEN.finditer(page):
@@ -121,12 +139,13 @@ def blocks(page: str) -> list[tuple]:
         if tag in VOID:
             continue
         top = stack[-1]
-        boiler, inside = top.boiler, top.inside
+        boiler, named, inside = top.boiler, top.named, top.inside
+        own_name, own_inside = 0.0, 0.0
         attributes = m[3] if m[2] else m[6]
         if tag in BOILER_TAGS or tag == "header" and not inside >= 3:
             boiler = max(boiler, 40.0)
         elif tag in ("article", "main"):
-            inside = max(inside, 3.0)
+            own_inside = 3.0
         if attributes and not attributes.isspace() and tag not in ("html", "a"):
             for a in _NAME.finditer(attributes):
                 name, value = a[1].lower(), a[2] or a[3] or a[4] or ""
@@ -139,18 +158,25 @@ def blocks(page: str) -> list[tuple]:
                     if value.lower() in BOILER_ROLES:
                         boiler = max(boiler, 40.0)
                     elif value.lower() in ("main", "article"):
-                        inside = max(inside, 3.0)
+                        own_inside = 3.0
                 elif tag not in ("body", "main"):
-                    words = _WORD.findall(_CAMEL.sub(" ", value).lower())
-                    if any(w in BOILER_WORDS for w in words):
+                    words = _words(value)
+                    beside = [w for w in words if w in BOILER_WORDS]
+                    if beside:
                         # "entry-header" and the like name a part of the article
                         own = any(w in CONTENT_WORDS for w in words) and not any(
                             w in ("comment", "comments", "ad", "ads", "menu", "nav", "sidebar", "share", "related") for w in words)
-                        boiler = max(boiler, 1.0 if own or tag == "article" else 40.0)
-                    elif any(w in CONTENT_WORDS for w in words):
-                        inside = max(inside, 2.0)
+                        own_name = max(own_name, PART_COST if own or tag == "article" else
+                                       LAYOUT_COST if LAYOUT_WORDS.issuperset(beside) else NAME_COST)
+                    if any(w in CONTENT_WORDS for w in words) and (not beside or LAYOUT_WORDS.issuperset(beside)):
+                        own_inside = max(own_inside, 2.0)
+        if own_name > PART_COST and own_inside < 3:
+            inside = 0.0  # what is beside the article isn't part of the one around it
+        elif own_inside == 3 and not own_name:
+            named = 0.0  # an article or main with no such name of its own starts anew
+        named, inside = max(named, own_name), max(inside, own_inside)
         number += 1
-        stack.append(_Element(tag, number, boiler, inside, top.link or tag == "a", top.skip or tag in SKIP))
+        stack.append(_Element(tag, number, boiler, named, inside, top.link or tag == "a", top.skip or tag in SKIP))
         if tag in RAW and not token.endswith("/>"):
             skip_to = tag
     flush()

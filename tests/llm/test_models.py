@@ -63,6 +63,33 @@ def test_page_without_article_tag():
     assert main_text(PAGE).split("\n") == ["Title & more", "First para graph here.", "Short.", "point one", "point two with a link", "Last one."]
 
 
+LONG = "This paragraph of the article has more than enough words to be told from the links and buttons around it by anyone who reads on."
+WRAPPED = """<html><body><header><h1>Site</h1></header><nav><a href=/>home</a></nav>
+<div {}><{}><h2>Title</h2><p>%s</p><p>Short one.</p></{}>
+<div class="related"><h4>Related</h4><p>%s</p></div></div>
+<div class="sidebar"><p>Some side text that is quite long and goes on for a while with words.</p></div>
+<div id="comments"><div class="comment"><div class="text"><p>%s</p></div></div></div><footer><p>Legal</p></footer></body></html>""" % (LONG, LONG, LONG)
+
+
+def test_layout_words_on_the_wrapper():
+    for names in ('class="content has-sidebar"', 'id="page" class="no-sidebar"', 'class="wrap with-nav"', 'class="hasSidebar"',
+                  'class="sidebar-left"', 'class="layout menu-open"', 'id="share-root"', 'class="search-enabled related"'):
+        for tag in ("article", "main", 'div role="main"'):
+            assert main_text(WRAPPED.format(names, tag, tag.split()[0])).split("\n") == ["Title", LONG, "Short one."], (names, tag)
+    for names in ('class="content has-sidebar"', 'id="page" class="no-sidebar"'):
+        assert LONG in main_text(WRAPPED.format(names, "div", "div"))
+    # without an article in it, only long blocks outweigh the name of the wrapper
+    assert main_text(f"<body><div class='content sidebar-right'><p>{LONG} {LONG}</p></div></body>") == f"{LONG} {LONG}"
+
+
+def test_named_parts_inside_an_article_stay_out():
+    for name in ("comments", "share", "related posts", "newsletter-signup", "sidebar", "ad", "comment-list has-avatars"):
+        page = f"<body><article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div></article></body>"
+        assert main_text(page).split("\n") == ["Title", LONG, LONG], name
+    comments = f"<ol class='comment-list'><li><article class='comment-body'><p>{LONG}</p></article></li></ol>"
+    assert main_text(f"<body><article><p>{LONG}</p></article>{comments}</body>") == LONG
+
+
 def test_odd_pages(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (1, None, "", "x"), (None, "u", "<p>a < b &amp; c", "x"), (3, "u", "<div><a href=\"x", "x")],
                                "page_id long, url string, html string, text string")
