@@ -49,7 +49,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     ties go to the smaller id; a row never meets a row of its own id. Vectors
     that are null, hold null or non-finite components, or have a null id take
     no part; shorter vectors count as ending in zeros. Rows that repeat an id
-    are candidates each. A query that is listed twice is answered once.
+    are candidates each. A query id that is listed twice is answered once, for
+    the least of its vectors that take part (component by component).
 
     Vectors are packed into shards of about ``shard_rows`` rows and queries
     into blocks; every shard meets every block, which is a stated query set
@@ -98,7 +99,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
                                     "score": np.concatenate([o[2] for o in out])})
 
     shards = packed(vectors, shard_rows)
-    blocks = packed(queries.dropDuplicates([id_col]), block_queries).select(
+    once = queries.filter(good).groupBy(id_col).agg(F.min(vector_col).alias(vector_col))
+    blocks = packed(once, block_queries).select(
         F.col("ids").alias("qids"), F.col("width").alias("qwidth"), F.col("m").alias("qm"))
     # the shards and the blocks are dealt to a grid of cells; each pair meets in one cell
     spread = math.isqrt(4 * tasks(vectors.sparkSession)) + 1

@@ -139,6 +139,17 @@ def test_top_k_odd_vectors(spark):
     assert top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_repeated_query_ids(spark):
+    kind = "vec_id long, embedding array<float>"
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.5, 0.25])], kind)
+    bad = [None, [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0]]
+    for first in bad:
+        rows = [(9, first), (9, [1.0, 0.0]), (9, [0.0, 1.0]), *((9, v) for v in bad)]
+        for some in (rows, rows[::-1]):
+            asked = spark.createDataFrame(some, kind).coalesce(1)
+            assert sorted((r["rank"], r.vec_id, r.score) for r in top_k(df, asked, k=2).collect()) == [(1, 2, 65536), (2, 3, 16384)]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     columns, kept = docs.columns, {}
