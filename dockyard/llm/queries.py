@@ -78,9 +78,32 @@ def op10_byte_bpe(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_sharding(spark, sf_dir):
+    from dockyard.llm.sharding import shard
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    raw = F.coalesce("text", F.lit("")).cast("binary")
+    return shard(docs, shards=8, seed=11).select(
+        "doc_id", (F.length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    from dockyard.llm.negatives import mine
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return mine(vectors, vectors.filter("vec_id % 100 = 0"), positives=5, negatives=10, low=30, high=90, scale=256)
+
+
+def op13_whitening(spark, sf_dir):
+    from dockyard.llm.whitening import whiten
+    exact = whiten(_table(spark, sf_dir, "embeddings"), components=8, scale=1024, shift=100000)
+    return exact.withColumn("deviation_exact", F.col("deviation")).withColumn(
+        "deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_html_extract, op3_minhash_dedup, op4_exact_dedup, op5_chat_format, op6_line_dedup, op7_suffix_dedup, op8_top_k,
-                            op9_language_id, op10_byte_bpe)
+                            op9_language_id, op10_byte_bpe, op11_sharding, op12_hard_negatives, op13_whitening)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -105,4 +128,24 @@ ORACLE_SQL: dict[str, str] = {
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
             FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+               s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+             AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        QUALIFY rank <= 10""",
 }
