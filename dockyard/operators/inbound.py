@@ -111,12 +111,8 @@ def deliverable_events(events: DataFrame) -> DataFrame:
     return events.filter((F.coalesce(_error(), F.lit("")) == "") & trigger_type().isin(*DELIVERABLE_TRIGGERS))
 
 
-def workflow_counts(events: DataFrame) -> DataFrame:
-    """The five counts, each read at one of two adjacent node positions and
-    only when the node's name matches; positions count over all visits and
-    services of the document (tote: 1|2, cig: 2|3, snuff: 3|4,
-    ecig: 4|5, lil cig: 5|6). Non-numeric text gives NULL and sets
-    ``parse_error`` (the reference fails the whole job, K18)."""
+def count_columns() -> list[Column]:
+    """The five counts of an event and ``parse_error`` (see :func:`workflow_counts`)."""
     wf = nodes(F.col("ev.orderStatusDetail"), "visit/service/stopWorkflowData")
     cols, errs = [], []
     for i, (name, out) in enumerate(zip(WORKFLOW_NODES, COUNT_COLS)):
@@ -128,11 +124,20 @@ def workflow_counts(events: DataFrame) -> DataFrame:
     bad = errs[0]
     for e in errs[1:]:
         bad = bad | e
-    return events.select("unique_id", *cols, F.coalesce(bad, F.lit(False)).alias("parse_error"))
+    return [*cols, F.coalesce(bad, F.lit(False)).alias("parse_error")]
 
 
-def event_header(events: DataFrame) -> DataFrame:
-    """Header fields of each event, cut to the reference's declared lengths."""
+def workflow_counts(events: DataFrame) -> DataFrame:
+    """The five counts, each read at one of two adjacent node positions and
+    only when the node's name matches; positions count over all visits and
+    services of the document (tote: 1|2, cig: 2|3, snuff: 3|4,
+    ecig: 4|5, lil cig: 5|6). Non-numeric text gives NULL and sets
+    ``parse_error`` (the reference fails the whole job, K18)."""
+    return events.select("unique_id", *count_columns())
+
+
+def header_columns() -> list[Column]:
+    """Header fields of an event, cut to the reference's declared lengths."""
     t, o, d = F.col("ev.trigger"), F.col("ev.orderStatusSummary"), F.col("ev.orderStatusDetail")
     fields = [
         ("pod_whse", t, "centerNumber", 100), ("route", o, "routeNumber", 30), ("status", o, "status", 30),
@@ -147,7 +152,12 @@ def event_header(events: DataFrame) -> DataFrame:
         ("purpose_number", o, "serviceSummary/serviceSummaryEntry/purposeNumber", 50),
         ("actual_start_time", d, "visit/service/actualStart", 30), ("actual_end_time", d, "visit/service/actualEnd", 30)]
     signature = F.unbase64(first_node(o, "orderItemStatusGroup/recipient/signature")).alias("signature")
-    return events.select("unique_id", *[_cut(first_node(c, path), n).alias(out) for out, c, path, n in fields], signature)
+    return [*[_cut(first_node(c, path), n).alias(out) for out, c, path, n in fields], signature]
+
+
+def event_header(events: DataFrame) -> DataFrame:
+    """Header fields of each event (:func:`header_columns`)."""
+    return events.select("unique_id", *header_columns())
 
 
 def resolve_warehouse(header: DataFrame, whse: DataFrame) -> DataFrame:
@@ -207,11 +217,10 @@ def receipt_status() -> Column:
 
 def with_signatures(rows: DataFrame, control: DataFrame) -> DataFrame:
     """``rows`` when the control row POD_SIGN_FLAG says 1, else none (also when
-    the row is missing). The flag is an aggregate without keys: one row."""
+    the row is missing). The flag is one value, a scalar subquery."""
     flag = control.filter(F.col("control_type") == "POD_SIGN_FLAG").agg(
         F.coalesce(F.max(F.col("c1").try_cast("int")), F.lit(0)).alias("_flag"))
-    on = F.broadcast(flag.filter("_flag = 1"))
-    return rows.withColumn("_one", F.lit(1)).join(on, F.col("_one") == F.col("_flag"), "left_semi").drop("_one")
+    return rows.filter(flag.scalar() == 1)
 
 
 def backhaul_receipts(header: DataFrame, pos: DataFrame, existing: DataFrame,
@@ -286,15 +295,19 @@ def event_items(events: DataFrame) -> DataFrame:
          .withColumn("_ln", F.try_element_at("it.lineNumber", F.lit(1)))
          .select("unique_id", "it", F.explode(F.filter("_rs", lambda r: r["_lineNumber"] == F.col("_ln"))).alias("rc")))
 
+    return j.select("unique_id", *item_columns(F.col("it"), F.col("rc")))
+
+
+def item_columns(it: Column, rc: Column) -> list[Column]:
+    """Report fields of an item and its receipt."""
     def one(path: str) -> Column:
-        return first_node(F.array(F.col("it")), path)
+        return first_node(F.array(it), path)
 
     scanned = F.lower(F.trim(one("scanned")))
-    return j.select(
-        "unique_id",
-        _cut(first_node(F.array(F.col("rc")), "palletNumber"), 50).alias("container_id"),
+    return [
+        _cut(first_node(F.array(rc), "palletNumber"), 50).alias("container_id"),
         _cut(one("lineNumber"), 20).alias("line_number"),
-        _cut(F.col("rc._lineNumber"), 20).alias("pod_line_number"),
+        _cut(rc["_lineNumber"], 20).alias("pod_line_number"),
         _cut(one("description"), 200).alias("item_description"),
         _cut(one("status"), 50).alias("item_status"),
         one("expectedQuantity").try_cast("int").alias("expected_qty"),
@@ -304,7 +317,19 @@ def event_items(events: DataFrame) -> DataFrame:
         _cut(one("serviceLevel"), 50).alias("service_level"),
         one("adjustment/adjustQuantity").try_cast("int").alias("adjusted_qty"),
         _cut(one("adjustment/reason/reasonCode"), 50).alias("reason_code"),
-        _cut(one("adjustment/reason/reasonDescription"), 250).alias("reason_description"))
+        _cut(one("adjustment/reason/reasonDescription"), 250).alias("reason_description")]
+
+
+def items_column() -> Column:
+    """An event's rows of :func:`event_items` as one list, for plans that keep one row per event."""
+    items = nodes(F.col("ev.orderStatusSummary"), "orderItemStatusGroup/orderItemStatusSummary")
+    receipts = nodes(F.col("ev.orderStatusDetail"), "visit/service/receipt")
+
+    def of_item(it: Column) -> Column:
+        own = F.filter(receipts, lambda r: r["_lineNumber"] == F.try_element_at(it["lineNumber"], F.lit(1)))
+        return F.transform(own, lambda r: F.struct(*item_columns(it, r)))
+
+    return F.flatten(F.transform(items, of_item))
 
 
 def normalise_items(items: DataFrame) -> DataFrame:

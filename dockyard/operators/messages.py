@@ -157,9 +157,10 @@ def _fix_item_names(xml: Column) -> Column:
 def order_messages(headers: DataFrame, lines: DataFrame, ids: DataFrame, pending: DataFrame,
                    whse: DataFrame, system_name: str = "legacySystem",
                    service_instructions: str = DEFAULT_SERVICE_INSTRUCTIONS,
-                   returns_by_customer: DataFrame | None = None, as_of=None) -> DataFrame:
+                   returns: DataFrame | None = None, as_of=None) -> DataFrame:
     """addOrderAndCustomerRequest per (load, order). ``headers`` carries the
-    order, customer, tote count, totals and ``properties`` array."""
+    order, customer, tote count, totals and ``properties`` array. Orders of a
+    customer that one of the load's ``returns`` belongs to carry an alert."""
     items = _items_by(lines, ORDER)
     mid = ids.filter(F.col("phase") == PHASE_ORDER).select(*LOAD, F.col("msg_key").alias("order_number"),
                                                            "message_id", "load_uid")
@@ -167,9 +168,9 @@ def order_messages(headers: DataFrame, lines: DataFrame, ids: DataFrame, pending
     wh = (whse.select("wh_id", "pod_whse"))
     h = (headers.drop("route_id").join(mid, ORDER).join(route, LOAD, "left").join(wh, "wh_id", "left")
          .join(items, ORDER, "left"))
-    if returns_by_customer is not None:
-        rc = returns_by_customer.select("customer_code").distinct().withColumn("_ret", F.lit(True))
-        h = h.join(rc, "customer_code", "left")
+    if returns is not None:
+        rc = returns.select(*LOAD, "customer_code").distinct().withColumn("_ret", F.lit(True))
+        h = h.join(rc, [*LOAD, "customer_code"], "left")
         alert = F.when(F.col("_ret"), F.lit(RETURN_ALERT))
     else:
         alert = F.lit(None).cast("string")

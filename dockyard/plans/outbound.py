@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dockyard.functions.keys import stage
 from dockyard.operators import messages as M
 from dockyard.operators import outbound as O
+from dockyard.operators import returns as RT
 
 
 class OutboundInputs:
@@ -19,7 +20,8 @@ class OutboundInputs:
              "po_lines", "receipts", "backhauls", "vendors", "whse",
              "shipments",          # counted-product shipments written by confirm
              "container_history",  # container shipments of earlier runs
-             "message_queue")      # outbound message queue (ids continue after it)
+             "message_queue",      # outbound message queue (ids continue after it)
+             "rmas", "rma_lines", "rma_routes")
 
     def __init__(self, **frames):
         self._frames = {}
@@ -44,7 +46,8 @@ class OutboundInputs:
             uoms="f_item_uom", upcs="f_item_upc", customers="f_customer",
             containers="f_container", pos="f_po", po_lines="f_po_line", receipts="f_receipt",
             backhauls="f_backhaul", vendors="f_vendor", whse="f_whse",
-            message_queue="f_message").items()}
+            message_queue="f_message", rmas="f_rma", rma_lines="f_rma_line",
+            rma_routes="f_rma_route").items()}
         # fixture picks have one pick master per container
         f["picks"] = lambda: fx.f_pick.withColumns({
             "shipped_quantity": F.col("picked_quantity"), "pick_master_id": F.col("container_id")})
@@ -180,19 +183,34 @@ class OutboundRun:
     def queue_done(self):
         return O.complete_loads(self.t.queue, self.pending, self.as_of)
 
+    # ----------------------------------------------------------------- returns
+
+    @property
+    def returns(self):
+        # read by the order messages (alert), the ids and the return messages
+        return self._m("returns", lambda: stage(RT.open_returns(
+            self.t.rmas, self.t.rma_lines, self.t.rma_routes, self.lines, self.pending)))
+
+    @property
+    def return_lines(self):
+        upcs = RT.return_upcs(self.t.rma_lines, self.t.upcs)
+        gtins = RT.return_gtins(self.t.rmas, self.t.customers, self.t.rma_lines, self.t.upcs)
+        return RT.return_lines(self.t.rma_lines, self.t.items, self.t.uoms, upcs, gtins)
+
     # ---------------------------------------------------------------- messages
 
     @property
     def message_ids(self):
         def build():
-            keys = M.message_keys(self.pending, self.lines, self.po, self.pallets)
+            keys = M.message_keys(self.pending, self.lines, self.po, self.pallets,
+                                  RT.return_message_keys(self.returns))
             return M.assign_message_ids(keys, self.t.message_queue)
         return self._m("ids", build)
 
     @property
     def order_messages(self):
         return M.order_messages(self.headers, self.order_lines, self.message_ids, self.pending,
-                                self.t.whse, self.system_name, as_of=self.as_of)
+                                self.t.whse, self.system_name, returns=self.returns, as_of=self.as_of)
 
     @property
     def po_messages(self):
@@ -210,7 +228,12 @@ class OutboundRun:
         return M.pallet_messages(self.pallets, self.pallet_items, self.message_ids,
                                  self.pallet_system_name, as_of=self.as_of)
 
+    @property
+    def return_messages(self):
+        return RT.return_messages(self.returns, self.t.rmas, self.t.customers, self.return_lines,
+                                  self.message_ids, self.pending, self.t.whse, self.system_name, as_of=self.as_of)
+
     @property
     def queue_rows(self):
         return M.message_queue_rows(self.order_messages, self.po_reopen_messages,
-                                    self.po_messages, self.pallet_messages)
+                                    self.po_messages, self.pallet_messages, self.return_messages)

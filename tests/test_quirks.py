@@ -55,21 +55,24 @@ def test_k7_not_like_or_is_true_unless_all_marks(spark):
 
 def test_k9_null_uom_line_is_in_neither_arm(spark):
     lines = spark.createDataFrame(
-        [("W0", "L1", "O1", "1", "H1", 0, 3, 1)],
+        [("W0", "L1", "O1", "1", "H1", 0, 3, "G1")],
         "wh_id string, load_id string, order_number string, line_number string, hu_id string, "
-        "gs1_required_flag int, quantity int, customer_id int")
+        "gs1_required_flag int, quantity int, gln string")
     od = spark.createDataFrame([("W0", "O1", "1", "P1", None, 3)],
                                "wh_id string, order_number string, line_number string, "
                                "item_number string, order_uom string, qty int")
     items = spark.createDataFrame([("W0", "P1", "CIG", "d", 0)],
                                   "wh_id string, item_number string, class_id string, "
                                   "description string, net_weight_barcode int")
-    cust = spark.createDataFrame([(1, "G1")], "customer_id int, gln string")
     upcs = spark.createDataFrame([("W0", "P1", "CS", "1234567890123", None)],
                                  "wh_id string, item_number string, uom string, upc string, "
                                  "modified_datetime timestamp")
-    assert O.gs1_order_lines(lines, od, items, cust, upcs).count() == 0
-    assert O.standard_order_lines(lines, od, items, cust, upcs).count() == 0
+    assert O.gs1_order_lines(lines, od, items, upcs).count() == 0
+    assert O.standard_order_lines(lines, od, items, upcs).count() == 0
+    # with a unit of measure the line is in one arm
+    named = od.withColumn("order_uom", F.lit("CS"))
+    assert O.gs1_order_lines(lines, named, items, upcs).count() == 1
+    assert O.standard_order_lines(lines, named, items, upcs).count() == 0
 
 
 def _events(spark, nodes):
