@@ -82,16 +82,16 @@ def anchored_runs(raw: Sequence[bytes], length: int, gram: int) -> tuple[np.ndar
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping or touching spans of a document as one (spans of one document start and end in the same order)."""
+def _merged(doc: np.ndarray, v: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Overlapping or touching spans of a text (document and variant) as one; those of one text start and end in the same order."""
     if not len(doc):
-        return doc, start, end
-    o = np.lexsort((end, start, doc))
-    doc, start, end = doc[o], start[o], end[o]
+        return doc, v, start, end
+    o = np.lexsort((end, start, v, doc))
+    doc, v, start, end = doc[o], v[o], start[o], end[o]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])
+    new[1:] = (doc[1:] != doc[:-1]) | (v[1:] != v[:-1]) | (start[1:] > end[:-1])
     at = np.flatnonzero(new)
-    return doc[at], start[at], np.maximum.reduceat(end, at)
+    return doc[at], v[at], start[at], np.maximum.reduceat(end, at)
 
 
 def _smallest(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,9 +117,9 @@ def _shared(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return (low < high)[of]
 
 
-_BLOBS = "bucket long, kind int, n long, doc binary, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
-_CELLS = ("doc", "a", "b", "c", "d", "e", "f", "g")
-_SPANS = "_id long, kind int, s int, e int"
+_BLOBS = "bucket long, kind int, n long, doc binary, v binary, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
+_CELLS = ("doc", "v", "a", "b", "c", "d", "e", "f", "g")
+_SPANS = "_id long, _v long, kind int, s int, e int"
 
 
 def _blob_rows(kind: int, bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple]:
@@ -139,9 +139,9 @@ def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def _spread_spans(doc, start, end, buckets: int) -> Iterator[tuple]:
-    doc, start, end = _merged(doc, start, end)
-    yield from _blob_rows(SPAN, doc % buckets, [doc, start.astype(np.int32), end.astype(np.int32)])
+def _spread_spans(doc, v, start, end, buckets: int) -> Iterator[tuple]:
+    doc, v, start, end = _merged(doc, v, start, end)
+    yield from _blob_rows(SPAN, doc % buckets, [doc, v, start.astype(np.int32), end.astype(np.int32)])
 
 
 def _read(group: pd.DataFrame, kind: int, types: Sequence) -> list[np.ndarray]:
@@ -149,14 +149,14 @@ def _read(group: pd.DataFrame, kind: int, types: Sequence) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(rows[c]), t) for c, t in zip(_CELLS, types)]
 
 
-def _span_frame(doc, kind, start, end) -> pd.DataFrame:
-    return pd.DataFrame({"_id": doc, "kind": np.full(len(doc), kind, np.int32), "s": start.astype(np.int32), "e": end.astype(np.int32)})
+def _span_frame(doc, v, kind, start, end) -> pd.DataFrame:
+    return pd.DataFrame({"_id": doc, "_v": v, "kind": np.full(len(doc), kind, np.int32), "s": start.astype(np.int32), "e": end.astype(np.int32)})
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFrame:
-    """``_id, s, e`` (byte offsets, end exclusive): spans covered by strings of smaller documents.
+    """``_id, _v, s, e`` (byte offsets, end exclusive): spans covered by strings of smaller documents.
 
-    ``docs`` has ``_id`` and ``_raw`` (binary). Together a document's spans cover exactly
+    ``docs`` has ``_id``, ``_v`` (what tells texts of one id apart) and ``_raw`` (binary). Together a document's spans cover exactly
     the bytes to remove. Records are cut into four buckets per shuffle
     partition by the hash they are compared by. Before the shuffle a task
     settles all but the smallest document of each string it holds, so a
@@ -170,45 +170,47 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         def flush() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            doc, s, e, a, g, x, before, after = (np.concatenate(c) for c in zip(*held))
+            doc, v, s, e, a, g, x, before, after = (np.concatenate(c) for c in zip(*held))
             held.clear()
             g = (g >> np.uint64(32)).astype(np.uint32)
             o, _, later = _smallest((g, x), doc)
-            rows = list(_spread_spans(doc[o[later]], s[o[later]], e[o[later]] + length, buckets))
+            rows = list(_spread_spans(doc[o[later]], v[o[later]], s[o[later]], e[o[later]] + length, buckets))
             o = o[~later]
             rows += _blob_rows(RUN, (g[o] % np.uint32(buckets)).astype(np.int64),
-                               [doc[o], s[o].astype(np.int32), (e - s)[o].astype(np.uint16), (a - s)[o].astype(np.uint16), g[o], x[o],
+                               [doc[o], v[o], s[o].astype(np.int32), (e - s)[o].astype(np.uint16), (a - s)[o].astype(np.uint16), g[o], x[o],
                                 (before[o] >> np.uint64(48)).astype(np.uint16), (after[o] >> np.uint64(48)).astype(np.uint16)])
-            yield _blob_batch(rows)
+            if rows:  # none, if all texts held are shorter than a window
+                yield _blob_batch(rows)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            raw = batch.column(1).to_pylist()
+            variants = batch.column(1).to_numpy(zero_copy_only=False)
+            raw = batch.column(2).to_pylist()
             for a, b in _blocks(raw):
                 d, *rest = anchored_runs(raw[a:b], length, gram)
-                held.append((ids[a:b][d], *rest))
+                held.append((ids[a:b][d], variants[a:b][d], *rest))
                 if sum(len(h[0]) for h in held) >= _FLUSH:
                     yield from flush()
         yield from flush()
 
     def settle_runs(key, group: pd.DataFrame) -> pd.DataFrame:
-        doc, s, n, a, g, x, *sides = _read(
-            group, RUN, (np.int64, np.int32, np.uint16, np.uint16, np.uint32, np.uint64, np.uint16, np.uint16))
+        doc, v, s, n, a, g, x, *sides = _read(
+            group, RUN, (np.int64, np.int64, np.int32, np.uint16, np.uint16, np.uint32, np.uint64, np.uint16, np.uint16))
         e = s + n
         o, _, later = _smallest((g, x), doc)
-        known = _merged(doc[o[later]], s[o[later]], e[o[later]] + length)
+        known = _merged(doc[o[later]], v[o[later]], s[o[later]], e[o[later]] + length)
         o = o[~later]
         # a gram with its surroundings in one document alone matches nothing; of the others the windows are
         # compared. Short hashes will do here: they only choose what is compared.
-        doc_, s_, e_ = doc[o], s[o].astype(np.int64), e[o].astype(np.int64)
+        doc_, v_, s_, e_ = doc[o], v[o], s[o].astype(np.int64), e[o].astype(np.int64)
         middle = s_ + a[o] - (length - gram) // 2  # the last start of the first half
         first_half, second_half = (_shared(g[o].astype(np.uint64) << np.uint64(16) | side[o], doc_) for side in sides)
         start = np.where(first_half, s_, np.maximum(s_, middle + 1))
         end = np.where(second_half, e_, np.minimum(e_, middle))
         loose = (first_half | second_half) & (start <= end)
-        before = _read(group, SPAN, (np.int64, np.int32, np.int32))
-        return pd.concat([_span_frame(before[0], SPAN, before[1], before[2]),
-                          _span_frame(known[0], SPAN, known[1], known[2]), _span_frame(doc_[loose], RUN, start[loose], end[loose])])
+        before = _read(group, SPAN, (np.int64, np.int64, np.int32, np.int32))
+        return pd.concat([_span_frame(*before[:2], SPAN, *before[2:]), _span_frame(*known[:2], SPAN, *known[2:]),
+                          _span_frame(doc_[loose], v_[loose], RUN, start[loose], end[loose])])
 
     found = staged(docs.mapInArrow(runs, _BLOBS).repartition(tasks(docs.sparkSession), "bucket")
                    .groupBy("bucket").applyInPandas(settle_runs, _SPANS))
@@ -219,23 +221,24 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         def flush() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            doc, s, h, c = (np.concatenate(x) for x in zip(*held))
+            doc, v, s, h, c = (np.concatenate(x) for x in zip(*held))
             held.clear()
             o, _, later = _smallest((h, c), doc)
-            rows = list(_spread_spans(doc[o[later]], s[o[later]], s[o[later]] + length, buckets))
+            rows = list(_spread_spans(doc[o[later]], v[o[later]], s[o[later]], s[o[later]] + length, buckets))
             o = o[~later]
-            rows += _blob_rows(RUN, (h[o] % np.uint64(buckets)).astype(np.int64), [doc[o], s[o].astype(np.int32), c[o], h[o]])
-            yield _blob_batch(rows)
+            rows += _blob_rows(RUN, (h[o] % np.uint64(buckets)).astype(np.int64), [doc[o], v[o], s[o].astype(np.int32), c[o], h[o]])
+            if rows:  # none, if all texts held are shorter than a window
+                yield _blob_batch(rows)
 
         size = 0
         for batch in batches:
-            for doc, raw, rs in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, v, raw, rs in zip(*(c.to_pylist() for c in batch.columns)):
                 b = np.frombuffer(raw, np.uint8)
                 first = np.array([r["s"] for r in rs], np.int64)
                 starts = ragged(first, np.array([r["e"] for r in rs], np.int64) - first + 1)
                 h = Rolling(b).of(starts, starts + length)
                 c = (Rolling(b, BASES[1]).of(starts, starts + length) >> np.uint64(32)).astype(np.uint32)
-                held.append((np.full(len(starts), doc), starts, h, c))
+                held.append((np.full(len(starts), doc), np.full(len(starts), v), starts, h, c))
                 size += len(starts)
                 if size >= _FLUSH:
                     yield from flush()
@@ -243,19 +246,18 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         yield from flush()
 
     def settle_windows(key, group: pd.DataFrame) -> pd.DataFrame:
-        doc, s, c, h = _read(group, RUN, (np.int64, np.int32, np.uint32, np.uint64))
+        doc, v, s, c, h = _read(group, RUN, (np.int64, np.int64, np.int32, np.uint32, np.uint64))
         o, _, later = _smallest((h, c), doc)
         o = o[later]
-        before = _read(group, SPAN, (np.int64, np.int32, np.int32))
-        return pd.concat([_span_frame(before[0], SPAN, before[1], before[2]),
-                          _span_frame(doc[o], SPAN, s[o], s[o] + length)])
+        before = _read(group, SPAN, (np.int64, np.int64, np.int32, np.int32))
+        return pd.concat([_span_frame(*before[:2], SPAN, *before[2:]), _span_frame(doc[o], v[o], SPAN, s[o], s[o] + length)])
 
     release(docs.sparkSession)
-    loose = found.filter(F.col("kind") == RUN).groupBy("_id").agg(F.collect_list(F.struct("s", "e")).alias("_runs"))
-    more = staged(docs.join(loose, "_id").select("_id", "_raw", "_runs").mapInArrow(windows, _BLOBS)
+    loose = found.filter(F.col("kind") == RUN).groupBy("_id", "_v").agg(F.collect_list(F.struct("s", "e")).alias("_runs"))
+    more = staged(docs.join(loose, ["_id", "_v"]).select("_id", "_v", "_raw", "_runs").mapInArrow(windows, _BLOBS)
                   .repartition(tasks(docs.sparkSession), "bucket").groupBy("bucket").applyInPandas(settle_windows, _SPANS))
     release(docs.sparkSession)
-    return found.filter(F.col("kind") == SPAN).union(more).select("_id", "s", "e")
+    return found.filter(F.col("kind") == SPAN).union(more).select("_id", "_v", "s", "e")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 22, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -307,11 +309,15 @@ def drop_repeats(docs: DataFrame, length: int = 50, gram: int = 22, id_col: str
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, name: str = "_spans") -> DataFrame:
     """``docs`` with the array of its spans (null: none) as the last column."""
-    raw = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("_raw"))
-    of = fresh(docs, "_of")
-    spans = repeated_spans(raw.filter("_id is not null"), length, gram)
-    gone = spans.groupBy(F.col("_id").alias(of)).agg(F.collect_list(F.struct("s", "e")).alias(name))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col(of), "left").select(*docs.columns, name)
+    key, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    # texts that share an id are told apart by 60 bits of their SHA-256; where ids are distinct that is not needed
+    distinct = docs.filter(key.isNotNull()).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    variant = F.lit(0).cast("long") if distinct else F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+    raw = docs.filter(key.isNotNull()).select(key.alias("_id"), variant.alias("_v"), text.alias("_raw"))
+    of, its = fresh(docs, "_of"), fresh(docs, "_its")
+    gone = (repeated_spans(raw, length, gram).groupBy(F.col("_id").alias(of), F.col("_v").alias(its))
+            .agg(F.collect_list(F.struct("s", "e")).alias(name)))
+    return docs.join(gone, (key == F.col(of)) & (variant == F.col(its)), "left").select(*docs.columns, name)
 
 
 def _cut(raw: bytes, spans: list | None) -> tuple[int, int, int, bytes]:
