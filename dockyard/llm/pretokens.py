@@ -120,6 +120,10 @@ def blocks(texts: Sequence[str], size: int = 1 << 20) -> Iterator[tuple[int, int
         yield at, len(texts)
 
 
+#: Code points up to which a pre-token is known by its hash, length and sum.
+LONG = 64
+
+
 class Encoder:
     """Ids of whole texts from the ids of their distinct pre-tokens.
 
@@ -141,14 +145,14 @@ class Encoder:
         self._ids = np.zeros(1 << 16, np.int32)
         self._begin, self._size, self._check = (np.zeros(self._keep + new, np.int64) for _ in range(3))
 
-    def _learn(self, block: Block, missing: np.ndarray) -> None:
+    def _learn(self, block: Block, missing: np.ndarray, short: np.ndarray) -> None:
         hashes, first = np.unique(block.hash[missing], return_index=True)
         if self._n + len(hashes) > len(self._begin):
             self._clear(len(hashes))
-            hashes, first = np.unique(block.hash, return_index=True)
+            missing = np.flatnonzero(short)
+            hashes, first = np.unique(block.hash[missing], return_index=True)
             if len(hashes) > len(self._begin):
                 self._clear(len(hashes))
-            missing = np.arange(len(block.hash))
         at = missing[first]
         ids = self._encode(block.text(at))
         size = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -171,18 +175,27 @@ class Encoder:
                 cuts = [self._cut.split(t) for t in some]
                 some = [part for c in cuts for part in c[::2]]
             block = Block(some)
+            # long pre-tokens can be made to share a hash: they are told apart by their text
+            short = block.end - block.start <= LONG
             row = self._table.get(block.hash)
-            missing = np.flatnonzero(row < 0)
+            missing = np.flatnonzero((row < 0) & short)
             if len(missing):
-                self._learn(block, missing)
+                self._learn(block, missing, short)
                 row = self._table.get(block.hash)
-            if (self._check[row] != block.check).any():  # two pre-tokens of one hash: each by itself
-                ids = self._encode(block.text(np.arange(len(row))))
-                per = np.fromiter(map(len, ids), np.int64, len(ids))
-                out = np.fromiter((i for x in ids for i in x), np.int32, int(per.sum()))
-            else:
-                per = self._size[row]
-                out = self._ids[ragged(self._begin[row], per)]
+            short &= row >= 0
+            short[short] = self._check[row[short]] == block.check[short]
+            per = np.zeros(len(row), np.int64)
+            per[short] = self._size[row[short]]
+            other = np.flatnonzero(~short)
+            pieces = block.text(other)
+            known = list(dict.fromkeys(pieces))
+            ids = dict(zip(known, self._encode(known))) if known else {}
+            per[other] = np.fromiter((len(ids[p]) for p in pieces), np.int64, len(pieces))
+            out = np.zeros(int(per.sum()), np.int32)
+            starts = np.cumsum(per) - per
+            out[ragged(starts[short], per[short])] = self._ids[ragged(self._begin[row[short]], per[short])]
+            for i, p in zip(other.tolist(), pieces):
+                out[starts[i]: starts[i] + per[i]] = ids[p]
             ends = np.concatenate([[0], np.cumsum(per)])
             stops = np.cumsum(block.counts)
             n = ends[stops] - ends[stops - block.counts]
