@@ -22,6 +22,8 @@ from dockyard.llm.tables import fresh, staged
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Bytes up to which a word's hash is polynomial; of longer ones it is a digest.
+_LONG = 64
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -40,6 +42,8 @@ def shingle_sets(texts: Sequence[str], words: int) -> tuple[np.ndarray, np.ndarr
     ends = np.cumsum([len(t.encode()) + 1 for t in texts])
     doc = np.searchsorted(ends, start, "right")
     word = Rolling(b).of(start, end)
+    for i in np.flatnonzero(end - start > _LONG):  # long words can be made to share a polynomial hash
+        word[i] = int.from_bytes(hashlib.blake2b(b[start[i]: end[i]].tobytes(), digest_size=8).digest(), "little")
     n = np.bincount(doc, minlength=len(texts))
     run = np.zeros(len(word), np.uint64)
     for i in range(min(words, len(word))):  # hash of the words from here on, while they are of one text
