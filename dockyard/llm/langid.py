@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.rolling import mix
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
+#: Rows of a batch that are Python texts at once.
+_ROWS = 256
 
 
 def _fold() -> np.ndarray:
@@ -63,7 +65,7 @@ def vectors(texts: Sequence[str], idf: np.ndarray, sizes: Sequence[int]) -> np.n
     return c / np.where(norm > 0, norm, 1)
 
 
-def _chunks(texts: Sequence[str], size: int = 1 << 20, rows: int = 64) -> Iterator[tuple[int, int]]:
+def _chunks(texts: Sequence[str], size: int = 1 << 17, rows: int = 64) -> Iterator[tuple[int, int]]:
     at = total = 0
     for i, t in enumerate(texts):
         total += len(t)
@@ -182,11 +184,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
-            texts = batch.column(keep.index(text_col)).to_pylist()
-            langs, scores, rejected = shared.value.predict(texts)
+        for part in (b.slice(at, _ROWS) for b in batches for at in range(0, len(b), _ROWS)):
+            langs, scores, rejected = shared.value.predict(part.column(keep.index(text_col)).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+                [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 [*keep, "lang_pred", "score", "rejected"])
 
     return docs.select(*keep).mapInArrow(run, out)
@@ -200,8 +201,8 @@ def drop_rejected(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id
 
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
-            keep = ~shared.value.predict(batch.column(at).to_pylist())[2]
-            yield batch.filter(pa.array(keep))
+        for part in (b.slice(i, _ROWS) for b in batches for i in range(0, len(b), _ROWS)):
+            keep = ~shared.value.predict(part.column(at).to_pylist())[2]
+            yield part if keep.all() else part.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
