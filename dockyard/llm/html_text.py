@@ -40,8 +40,11 @@ BLOCK = frozenset(
 #: An opening tag of the key ends an open element of the values.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
-BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset search".split())
-BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar".split())
+BOILER_TAGS = frozenset("nav footer menu search".split())
+BOILER_ROLES = frozenset("navigation banner contentinfo search alert alertdialog menu menubar toolbar".split())
+#: Elements and roles that stand beside the article, but may also stand around all of it: an inner main starts
+#: anew; an inner article does in those of rank 1 (in an aside it is a teaser).
+WRAPPERS = {"form": 1, "fieldset": 1, "dialog": 1, "aside": 2, "complementary": 2}
 #: Words in a class or id that name something beside the article.
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
@@ -60,10 +63,11 @@ PART_COST, LAYOUT_COST, NAME_COST = 1.0, 5.0, 8.0
 
 
 class _Element:
-    __slots__ = ("tag", "number", "boiler", "named", "inside", "link", "skip")
+    __slots__ = ("tag", "number", "boiler", "wrap", "named", "inside", "link", "skip")
 
-    def __init__(self, tag, number, boiler, named, inside, link, skip):
-        self.tag, self.number, self.boiler, self.named, self.inside, self.link, self.skip = tag, number, boiler, named, inside, link, skip
+    def __init__(self, tag, number, boiler, wrap, named, inside, link, skip):
+        self.tag, self.number, self.boiler, self.wrap, self.named = tag, number, boiler, wrap, named
+        self.inside, self.link, self.skip = inside, link, skip
 
 
 def _words(names: str) -> list[str]:
@@ -80,7 +84,7 @@ def _words(names: str) -> list[str]:
 def blocks(page: str) -> list[tuple]:
     """(text, parent element, boilerplate evidence, content evidence, characters in links, tag) per block."""
     out: list[tuple] = []
-    stack = [_Element("", 0, 0.0, 0.0, 0.0, False, False)]
+    stack = [_Element("", 0, 0.0, 0, 0.0, 0.0, False, False)]
     number, parts, linked = 0, [], 0
     skip_to = None
 
@@ -93,7 +97,7 @@ def blocks(page: str) -> list[tuple]:
                 home = next((e for e in reversed(stack) if e.tag in BLOCK or not e.tag))
                 at = stack.index(home)
                 above = next((e.number for e in reversed(stack[:at]) if e.tag in BLOCK or not e.tag), 0)
-                out.append((text, above, max(home.boiler, home.named), home.inside, linked, home.tag))
+                out.append((text, above, max(home.boiler, home.named, 40.0 if home.wrap else 0.0), home.inside, linked, home.tag))
         linked = 0
 
     for m in _TOKEN.finditer(page):
@@ -139,8 +143,8 @@ def blocks(page: str) -> list[tuple]:
         if tag in VOID:
             continue
         top = stack[-1]
-        boiler, named, inside = top.boiler, top.named, top.inside
-        own_name, own_inside = 0.0, 0.0
+        boiler, wrap, named, inside = top.boiler, top.wrap, top.named, top.inside
+        own_name, own_inside, own_wrap, is_main = 0.0, 0.0, WRAPPERS.get(tag, 0), tag == "main"
         attributes = m[3] if m[2] else m[6]
         if tag in BOILER_TAGS or tag == "header" and not inside >= 3:
             boiler = max(boiler, 40.0)
@@ -155,10 +159,11 @@ def blocks(page: str) -> list[tuple]:
                     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                         boiler = max(boiler, 40.0)
                 elif name == "role":
+                    own_wrap = max(own_wrap, WRAPPERS.get(value.lower(), 0))
                     if value.lower() in BOILER_ROLES:
                         boiler = max(boiler, 40.0)
                     elif value.lower() in ("main", "article"):
-                        own_inside = 3.0
+                        own_inside, is_main = 3.0, is_main or value.lower() == "main"
                 elif tag not in ("body", "main"):
                     words = _words(value)
                     beside = [w for w in words if w in BOILER_WORDS]
@@ -174,9 +179,10 @@ def blocks(page: str) -> list[tuple]:
             inside = 0.0  # what is beside the article isn't part of the one around it
         elif own_inside == 3 and not own_name:
             named = 0.0  # an article or main with no such name of its own starts anew
+            wrap = 0 if is_main or wrap < 2 else wrap
         named, inside = max(named, own_name), max(inside, own_inside)
         number += 1
-        stack.append(_Element(tag, number, boiler, named, inside, top.link or tag == "a", top.skip or tag in SKIP))
+        stack.append(_Element(tag, number, boiler, max(wrap, own_wrap), named, inside, top.link or tag == "a", top.skip or tag in SKIP))
         if tag in RAW and not token.endswith("/>"):
             skip_to = tag
     flush()
