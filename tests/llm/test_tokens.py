@@ -65,7 +65,6 @@ def test_op10_digests(spark, library):
 
 def _packed_right(rows, texts, capacity=2048):
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     pieces, sequences = {}, {}
     for r in rows:
         pieces.setdefault(r.doc_id, []).append(r)
