@@ -185,12 +185,39 @@ def _not_all_marks(c) -> F.Column:
     return (~col.like("%WC%")) | (~col.like("%CC%")) | (~col.like("%UP%"))
 
 
-def fallback_tote_count(cands: DataFrame, history: DataFrame, customers: DataFrame,
-                        as_of=None) -> DataFrame:
+def shipped_days(history: DataFrame) -> DataFrame:
+    """Totes shipped per customer code, ship day and address, of the history
+    rows that count (not will-call, load id without all three marks)."""
+    return (history.filter(_not_all_marks("load_id") & (carrier_suffix("carrier", 2) != "WC"))
+            .groupBy("customer_code", F.to_date("shipment_date").alias("ship_date"), *[F.col(a).alias("cs_" + a) for a in ADDR])
+            .agg(F.sum("shipped_qty").alias("shipped_qty")))
+
+
+def latest_days(days: DataFrame, n: int = 2) -> DataFrame:
+    """The newest ``n`` ship days of each customer code. Two are enough for
+    runs whose day never goes back: the newest day before the run's own is one
+    of them. The rank is cut in each task before the rows of a code meet."""
+    newest = F.dense_rank().over(Window.partitionBy("customer_code").orderBy(F.col("ship_date").desc()))
+    return days.withColumn("_r", newest).filter(F.col("_r") <= n).drop("_r")
+
+
+def merge_latest_days(kept: DataFrame, shipped: DataFrame) -> DataFrame:
+    """The kept table after a run that shipped ``shipped`` (container shipments)."""
+    new = shipped_days(shipped)
+    both = (kept.select(*new.columns).unionByName(new)
+            .groupBy("customer_code", "ship_date", *["cs_" + a for a in ADDR]).agg(F.sum("shipped_qty").alias("shipped_qty")))
+    return latest_days(both)
+
+
+def fallback_tote_count(cands: DataFrame, history: DataFrame | None, customers: DataFrame,
+                        as_of=None, kept: DataFrame | None = None) -> DataFrame:
     """Where the prior-load count is 0: the shipped totes of the latest earlier
     ship day, summed per (day, shipped-to address), matching the candidate on
     customer code OR address. Ties on the day: smallest address first (K8).
-    Candidates without history keep 0."""
+    Candidates without history keep 0.
+
+    ``kept`` is the table of :func:`merge_latest_days`; with it the history
+    isn't read."""
     today = F.to_date(as_of_lit(as_of))
     ck = ["wh_id", "load_id", "order_number", "customer_id", *ADDR]
     hk = ["ship_date", *["cs_" + a for a in ADDR]]
@@ -203,12 +230,11 @@ def fallback_tote_count(cands: DataFrame, history: DataFrame, customers: DataFra
     match = (zero.select(*ck, "customer_code").join(known, "customer_code", "left_semi")
              .unionByName(zero.select(*ck).join(cu, ADDR).select(*ck, "customer_code")).distinct())
     # of their history only the latest day per code can be a candidate's latest
-    cs = (history.filter(_not_all_marks("load_id") & (carrier_suffix("carrier", 2) != "WC")
-                         & (F.to_date("shipment_date") < today))
-          .join(match.select("customer_code").distinct(), "customer_code", "left_semi")
-          .select("customer_code", F.to_date("shipment_date").alias("ship_date"),
-                  *[F.col(a).alias("cs_" + a) for a in ADDR], "shipped_qty")
-          .groupBy("customer_code", *hk).agg(F.sum("shipped_qty").alias("shipped_qty")))
+    codes = match.select("customer_code").distinct()
+    if kept is None:
+        cs = shipped_days(history.filter(F.to_date("shipment_date") < today).join(codes, "customer_code", "left_semi"))
+    else:
+        cs = kept.filter(F.col("ship_date") < today).join(codes, "customer_code", "left_semi")
     last = cs.groupBy("customer_code").agg(F.max("ship_date").alias("ship_date"))
     m = match.join(cs.join(last, ["customer_code", "ship_date"], "left_semi"), "customer_code")
     per_day = m.groupBy(*ck, *hk).agg(F.sum("shipped_qty").alias("_sum"))

@@ -16,7 +16,7 @@ from dockyard.operators import replies as R
 from dockyard.plans.confirm import ConfirmInputs, ConfirmRun
 from dockyard.plans.inbound import InboundInputs, InboundRun
 from dockyard.plans.outbound import OutboundInputs, OutboundRun
-from dockyard.sources.sinks import append, write_version
+from dockyard.sources.sinks import append, append_ordered, write_version
 
 
 def run_confirm(t: ConfirmInputs, out_dir: str, as_of, run_id: str) -> None:
@@ -47,7 +47,7 @@ def run_outbound(t: OutboundInputs, out_dir: str, as_of, run_id: str, system_nam
         r = OutboundRun(t, as_of, system_name)
         append(r.tote_log, f"{out_dir}/customer_totes", run_id)
         append(r.container_rows, f"{out_dir}/container_shipments", run_id)
-        append(r.queue_rows, f"{out_dir}/message_queue", run_id)
+        append_ordered(r.queue_rows, f"{out_dir}/message_queue", run_id, "unique_id")
         new_pos, new_backhauls = r.po_state
         write_version(new_pos, f"{out_dir}/po_master")
         write_version(new_backhauls, f"{out_dir}/po_backhaul")

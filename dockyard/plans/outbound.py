@@ -62,8 +62,10 @@ class OutboundRun:
     """Lazily built steps of one outbound job."""
 
     def __init__(self, t: OutboundInputs, as_of=None, system_name: str = "legacySystem",
-                 pallet_system_name: str | None = None):
+                 pallet_system_name: str | None = None, kept_days: DataFrame | None = None):
         self.t = t
+        # the kept table of the newest ship days (operators.outbound.merge_latest_days), read instead of the history
+        self.kept_days = kept_days
         self.as_of = as_of
         self.system_name = system_name
         # K20: a setting for both message kinds (the reference hard-codes it
@@ -115,7 +117,8 @@ class OutboundRun:
     @property
     def totes(self):
         return self._m("totes", lambda: stage(O.fallback_tote_count(
-            self.prior_counts, self.t.container_history, self.t.customers, self.as_of)))
+            self.prior_counts, None if self.kept_days is not None else self.t.container_history, self.t.customers,
+            self.as_of, self.kept_days)))
 
     @property
     def tote_log(self):
@@ -125,6 +128,11 @@ class OutboundRun:
     def container_rows(self):
         return O.container_shipments(self.lines, self.t.containers, self.as_of)
 
+    @property
+    def days_kept(self):
+        """The kept table after this run."""
+        return O.merge_latest_days(self.kept_days, self.container_rows)
+
     @property
     def po(self):
         return self._m("po", lambda: stage(O.backhaul_pos(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dockyard.functions.columns import AS_OF
+from dockyard.functions.keys import stage
 from dockyard.operators import outbound as O
 from dockyard.plans.outbound import OutboundInputs, OutboundRun
 from dockyard.plans.q_confirm import COUNTED_SQL
@@ -261,6 +262,29 @@ def q_fallback_tote_count(fx):
     return _run(fx).totes
 
 
+_DAYS = """
+SELECT customer_code, CAST(shipment_date AS DATE) AS ship_date, ship_to_addr1 AS cs_ship_to_addr1, ship_to_city AS cs_ship_to_city,
+  ship_to_state AS cs_ship_to_state, ship_to_zip AS cs_ship_to_zip, CAST(sum(shipped_qty) AS BIGINT) AS shipped_qty
+FROM ({rows}) h
+WHERE (load_id NOT LIKE '%WC%' OR load_id NOT LIKE '%CC%' OR load_id NOT LIKE '%UP%') AND right(rtrim(coalesce(carrier, '')), 2) <> 'WC'
+GROUP BY customer_code, CAST(shipment_date AS DATE), ship_to_addr1, ship_to_city, ship_to_state, ship_to_zip
+QUALIFY dense_rank() OVER (PARTITION BY customer_code ORDER BY CAST(shipment_date AS DATE) DESC) <= 2
+"""
+
+
+@query("latest_days", _DAYS.format(rows="SELECT * FROM f_container_history"))
+def q_latest_days(fx):
+    """The kept table made from the whole history: the newest two ship days of each customer code."""
+    return O.latest_days(O.shipped_days(fx.f_container_history))
+
+
+@query("fallback_tote_count_kept", BASE + "SELECT * FROM totes")
+def q_fallback_tote_count_kept(fx):
+    """The fallback counts from the kept table; the history isn't read by the run."""
+    kept = stage(O.latest_days(O.shipped_days(fx.f_container_history)))
+    return OutboundRun(OutboundInputs.from_fixtures(fx), kept_days=kept).totes
+
+
 @query("tote_expectations", BASE + f"""
 SELECT t.wh_id, c.customer_code, c.customer_name, t.prior_load_id AS load_id,
   t.load_id AS source_load_id, t.order_number, t.tote_count AS tote_expected, {TS} AS create_date
