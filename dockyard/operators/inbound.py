@@ -136,28 +136,36 @@ def workflow_counts(events: DataFrame) -> DataFrame:
     return events.select("unique_id", *count_columns())
 
 
-def header_columns() -> list[Column]:
-    """Header fields of an event, cut to the reference's declared lengths."""
+#: Header fields: name, the node list it is under, the element, the reference's declared length.
+_HEADER = [
+    ("pod_whse", "trigger", "centerNumber", 100), ("route", "summary", "routeNumber", 30), ("status", "summary", "status", 30),
+    ("order_timestamp", "summary", "timestamp", 30), ("driver_first_name", "employee", "firstName", 200),
+    ("driver_last_name", "employee", "lastName", 200), ("driver_username", "employee", "username", 200),
+    ("order_number", "summary", "orderNumber", 30), ("customer_code", "customer", "customerNumber", 20),
+    ("customer_name", "customer", "customerName", 50), ("customer_addr", "address", "addressLine1", 50), ("city", "address", "city", 30),
+    ("state", "address", "state", 3), ("zip", "address", "zipCode", 12), ("country", "address", "country", 5),
+    ("purpose_number", "summary", "serviceSummary/serviceSummaryEntry/purposeNumber", 50),
+    ("actual_start_time", "service", "actualStart", 30), ("actual_end_time", "service", "actualEnd", 30)]
+
+
+def header_lists() -> Column:
+    """The node lists that several header fields are under, each flattened once."""
     t, o, d = F.col("ev.trigger"), F.col("ev.orderStatusSummary"), F.col("ev.orderStatusDetail")
-    fields = [
-        ("pod_whse", t, "centerNumber", 100), ("route", o, "routeNumber", 30), ("status", o, "status", 30),
-        ("order_timestamp", o, "timestamp", 30), ("driver_first_name", t, "employee/firstName", 200),
-        ("driver_last_name", t, "employee/lastName", 200), ("driver_username", t, "employee/username", 200),
-        ("order_number", o, "orderNumber", 30), ("customer_code", o, "customerInfo/customerNumber", 20),
-        ("customer_name", o, "customerInfo/customerName", 50),
-        ("customer_addr", o, "customerInfo/customerAddress/addressLine1", 50),
-        ("city", o, "customerInfo/customerAddress/city", 30), ("state", o, "customerInfo/customerAddress/state", 3),
-        ("zip", o, "customerInfo/customerAddress/zipCode", 12),
-        ("country", o, "customerInfo/customerAddress/country", 5),
-        ("purpose_number", o, "serviceSummary/serviceSummaryEntry/purposeNumber", 50),
-        ("actual_start_time", d, "visit/service/actualStart", 30), ("actual_end_time", d, "visit/service/actualEnd", 30)]
-    signature = F.unbase64(first_node(o, "orderItemStatusGroup/recipient/signature")).alias("signature")
-    return [*[_cut(first_node(c, path), n).alias(out) for out, c, path, n in fields], signature]
+    return F.struct(t.alias("trigger"), nodes(t, "employee").alias("employee"), o.alias("summary"),
+                    nodes(o, "customerInfo").alias("customer"), nodes(o, "customerInfo/customerAddress").alias("address"),
+                    nodes(d, "visit/service").alias("service"))
+
+
+def header_columns(lists: Column | None = None) -> list[Column]:
+    """Header fields of an event, cut to the reference's declared lengths. ``lists`` is a column of :func:`header_lists`."""
+    at = header_lists() if lists is None else lists
+    signature = F.unbase64(first_node(at["summary"], "orderItemStatusGroup/recipient/signature")).alias("signature")
+    return [*[_cut(first_node(at[c], path), n).alias(out) for out, c, path, n in _HEADER], signature]
 
 
 def event_header(events: DataFrame) -> DataFrame:
     """Header fields of each event (:func:`header_columns`)."""
-    return events.select("unique_id", *header_columns())
+    return events.select("unique_id", header_lists().alias("_lists")).select("unique_id", *header_columns(F.col("_lists")))
 
 
 def resolve_warehouse(header: DataFrame, whse: DataFrame) -> DataFrame:

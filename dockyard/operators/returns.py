@@ -276,7 +276,10 @@ def return_intake(items: DataFrame, header: DataFrame, reasons: DataFrame, upcs:
     os_ = os_.withColumn("item_number", item).withColumn("uom", uom) \
              .withColumn("upc", F.when(adhoc & F.col("_u.item_number").isNotNull(), F.col("line_number")))
     # adjustments: the picked unit or line of the order, unless the unit is ambiguous
-    pk = picks.select("wh_id", "order_number", "container_id", "line_number", "item_number", "uom")
+    # only the reported orders' picks: their keys are few beside the pick history
+    reported = os_.select("wh_id", "order_number").distinct()
+    pk = (picks.select("wh_id", "order_number", "container_id", "line_number", "item_number", "uom")
+          .join(reported, ["wh_id", "order_number"], "left_semi"))
     by_cont = (pk.groupBy("wh_id", "order_number", F.col("container_id").alias("_ln"))
                .agg(F.count("*").alias("_n"), F.max_by(F.struct("item_number", "uom"), "line_number")
                     .alias("_p1")))

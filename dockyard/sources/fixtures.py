@@ -98,7 +98,7 @@ SELECT o.wh_id, o.load_id, o.order_number, 'P' || CAST(l.l_partkey AS STRING) AS
   CASE l.l_linenumber % 4 WHEN 0 THEN 'DRY' WHEN 1 THEN 'CIG' WHEN 2 THEN 'FRZ' ELSE 'X' END AS pick_area,
   l.qty AS planned_quantity,
   CASE WHEN l.l_linenumber = 7 THEN 0 ELSE l.qty END AS picked_quantity,
-  CASE WHEN l.l_linenumber = 7 THEN 'SHORTED' WHEN l.l_linenumber = 6 THEN 'PICKED' ELSE 'LOADED' END AS status
+  CASE WHEN o.order_key % 97 = 0 THEN 'SHIPPED' WHEN l.l_linenumber = 7 THEN 'SHORTED' WHEN l.l_linenumber = 6 THEN 'PICKED' ELSE 'LOADED' END AS status
 FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(SUM(l_quantity) AS INT) AS qty
       FROM {lineitem} GROUP BY l_orderkey, l_linenumber, l_partkey) l
 JOIN {f_order} o ON o.order_key = l.l_orderkey
@@ -147,10 +147,10 @@ SELECT 'V' || CAST(s_suppkey AS STRING) AS vendor_code, s_name AS vendor_name FR
     "f_po": """
 SELECT 'PO' || order_number AS po_number, order_key, 'W' || CAST(1 - order_key % 2 AS STRING) AS wh_id,
   wh_id AS carrier_scac, route_id, earliest_ship_date AS shipment_date,
-  'V' || CAST(order_key % 10 AS STRING) AS vendor_code,
+  'V' || CAST(CAST(floor(order_key / 5) AS BIGINT) % 12 AS STRING) AS vendor_code,
   CASE WHEN order_key % 20 = 0 THEN 'C' ELSE 'O' END AS status,
-  CASE WHEN order_key % 30 = 0 THEN 1 ELSE 0 END AS sent_flag
-FROM {f_order} WHERE order_key % 10 = 0
+  CASE WHEN order_key % 15 = 0 THEN 1 ELSE 0 END AS sent_flag
+FROM {f_order} WHERE order_key % 5 = 0
 """,
     "f_po_line": """
 SELECT p.po_number, p.wh_id, k.line_number, k.item_number, k.uom AS order_uom, k.planned_quantity AS qty
@@ -161,7 +161,7 @@ SELECT po_number, carrier_scac AS wh_id FROM {f_po} WHERE order_key % 70 = 0
 """,
     "f_backhaul": """
 SELECT po_number, wh_id, CASE WHEN order_key % 3 = 0 THEN 'COMPLETE' WHEN order_key % 3 = 1 THEN 'SENT' END AS status
-FROM {f_po} WHERE order_key % 4 = 0
+FROM {f_po} WHERE order_key % 4 = 0 OR order_key % 25 = 0
 UNION ALL
 SELECT po_number, wh_id, 'SENT' AS status FROM {f_po} WHERE order_key % 24 = 0
 """,
