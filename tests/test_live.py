@@ -20,7 +20,7 @@ REFERENCE = {"wh_control": "f_wh_control", "employees": "f_employee", "item_mast
 LOGS = ["confirm_rejections", "shipment_master", "hu_master_shipped", "stored_item_shipped", "tran_log", "pod_shipments"]
 
 
-LOADS = 16
+LOADS = 8
 
 
 @pytest.fixture(scope="module")
