@@ -8,12 +8,16 @@ and their results become the next versions of those partitions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.functions.keys import assign_ids, stage, staging
+from dockyard.operators import outbound as O
 from dockyard.operators.confirm import LOAD
 from dockyard.plans.confirm import ConfirmInputs, ConfirmRun
+from dockyard.plans.outbound import OutboundInputs, OutboundRun
 from dockyard.sources.live import LOAD_LAYOUT, Live, Run, bucket_of, lay_out, tokens
 
 #: Live table -> field of ConfirmInputs. All hang on a load.
@@ -120,3 +124,45 @@ def queued(live: Live, r: ConfirmRun, loads: DataFrame, buckets: int) -> DataFra
     last = live.read("load_queue").agg(F.coalesce(F.max("unique_id").cast("bigint"), F.lit(0))).scalar()
     return lay_out(rows.withColumn("unique_id", last + F.col("_seq")).drop("_seq"), loads, buckets).withColumn(
         "preship_scan_gs1", F.lit(None).cast("int"))
+
+
+#: Layouts of the tables that sending changes: the queue by load, purchase orders by ship day, backhauls by order number.
+SEND_LAYOUTS = {"load_queue": LOAD_LAYOUT, "po_master": ["wh_id", "ship_day"], "po_backhaul": ["wh_id", "bucket"]}
+
+
+def create_send_tables(live: Live, t: OutboundInputs, buckets: int) -> None:
+    """Lay the load queue, purchase orders and backhauls of ``t`` out under ``live``."""
+    live.create("load_queue", lay_out(_with(t.queue, dt_processed="timestamp_ntz"), t.loads, buckets))
+    live.create("po_master", t.pos.withColumn("ship_day", F.to_date("shipment_date")))
+    live.create("po_backhaul", t.backhauls.withColumn("bucket", bucket_of(buckets, "po_number")))
+
+
+def send_loads(live: Live, tables: dict[str, Callable[[], DataFrame]], as_of, run_id: str, system_name: str = "legacySystem") -> bool:
+    """Build and queue the messages of all pending loads of the live queue, as one run.
+
+    ``tables`` are the other inputs of :class:`OutboundInputs`. The queue rows,
+    purchase orders and backhauls of the run change in their partitions only;
+    messages, containers and tote expectations are appended. Message ids go on
+    after the highest of the published runs. False when the run was done before.
+    """
+
+    def job(run: Run) -> None:
+        with staging(live.spark):
+            queue, pos, backhauls = (live.read(t) for t in SEND_LAYOUTS)
+            earlier, sent = tables["message_queue"]().select("unique_id"), live.read_log("message_queue")
+            r = OutboundRun(OutboundInputs(**{
+                **tables, "queue": lambda: queue, "pos": lambda: pos, "backhauls": lambda: backhauls,
+                "message_queue": lambda: earlier if sent is None else earlier.unionByName(sent.select("unique_id"))}), as_of, system_name)
+            run.append("customer_totes", r.tote_log)
+            run.append("container_shipments", r.container_rows)
+            run.append("message_queue", r.queue_rows)
+            handled = r.po.select("po_number").distinct()
+            due = live.read("load_queue", tokens(queue.join(r.pending.select("unique_id"), "unique_id", "left_semi"), SEND_LAYOUTS["load_queue"]))
+            pos = live.read("po_master", tokens(pos.join(handled, "po_number", "left_semi"), SEND_LAYOUTS["po_master"]))
+            backhauls = live.read("po_backhaul", tokens(backhauls.join(handled, "po_number", "left_semi"), SEND_LAYOUTS["po_backhaul"]))
+            new_pos, new_backhauls = O.po_state_update(pos, backhauls, r.po)
+            run.replace("load_queue", due, O.complete_loads(due, r.pending, as_of))
+            run.replace("po_master", pos, new_pos)
+            run.replace("po_backhaul", backhauls, new_backhauls)
+
+    return live.run(run_id, job)

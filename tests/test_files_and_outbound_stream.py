@@ -1,5 +1,6 @@
 """XML files as a source, ordered message files, and the load queue as a stream."""
 
+import glob
 import os
 import tempfile
 
@@ -8,8 +9,10 @@ from pyspark.sql import functions as F
 
 from dockyard.functions.columns import AS_OF
 from dockyard.operators import inbound as I
+from dockyard.plans import live_jobs as J
 from dockyard.plans.outbound import OutboundInputs, OutboundRun
 from dockyard.sources.fixtures import Fixtures, materialise
+from dockyard.sources.live import Live
 from dockyard.sources.sinks import append_ordered, manifest
 from dockyard.sources.xml_files import read_import_files, stream_import_files
 from dockyard.streaming.outbound import start_outbound_stream
@@ -102,3 +105,32 @@ def test_two_batches_give_the_ids_and_rows_of_one_run(spark, fx):
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     totes = run.tote_log
     assert sorted(map(str, spark.read.parquet(f"{out}/customer_totes").select(*totes.columns).collect())) == sorted(map(str, totes.collect()))
+
+
+def test_sending_on_live_tables_touches_only_its_partitions(spark, fx):
+    fx, queue, _ = fx
+    # the chosen loads are due, all others are done
+    ids = [r.unique_id for r in queue.collect()]
+    t = OutboundInputs.from_fixtures(fx)
+    whole = fx.f_load_queue.withColumn("queue_status", F.when(F.col("unique_id").isin(ids), F.col("queue_status")).otherwise(2))
+    whole = whole.filter(F.col("unique_id").isin(ids) | (F.col("unique_id") % 20 == 1))
+    t._makers["queue"] = lambda: whole
+    root = tempfile.mkdtemp(prefix="dockyard-send-")
+    live = Live(spark, root, J.SEND_LAYOUTS)
+    J.create_send_tables(live, t, 2)
+    tables = {n: f for n, f in t._makers.items() if n not in ("queue", "pos", "backhauls")}
+
+    def files(table):
+        return set(glob.glob(f"{root}/live/{table}/**/*.parquet", recursive=True))
+
+    before, was = {x: files(x) for x in J.SEND_LAYOUTS}, {x: live.read(x).collect() for x in J.SEND_LAYOUTS}
+    assert J.send_loads(live, tables, AS_OF, "r1") and not J.send_loads(live, tables, AS_OF, "r1")
+    run = OutboundRun(t, AS_OF)
+    pos, backhauls = run.po_state
+    for table, want in (("load_queue", run.queue_done), ("po_master", pos), ("po_backhaul", backhauls)):
+        now = live.read(table)
+        assert sorted(map(str, now.select(*want.columns).collect())) == sorted(map(str, want.collect())), table
+        changed = set(map(str, now.collect())) ^ set(map(str, was[table]))
+        assert bool(changed) == bool(before[table] ^ files(table)) and len(before[table] - files(table)) < len(before[table]) / 2 + 1, table
+    got = live.read_log("message_queue")
+    assert sorted(map(str, got.select(*run.queue_rows.columns).collect())) == sorted(map(str, run.queue_rows.collect()))
