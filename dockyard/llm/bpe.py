@@ -17,6 +17,8 @@ from dockyard.llm.rolling import HashTable, ragged
 
 NONE = np.int32(2**31 - 1)
 _LONG = 512  # longer pieces merge through a heap: a matrix would take a round for each byte
+#: Rows of a batch that are Python texts at once.
+_ROWS = 512
 
 
 class Vocabulary:
@@ -153,12 +155,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
+        # a slice at a time, so that few texts are Python strings at once
+        for part in (b.slice(i, _ROWS) for b in batches for i in range(0, len(b), _ROWS)):
             at = 0
-            for ids, counts in enc(texts):
+            for ids, counts in enc(part.column(1).to_pylist()):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(counts)), _lists(ids, counts)], ["_id", "ids"])
+                    [part.column(0).slice(at, len(counts)), _lists(ids, counts)], ["_id", "ids"])
                 at += len(counts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")))

@@ -103,7 +103,7 @@ class Block:
         return [self.joined[a:b] for a, b in zip(self.start[i].tolist(), self.end[i].tolist())]
 
 
-def blocks(texts: Sequence[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def blocks(texts: Sequence[str], size: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``size`` characters; texts with unsure characters stand alone."""
     at = total = 0
     for i, t in enumerate(texts):
