@@ -204,17 +204,17 @@ def min_cut(terminal: Sequence[float], edges: dict[tuple[int, int], float]) -> l
     """True for each node on the source's side of a minimum cut.
 
     ``terminal`` is a node's capacity from the source less that to the sink;
-    ``edges`` has undirected capacities. A node whose terminal outweighs all
-    its edges stays on that side in some minimum cut, so it is settled first
-    and its edges become terminals of its neighbours; the rest goes through
-    augmenting paths.
+    ``edges`` has undirected capacities. Capacities are counted in millionths,
+    so sums are exact. A node whose terminal outweighs all its edges stays on
+    that side in some minimum cut, so it is settled first and its edges become
+    terminals of its neighbours. What is left falls into connected parts; a
+    maximum flow is found in each.
     """
     n = len(terminal)
-    net = list(terminal)
-    near: list[dict[int, float]] = [{} for _ in range(n)]
+    net = [round(1e6 * t) for t in terminal]
+    near: list[dict[int, int]] = [{} for _ in range(n)]
     for (i, j), c in edges.items():
-        near[i][j] = near[i].get(j, 0.0) + c
-        near[j][i] = near[j].get(i, 0.0) + c
+        near[i][j] = near[j][i] = near[i].get(j, 0) + round(1e6 * c)
     side: list[bool | None] = [None] * n
     todo = deque(range(n))
     while todo:
@@ -227,39 +227,68 @@ def min_cut(terminal: Sequence[float], edges: dict[tuple[int, int], float]) -> l
             net[j] += c if side[i] else -c
             todo.append(j)
         near[i] = {}
-    rest = [i for i in range(n) if side[i] is None]
-    if not rest:
-        return [bool(s) for s in side]
-    flow_in = {i: max(0.0, net[i]) for i in rest}
-    flow_out = {i: max(0.0, -net[i]) for i in rest}
-    eps = 1e-9
+    for i in range(n):
+        if side[i] is None:
+            part, seen = [i], {i}
+            for j in part:
+                for k in near[j]:
+                    if k not in seen:
+                        seen.add(k)
+                        part.append(k)
+            from_source = _saturate(part, near, net)
+            for j in part:
+                side[j] = j in from_source
+    return [bool(s) for s in side]
+
+
+def _saturate(part: list[int], near: list[dict[int, int]], net: list[int]) -> set[int]:
+    """Send a maximum flow through ``part``; the nodes the source still reaches.
+
+    Blocking flows: each phase ranks nodes by their distance from the source
+    and fills every path of rising rank, so shortest paths get longer from
+    phase to phase. ``near`` holds residual capacities, ``net`` what is left
+    of the terminals (above 0: from the source).
+    """
     while True:
-        from_: dict[int, int] = {i: -1 for i in rest if flow_in[i] > eps}
-        queue = deque(from_)
-        end = None
-        while queue:
-            i = queue.popleft()
-            if flow_out[i] > eps:
-                end = i
-                break
+        queue = [i for i in part if net[i] > 0]
+        sources = list(queue)
+        rank = dict.fromkeys(queue, 0)
+        meets = False
+        for i in queue:
+            meets = meets or net[i] < 0
             for j, c in near[i].items():
-                if c > eps and j not in from_:
-                    from_[j] = i
+                if c > 0 and j not in rank:
+                    rank[j] = rank[i] + 1
                     queue.append(j)
-        if end is None:
-            break
-        path = [end]
-        while from_[path[-1]] >= 0:
-            path.append(from_[path[-1]])
-        amount = min([flow_out[end], flow_in[path[-1]], *(near[b][a] for a, b in zip(path, path[1:]))])
-        flow_out[end] -= amount
-        flow_in[path[-1]] -= amount
-        for a, b in zip(path, path[1:]):
-            near[b][a] -= amount
-            near[a][b] = near[a].get(b, 0.0) + amount
-    for i in rest:
-        side[i] = i in from_
-    return [bool(s) for s in side]
+        if not meets:
+            return set(rank)
+        nexts = {i: [j for j, c in near[i].items() if c > 0 and rank[j] == rank[i] + 1] for i in queue}
+        for source in sources:
+            path = [source]
+            while path and net[source] > 0:
+                i = path[-1]
+                if net[i] < 0:
+                    steps = list(zip(path, path[1:]))
+                    amount = min(net[source], -net[i], *(near[a][b] for a, b in steps))
+                    net[source] -= amount
+                    net[i] += amount
+                    full = None
+                    for at, (a, b) in enumerate(steps):
+                        near[a][b] -= amount
+                        near[b][a] += amount
+                        if full is None and not near[a][b]:
+                            full = at
+                    if full is not None:
+                        del path[full + 1:]
+                    continue
+                while nexts[i] and not near[i][nexts[i][-1]]:
+                    nexts[i].pop()
+                if nexts[i]:
+                    path.append(nexts[i][-1])
+                else:
+                    path.pop()
+                    if path:
+                        nexts[path[-1]].pop()
 
 
 def main_text(page: str) -> str:

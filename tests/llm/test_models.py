@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import corpus_pipeline
 from dockyard.llm import queries
@@ -39,6 +40,33 @@ def test_min_cut_is_a_minimum():
         assert abs(cost(min_cut(terminal, edges)) - best) < 1e-6
 
 
+def test_min_cut_of_many_undecided_nodes():
+    rng = random.Random(4)
+    n = 64000
+    terminal = [rng.choice((-0.4, -0.1, 0.0, 0.1, 0.3)) for _ in range(n)]
+    edges = {(i - 1, i): 0.5 for i in range(1, n)}
+    start = time.monotonic()
+    side = min_cut(terminal, edges)
+    assert time.monotonic() - start < 10
+    # the least cost of a chain, node by node
+    content, boiler = 0, 0
+    for i, t in enumerate(terminal):
+        t = round(1e6 * t)
+        link = 500000 if i else 0
+        content, boiler = (min(content, boiler + link) + max(0, -t), min(boiler, content + link) + max(0, t))
+    cost = sum(max(0, -round(1e6 * t)) if s else max(0, round(1e6 * t)) for t, s in zip(terminal, side))
+    assert cost + 500000 * sum(side[i - 1] != side[i] for i in range(1, n)) == min(content, boiler)
+
+
+def test_page_of_many_links():
+    rows = "".join(f"<li><a href='/{i}'>entry {i}</a> of the list {'and more words ' * (i % 3)}</li>" for i in range(64000))
+    page = f"<html><body><ul>{rows}</ul><article><p>{'The article itself is here. ' * 20}</p></article></body></html>"
+    start = time.monotonic()
+    text = main_text(page)
+    assert time.monotonic() - start < 20 and text.endswith("The article itself is here.")
+
+
+
 def test_op2_pages(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     got = {r.page_id: (r.text, r.n_chars) for r in queries.op2_html_extract(spark, SF_SMALL).collect()}
