@@ -9,11 +9,12 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dockyard.llm import queries
 from dockyard.llm.bpe import decode, encode, vocabulary
-from dockyard.llm.chat import CONTROLS, format_turns, parse_turn, read_back, render_turn
+from dockyard.llm.chat import CONTROLS, Reader, format_turns, parse_turn, read_back, render_turn
 from dockyard.llm.packing import pack_documents, plan
 from tests.conftest import SF_SMALL
 from tests.llm.tables import SCHEMA
@@ -127,6 +128,41 @@ def test_turns_round_trip():
         assert not any(c in segment[lo:hi] for c in CONTROLS)
 
 
+def test_conversations_round_trip():
+    rng = random.Random(8)
+    bits = [*CONTROLS, "\\", "<", "s>", "[", "[/INST", "]</s>", "ok", " ", "\n", "日", "/"]
+    for _ in range(400):
+        turns = [tuple("".join(rng.choice(bits) for _ in range(rng.randint(0, 6))) for _ in range(2)) for _ in range(rng.randint(0, 6))]
+        text = "".join(render_turn(*t)[0] for t in turns)
+        reader, found, at = Reader(), [], 0
+        while at < len(text):
+            to = at + rng.randint(1, 12)
+            found += [(role, said) for role, said, _ in reader.feed(text[at:to])]
+            at = to
+        reader.close()
+        assert found == turns
+
+
+@pytest.mark.parametrize("text", ["<s>user[INST]a", "x<s>user[INST]a[/INST]</s>", "<s>user[INST]a[/INST]</s> ",
+                                  "<s>user[INST]a[INST]b[/INST]</s>", "[/INST]</s>"])
+def test_what_is_not_a_conversation(text):
+    with pytest.raises(ValueError):
+        reader = Reader()
+        list(reader.feed(text))
+        reader.close()
+
+
+def test_read_back_finds_what_differs_from_the_source(spark):
+    df = format_turns(spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")],
+                                            "conv_id long, turn long, role string, text string"))
+    assert read_back(df).count() == 1
+    changed = df.withColumn("segment", F.replace("segment", F.lit("b"), F.lit("c")))
+    joined = df.withColumn("segment", F.when(F.col("turn") == 0, F.concat("segment", "segment")).otherwise(F.col("segment")))
+    for bad in (changed, joined):
+        with pytest.raises(Exception, match="isn't the source's"):
+            read_back(bad).collect()
+
+
 def test_op5(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
     own = "</s>[INST] ok [/INST]"
