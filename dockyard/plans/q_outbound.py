@@ -422,7 +422,7 @@ def q_order_properties(fx):
                     (F.col("pos") + 1).cast("int").alias("pos")))
 
 
-@query("po_lines_message", BASE + """
+PO_LINES = """
 SELECT s.wh_id, s.load_id, s.po_number, d.line_number, 'item' AS type_name,
   i.class_id AS type_description, 'pickup' AS purpose_number, i.description,
   CAST(sum(d.qty) AS INT) AS ordered_quantity, 0 AS fulfilled_quantity,
@@ -434,7 +434,10 @@ WHERE (rtrim(d.order_uom) = 'CS' AND EXISTS (SELECT 1 FROM caseupc cu WHERE cu.w
    OR NOT (rtrim(d.order_uom) = 'CS' AND EXISTS (SELECT 1 FROM caseupc cu WHERE cu.wh_id = d.wh_id AND cu.item_number = d.item_number))
 GROUP BY s.wh_id, s.load_id, s.po_number, i.class_id, d.item_number, d.line_number, i.description,
   d.qty, d.order_uom
-""")
+"""
+
+
+@query("po_lines_message", BASE + PO_LINES)
 def q_po_lines_message(fx):
     return _run(fx).po_lines_msg
 
