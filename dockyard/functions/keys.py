@@ -30,12 +30,18 @@ def stage(df: DataFrame) -> DataFrame:
     deleted at the end of the block; elsewhere it stays, as the frame that is
     returned reads it."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = staging_path(spark)
     df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def staging_path(spark) -> str:
+    """A new folder under the shared checkpoint folder, deleted with the running :func:`staging` block."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     mine = _STAGED.get()
     if mine is not None:
         mine.append(path)
-    return spark.read.parquet(path)
+    return path
 
 
 @contextmanager

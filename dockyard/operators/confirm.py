@@ -250,8 +250,10 @@ def close_cross_load_orders(orders: DataFrame, hus: DataFrame, loads: DataFrame,
     carried = (_lo_units_of(hus, accepted)
                .select(F.col("control_number").alias("order_number"), "wh_id").distinct())
     open_loads = loads.filter(code("status") != "SHIPPED").select(*LOAD)
-    blocked = (hus.join(open_loads, LOAD, "left_semi")
-               .select(F.col("control_number").alias("order_number"), "wh_id").distinct())
+    # of all units only those of the carried orders meet the loads
+    blocked = (hus.select(F.col("control_number").alias("order_number"), *LOAD)
+               .join(carried, ["order_number", "wh_id"], "left_semi")
+               .join(open_loads, LOAD, "left_semi").select("order_number", "wh_id").distinct())
     close = (carried.join(blocked, ["order_number", "wh_id"], "left_anti")
              .withColumn("_hit", F.lit(1)))
     cols = orders.columns
@@ -268,7 +270,7 @@ def close_cross_load_loads(loads: DataFrame, orders: DataFrame, hus: DataFrame,
     carried = (_lo_units_of(hus, accepted)
                .select(F.col("control_number").alias("order_number"), "wh_id").distinct())
     touched = orders.join(carried, ["order_number", "wh_id"], "left_semi").select(*LOAD).distinct()
-    open_orders = orders.filter(code("status") != "S").select(*LOAD).distinct()
+    open_orders = orders.filter(code("status") != "S").select(*LOAD).join(touched, LOAD, "left_semi").distinct()
     close = touched.join(open_orders, LOAD, "left_anti").withColumn("_hit", F.lit(1))
     cols = loads.columns
     return (loads.join(close, LOAD, "left")

@@ -38,6 +38,10 @@ class OutboundInputs:
             self._frames[name] = self._makers[name]()
         return self._frames[name]
 
+    def replaced(self, **frames) -> "OutboundInputs":
+        """The same inputs with some tables read from elsewhere."""
+        return OutboundInputs(**{**self._makers, **self._frames, **frames})
+
     @classmethod
     def from_fixtures(cls, fx) -> "OutboundInputs":
         f = {n: (lambda v=v: fx[v]) for n, v in dict(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from dockyard.functions.columns import AS_OF
 from dockyard.functions.keys import stage
 from dockyard.operators import outbound as O
 from dockyard.plans.outbound import OutboundInputs, OutboundRun
 from dockyard.plans.q_confirm import COUNTED_SQL
 from dockyard.plans.registry import query
+from dockyard.sources.bucketed import bucketed_inputs
 
 TS = f"CAST(TIMESTAMP '{AS_OF}' AS TIMESTAMP)"
 ADDR = "ship_to_addr1, ship_to_city, ship_to_state, ship_to_zip"
@@ -242,6 +245,25 @@ def q_shipped_lines(fx):
     return _run(fx).lines
 
 
+def _bucketed_run(fx) -> OutboundRun:
+    """A run whose line tables are bucketed, with a bucket for every shuffle partition."""
+    inputs = OutboundInputs.from_fixtures(fx)
+    buckets = int(fx.spark.conf.get("spark.sql.shuffle.partitions"))
+    return OutboundRun(inputs.replaced(**bucketed_inputs(inputs, buckets, f"lines_{uuid.uuid4().hex}", temporary=True)))
+
+
+@query("shipped_lines_bucketed", BASE + "SELECT * FROM hs")
+def q_shipped_lines_bucketed(fx):
+    """The work set from bucketed tables: stored items and picks are not shuffled."""
+    return _bucketed_run(fx).lines
+
+
+@query("order_lines_bucketed", BASE + GS1_LINES + "UNION ALL" + STD_LINES)
+def q_order_lines_bucketed(fx):
+    """Message lines from bucketed tables: order detail isn't shuffled either."""
+    return _bucketed_run(fx).order_lines
+
+
 @query("tote_candidates", BASE + "SELECT * FROM cand")
 def q_tote_candidates(fx):
     return _run(fx).candidates
