@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.rolling import BASES, Rolling, ragged, sliding_min
-from dockyard.llm.tables import fresh, release, staged, tasks
+from dockyard.llm.tables import fresh, release, slices, staged, tasks
 
 _POSITION = np.uint64((1 << 26) - 1)
-_BLOCK = 1 << 19  # bytes hashed at once, so that the arrays stay in the processor's cache
-_FLUSH = 1 << 19  # records sorted at once inside a task
+_BLOCK = 1 << 18  # bytes hashed at once, so that the arrays stay in the processor's cache
+_FLUSH = 1 << 18  # records sorted at once inside a task
+_BUCKETS = 4  # groups of records per shuffle partition; each task writes a row for each group it has records of
 
 SPAN, RUN = 0, 1
 
@@ -157,12 +158,12 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
     """``_id, _v, s, e`` (byte offsets, end exclusive): spans covered by strings of smaller documents.
 
     ``docs`` has ``_id``, ``_v`` (what tells texts of one id apart) and ``_raw`` (binary). Together a document's spans cover exactly
-    the bytes to remove. Records are cut into four buckets per shuffle
+    the bytes to remove. Records are cut into ``_BUCKETS`` buckets per shuffle
     partition by the hash they are compared by. Before the shuffle a task
     settles all but the smallest document of each string it holds, so a
     passage that very many documents share reaches its bucket once a task.
     """
-    buckets = 4 * tasks(docs.sparkSession)
+    buckets = _BUCKETS * tasks(docs.sparkSession)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -182,7 +183,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
             if rows:  # none, if all texts held are shorter than a window
                 yield _blob_batch(rows)
 
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             variants = batch.column(1).to_numpy(zero_copy_only=False)
             raw = batch.column(2).to_pylist()
@@ -231,7 +232,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
                 yield _blob_batch(rows)
 
         size = 0
-        for batch in batches:
+        for batch in slices(batches, 256):  # a text's runs are many small objects
             for doc, v, raw, rs in zip(*(c.to_pylist() for c in batch.columns)):
                 b = np.frombuffer(raw, np.uint8)
                 first = np.array([r["s"] for r in rs], np.int64)
@@ -274,7 +275,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 22, id_col: st
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).cast("binary").alias("_raw"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = [_cut(raw, spans) for raw, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             n, removed, runs, kept = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
@@ -297,7 +298,7 @@ def drop_repeats(docs: DataFrame, length: int = 50, gram: int = 22, id_col: str
     at = columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t if t is None or not s else _cut(t.encode(), s)[3].decode("utf-8", "ignore")
                      for t, s in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist())]
             yield pa.RecordBatch.from_arrays(

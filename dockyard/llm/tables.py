@@ -6,7 +6,9 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,6 +59,13 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
