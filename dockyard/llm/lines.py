@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from dockyard.llm.lists import linked_groups
 from dockyard.llm.minhash import _list
 from dockyard.llm.rolling import Rolling, mix, ragged
-from dockyard.llm.tables import release, staged, tasks
+from dockyard.llm.tables import release, slices, staged, tasks
 
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _EMPTY = np.uint64(2**64 - 1)
+#: Bits of the filter that keeps lines nobody asks for where they are read; it only saves work.
+PLACE_BITS = 1 << 24
 
 
 def normal(line: str) -> str:
@@ -84,6 +86,49 @@ def _chunks(sizes: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]
         at = stop
 
 
+def _places(ids: pa.Array, lines: np.ndarray) -> np.ndarray:
+    """The filter's bit of each line; a null id counts as 0."""
+    own = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+    return (mix(own * np.uint64(0x9E3779B97F4A7C15) + lines.astype(np.uint64)) % np.uint64(PLACE_BITS)).astype(np.int64)
+
+
+def _place_filter(want: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which every ``_id, line`` of ``want`` has its bit."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(PLACE_BITS // 64, np.int64)
+        for batch in batches:
+            at = _places(batch.column(0), batch.column(1).to_numpy())
+            np.bitwise_or.at(words, at // 64, np.int64(1) << (at % 64))
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(words[some])], ["w", "bits"])
+
+    out = np.zeros(PLACE_BITS // 64, np.int64)
+    marked = want.select("_id", "line").mapInArrow(mark, "w int, bits long")
+    for r in marked.groupBy("w").agg(F.bit_or("bits").alias("bits")).toLocalIterator():  # at most as many rows as the bitmap has words
+        out[r["w"]] = r["bits"]
+    return out
+
+
+def alike_lines(met: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The ``a, b`` of ``a, b, _fa, _fb`` whose lines' shingle sets have a Jaccard similarity of ``percent`` per cent or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for i, j in _chunks(np.array([len(s) + len(t) for s, t in zip(x, y)]), 1 << 18):
+                (vx, nx), (vy, ny) = shingle_sets(x[i:j], shingle), shingle_sets(y[i:j], shingle)
+                pair, value = np.concatenate([np.repeat(np.arange(j - i), n) for n in (nx, ny)]), np.concatenate([vx, vy])
+                order = np.lexsort((value, pair))
+                pair, value = pair[order], value[order]
+                same = (value[1:] == value[:-1]) & (pair[1:] == pair[:-1])
+                both = np.bincount(pair[1:][same], minlength=j - i)
+                good = pa.array(100 * both >= percent * (nx + ny - both))
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i).filter(good) for c in (0, 1)], ["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
+
+
 def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count: int = 14, band_rows: int = 5,
                 list_size: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id, line, kept`` for every line that isn't blank (``line`` counts all lines of the text from 0).
@@ -101,7 +146,7 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).filter("_text is not null")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             where, number, text = [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 for j, line in enumerate(t.split("\n")):
@@ -147,25 +192,33 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
                    .repartition(tasks(docs.sparkSession), "bucket").groupBy("bucket")
                    .applyInPandas(shared, "v long, node long, n long"))
 
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lines = text.split("\n")
-                some = [w for w in wanted if w["line"] < len(lines)]
-                texts = [normal(lines[w["line"]]) for w in some]
-                keep = [i for i, t in enumerate(texts) if hashlib.md5(t.encode()).digest() == some[i]["key"]]
-                if keep:
-                    values, n = shingle_sets([texts[i] for i in keep], shingle)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([some[i]["node"] for i in keep], pa.int64()), _list(values, n)], ["node", "_full"])
-
     def sets(need: DataFrame) -> DataFrame:
-        per = nodes.join(need, "node").groupBy("_id").agg(F.collect_list(F.struct("node", "line", "key")).alias("_want"))
-        return (own.join(per, own["_id"].eqNullSafe(per["_id"])).select("_text", "_want")
-                .mapInArrow(full, "node long, _full array<long>").dropDuplicates(["node"]))
+        """A line's text stands for its set: documents stay where they are read, and a text is far smaller than its shingles."""
+        want = staged(nodes.join(need, "node").select("node", F.col("key").alias("_key"), F.col("_id").alias("_of"), F.col("line").alias("_at")))
+        wanted = docs.sparkSession.sparkContext.broadcast(_place_filter(want.select(F.col("_of").alias("_id"), F.col("_at").alias("line"))))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = wanted.value
+            for batch in slices(batches):
+                lines = [t.split("\n") for t in batch.column(1).to_pylist()]
+                many = np.fromiter(map(len, lines), np.int64, len(lines))
+                where, number = np.repeat(np.arange(len(lines)), many), ragged(np.zeros(len(lines), np.int64), many)
+                ids = batch.column(0).take(pa.array(where))
+                at = _places(ids, number)
+                hit = np.flatnonzero((bits[at // 64] >> (at % 64)) & 1)
+                texts = [normal(lines[i][j]) for i, j in zip(where[hit].tolist(), number[hit].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(hit)), pa.array(number[hit].astype(np.int32)),
+                     pa.array([hashlib.md5(t.encode()).digest() for t in texts], pa.binary()), pa.array(texts, pa.string())],
+                    ["_id", "line", "key", "_full"])
+
+        read = own.mapInArrow(run, "_id long, line int, key binary, _full string")
+        return (read.join(want, read["_id"].eqNullSafe(want["_of"]) & (read["line"] == want["_at"]) & (read["key"] == want["_key"]))
+                .select("node", "_full").dropDuplicates(["node"]))
 
     release(docs.sparkSession)
-    groups = linked_groups(lists, percent, sets, list_size)
+    groups = linked_groups(lists, percent, sets, list_size, alike=lambda met, least: alike_lines(met, least, shingle),
+                           flat=lambda texts: shingle_sets(texts, shingle))
     release(docs.sparkSession)
     labelled = nodes.join(groups, "node", "left").select("key", "_id", "line", F.coalesce("component", "node").alias("g"))
     stays = labelled.groupBy("g").agg(F.min(F.struct("_id", "line")).alias("_stay"))
@@ -185,7 +238,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            .groupBy(F.col("_id").alias("_of")).agg(F.collect_set("line").alias("_out")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = []
             for t, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 lines = [] if t is None else t.split("\n")

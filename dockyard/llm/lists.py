@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,14 +21,29 @@ def similar_size(percent: int, a: str, b: str) -> Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
+def _flat(full: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(full), np.fromiter(map(len, full), np.int64, len(full))
+
+
+def _alike(met: DataFrame, percent: int) -> DataFrame:
+    met = met.withColumn("_i", F.size(F.array_intersect("_fa", "_fb")))
+    total = F.size("_fa") + F.size("_fb") - F.col("_i")
+    return met.filter(F.col("_i") * 100 >= total * percent).select("a", "b")
+
+
 def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], DataFrame], list_size: int,
-                  promising: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+                  promising: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+                  alike: Callable[[DataFrame, int], DataFrame] = _alike,
+                  flat: Callable[[Sequence], tuple[np.ndarray, np.ndarray]] = _flat) -> DataFrame:
     """``node, component`` of every node with a Jaccard similarity of ``percent`` per cent or more to another.
 
     ``lists`` (written, with ``v, node, n``: list, member, size of its set)
     brings together what may be similar. ``sets`` gives ``node, _full`` (the
     full set as an array) for a frame of nodes, ``promising`` may drop pairs
-    that can't be similar.
+    that can't be similar. ``_full`` may be what a set is made from instead,
+    which is often smaller: then ``alike`` gives the similar ``a, b`` of
+    ``a, b, _fa, _fb`` and ``flat`` the distinct values of several sets in a
+    row and how many each has.
 
     Lists up to ``list_size`` give all their pairs. In a longer list every
     member meets one hub, the member that is in most long lists, as copies of
@@ -43,10 +58,8 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
         near = staged(promising(pairs.distinct()))
         full = staged(sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         met = (near.join(full.select(F.col("node").alias("a"), F.col("_full").alias("_fa")), "a")
-               .join(full.select(F.col("node").alias("b"), F.col("_full").alias("_fb")), "b")
-               .withColumn("_i", F.size(F.array_intersect("_fa", "_fb"))))
-        total = F.size("_fa") + F.size("_fb") - F.col("_i")
-        return staged(met.filter(F.col("_i") * 100 >= total * percent).select("a", "b"))
+               .join(full.select(F.col("node").alias("b"), F.col("_full").alias("_fb")), "b"))
+        return staged(alike(met.select("a", "b", "_fa", "_fb"), percent))
 
     sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     short = lists.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
@@ -62,7 +75,7 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
     want = _apart(long_, groups)
     if want.isEmpty():
         return groups
-    return components(links.union(_against(want, groups, sets, percent)))
+    return components(links.union(_against(want, groups, sets, percent, flat)))
 
 
 def _pairs(x: DataFrame, y: DataFrame, on: Column, percent: int) -> DataFrame:
@@ -80,7 +93,8 @@ def _apart(long_: DataFrame, groups: DataFrame) -> DataFrame:
     return staged(labelled.join(main.select("v", "g"), "v").filter("own <> g").select(F.col("node").alias("d"), "g").distinct())
 
 
-def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int,
+             flat: Callable[[Sequence], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """``a, b``: links of each ``d, g`` of ``want`` to members of component g and to other d of that g.
 
     Per pair of blocks a spanning forest is given: links that join nothing new
@@ -112,12 +126,12 @@ def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], Dat
                 n = parent[n]
             return n
 
-        if len(x):
-            size = x["_full"].map(len).to_numpy()
-            values = np.concatenate(x["_full"].to_list())
+        if len(x) and len(y):
+            values, size = flat(x["_full"].to_list())
             of = np.repeat(np.arange(len(x)), size)
             nodes, inside = x["node"].tolist(), x["inside"].tolist()
-            for node, mine in zip(y["node"].tolist(), y["_full"]):
+            others, many = flat(y["_full"].to_list())
+            for node, mine in zip(y["node"].tolist(), np.split(others, np.cumsum(many)[:-1])):
                 mine = np.sort(mine)
                 at = np.minimum(np.searchsorted(mine, values), len(mine) - 1)
                 both = np.bincount(of[mine[at] == values], minlength=len(x))
