@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dockyard.llm.lists import linked_groups
 from dockyard.llm.rolling import Rolling, mix
-from dockyard.llm.tables import fresh, staged
+from dockyard.llm.tables import fresh, slices, staged
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -86,7 +86,7 @@ def _sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
     """``_id, n, _set, _sketch``: size, 128-bit digest and bottom-k sketch of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             for a, b in _blocks(texts):
                 values, n = shingle_sets(texts[a:b], words)
@@ -121,7 +121,7 @@ def _full_sets(docs: DataFrame, need: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((bits[at // 64] >> (at % 64)) & 1 == 1))
             texts = batch.column(1).to_pylist()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockyard.llm.pretokens import Encoder
-from dockyard.llm.tables import staged
+from dockyard.llm.tables import slices, staged
 
 
 def piece_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
@@ -66,7 +66,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int
         enc = _encoder(tokenizer)
         part = TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             keys = batch.column(0)
             at = 0
