@@ -12,19 +12,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.lists import linked_groups
-from dockyard.llm.minhash import _list
 from dockyard.llm.rolling import Rolling, mix, ragged
 from dockyard.llm.tables import release, slices, staged, tasks
 
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: White space other than a blank and the end of a line.
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _EMPTY = np.uint64(2**64 - 1)
 #: Bits of the filter that keeps lines nobody asks for where they are read; it only saves work.
 PLACE_BITS = 1 << 24
+#: Stands for a document in that filter; lines have smaller numbers.
+_ANY_LINE = 1 << 31
+#: Lines, or pairs of lines, whose values are sorted at once: 12 bits of a sort key, beside the 51 of a value.
+SORTED = 1 << 12
+_VALUE_BITS = 51
+
+
+def lower(text: str) -> str:
+    """A-Z lower-cased."""
+    return text.lower() if text.isascii() else text.encode().translate(_LOWER).decode()
+
+
+def normal_lines(text: str) -> list[str]:
+    """:func:`normal` of each line of a text; most texts have no white space that changes."""
+    some = lower(text)
+    lines = some.split("\n")
+    same = not (some[:1] == " " or some[-1:] == " " or "  " in some or " \n" in some or "\n " in some or any(c in some for c in _BLANKS))
+    return lines if same else [" ".join(line.split()) for line in lines]
 
 
 def normal(line: str) -> str:
     """A-Z lower-cased, each run of white space one space, trimmed."""
-    return " ".join(line.translate(_LOWER).split())
+    return " ".join(lower(line).split())
 
 
 def shingles(lines: Sequence[str], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -33,36 +52,47 @@ def shingles(lines: Sequence[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
     per = np.where(lengths > 0, np.maximum(lengths - size + 1, 1), 0)
     begin = np.cumsum(lengths) - lengths
-    start = ragged(begin, per)
-    end = np.minimum(start + size, np.repeat(begin + lengths, per))
-    return (Rolling(cp).of(start, end) >> np.uint64(1)).astype(np.int64), per
+    rolling = Rolling(cp)
+    every = rolling.fixed(size)  # also across the ends of lines, which aren't taken
+    h = every[np.minimum(ragged(begin, per), len(every) - 1)] if len(every) else np.zeros(int(per.sum()), np.uint64)
+    few = np.flatnonzero((lengths > 0) & (lengths < size))
+    h[(np.cumsum(per) - per)[few]] = rolling.of(begin[few], begin[few] + lengths[few])
+    return (h >> np.uint64(1)).astype(np.int64), per
 
 
 def shingle_sets(lines: Sequence[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ascending distinct hashes of each line's shingles in a row, how many each has)."""
-    h, per = shingles(lines, size)
-    of = np.repeat(np.arange(len(lines)), per)
-    order = np.lexsort((h, of))
-    h, of = h[order], of[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    return h[fresh], np.bincount(of[fresh], minlength=len(lines))
+    """(ascending distinct 51-bit hashes of each line's shingles in a row, how many each has)."""
+    values, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(lines), SORTED):
+        h, per = shingles(lines[at: at + SORTED], size)
+        key = _keys(np.arange(len(per)), per, h >> 63 - _VALUE_BITS)
+        key.sort()
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        key = key[fresh]
+        values.append(key & (1 << _VALUE_BITS) - 1)
+        counts.append(np.bincount(key >> _VALUE_BITS, minlength=len(per)))
+    return np.concatenate(values), np.concatenate(counts)
+
+
+def _keys(owner: np.ndarray, counts: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values behind the number, below ``SORTED``, of who has them: sorted, those of one owner stand together."""
+    return np.repeat(owner << _VALUE_BITS, counts) | values
 
 
 def signatures(values: np.ndarray, counts: np.ndarray, bins: int) -> np.ndarray:
     """One-permutation MinHash: the least value of each bin; an empty bin borrows from the next full one."""
-    of = np.repeat(np.arange(len(counts)), counts)
     h = mix(values.astype(np.uint64))
     out = np.full((len(counts), bins), _EMPTY)
-    np.minimum.at(out.reshape(-1), of * bins + (h % np.uint64(bins)).astype(np.int64), h >> np.uint64(8))
-    borrowed = np.full((len(counts), bins), _EMPTY)
-    near = np.full(len(counts), _EMPTY)
-    for j in [*range(bins - 1, -1, -1)] * 2:
-        column = out[:, j]
-        empty = (column == _EMPTY) & (near != _EMPTY)
-        near = np.where(column == _EMPTY, near, column)
-        borrowed[empty, j] = mix(near[empty] + np.uint64(j))  # bins that borrow the same value stay apart
-    out[out == _EMPTY] = borrowed[out == _EMPTY]
+    cell = (h - h // np.uint64(bins) * np.uint64(bins)).astype(np.int64)  # much faster than the remainder
+    cell += np.repeat(np.arange(len(counts)) * bins, counts)
+    np.minimum.at(out.reshape(-1), cell, h >> np.uint64(8))
+    empty = out == _EMPTY
+    after = np.where(empty, 3 * bins, np.arange(bins)).astype(np.int32)
+    after = np.concatenate([after, after + bins], axis=1)  # twice, as the first bin follows the last one
+    after = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1]
+    of, j = np.nonzero(empty & (counts > 0)[:, None])
+    out[of, j] = mix(out[of, after[of, j] % bins] + j.astype(np.uint64))  # bins that borrow the same value stay apart
     return out
 
 
@@ -76,16 +106,29 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _chunks(sizes: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+def _chunks(sizes: np.ndarray, most: int = 1 << 16, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
     at = 0
     total = np.cumsum(sizes)
     while at < len(sizes):
         done = int(total[at - 1]) if at else 0
-        stop = max(at + 1, int(np.searchsorted(total, done + most)))
+        stop = min(at + rows, max(at + 1, int(np.searchsorted(total, done + most))))
         yield at, stop
         at = stop
 
 
+def _packed(made: np.ndarray) -> pa.Array:
+    """The upper six bytes of each row's bands. Bands that share these by chance give candidates, not links."""
+    data = np.ascontiguousarray(made.astype("<i8").view(np.uint8).reshape(*made.shape, 8)[:, :, 2:])
+    ends = np.arange(len(made) + 1, dtype=np.int32) * (6 * made.shape[1])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(made), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _unpacked(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the upper four bytes of all bands, the two below them)."""
+    data = np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(-1, 6)
+    return tuple(np.ascontiguousarray(c).view(t).ravel() for c, t in ((data[:, 2:], "<u4"), (data[:, :2], "<u2")))
+
+
 def _places(ids: pa.Array, lines: np.ndarray) -> np.ndarray:
     """The filter's bit of each line; a null id counts as 0."""
     own = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.uint64)
@@ -116,14 +159,16 @@ def alike_lines(met: DataFrame, percent: int, shingle: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for i, j in _chunks(np.array([len(s) + len(t) for s, t in zip(x, y)]), 1 << 18):
-                (vx, nx), (vy, ny) = shingle_sets(x[i:j], shingle), shingle_sets(y[i:j], shingle)
-                pair, value = np.concatenate([np.repeat(np.arange(j - i), n) for n in (nx, ny)]), np.concatenate([vx, vy])
-                order = np.lexsort((value, pair))
-                pair, value = pair[order], value[order]
-                same = (value[1:] == value[:-1]) & (pair[1:] == pair[:-1])
-                both = np.bincount(pair[1:][same], minlength=j - i)
-                good = pa.array(100 * both >= percent * (nx + ny - both))
+            for i, j in _chunks(np.array([len(s) + len(t) for s, t in zip(x, y)]), rows=SORTED):
+                texts = {t: k for k, t in enumerate(dict.fromkeys(x[i:j] + y[i:j]))}  # most texts are in several pairs
+                values, n = shingle_sets(list(texts), shingle)
+                first = np.cumsum(n) - n
+                a, b = (np.fromiter((texts[t] for t in side[i:j]), np.int64, j - i) for side in (x, y))
+                pair = np.flatnonzero(100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+                key = np.concatenate([_keys(pair, n[c[pair]], values[ragged(first[c[pair]], n[c[pair]])]) for c in (a, b)])
+                key.sort()
+                both = np.bincount(key[1:][key[1:] == key[:-1]] >> _VALUE_BITS, minlength=j - i)
+                good = pa.array(100 * both >= percent * (n[a] + n[b] - both))
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i).filter(good) for c in (0, 1)], ["a", "b"])
 
     return met.mapInArrow(run, "a long, b long")
@@ -149,8 +194,7 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
         for batch in slices(batches):
             where, number, text = [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                for j, line in enumerate(t.split("\n")):
-                    line = normal(line)
+                for j, line in enumerate(normal_lines(t)):
                     if line:
                         where.append(i)
                         number.append(j)
@@ -162,44 +206,52 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(number[a:b], pa.int32()),
                      pa.array([hashlib.md5(t.encode()).digest() for t in text[a:b]], pa.binary()),
-                     _list(made.ravel(), np.full(b - a, band_count))], ["_id", "line", "key", "bands"])
+                     _packed(made)], ["_id", "line", "key", "bands"])
 
-    seen = staged(own.mapInArrow(read, "_id long, line int, key binary, bands array<long>"))
+    seen = staged(own.mapInArrow(read, "_id long, line int, key binary, bands binary"))
     first = seen.groupBy("key").agg(F.min(F.struct("_id", "line", "bands")).alias("f"))
     release(docs.sparkSession)
     nodes = staged(first.select(F.monotonically_increasing_id().alias("node"), "key", "f._id", "f.line", "f.bands"))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node = np.repeat(batch.column(0).to_numpy(), band_count)
-            v = batch.column(1).flatten().to_numpy()
-            bucket = v % buckets
-            order = np.argsort(bucket, kind="stable")
-            cut = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+            high, which = np.unique(batch.column(0).to_numpy() >> 32, return_inverse=True)  # few: ids of a batch lie together
+            v, bucket = _unpacked(batch.column(1))
+            node = np.repeat(batch.column(0).to_numpy().astype(np.uint32), band_count)
+            part = np.repeat(which * buckets, band_count) + bucket.astype(np.int64) % buckets
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             parts = np.split(order, cut[1:])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[order][cut]), *[pa.array([c[p].tobytes() for p in parts], pa.binary())
-                                                 for c in (v, node)]], ["bucket", "v", "node"])
+                [pa.array(part[cut] % buckets), pa.array(high[part[cut] // buckets]),
+                 *[pa.array([c[p].tobytes() for p in parts], pa.binary()) for c in (v, node)]], ["bucket", "high", "v", "node"])
 
     def shared(key, group: pd.DataFrame) -> pd.DataFrame:
-        v, node = (np.frombuffer(b"".join(group[c]), np.int64) for c in ("v", "node"))
-        _, inverse, often = np.unique(v, return_inverse=True, return_counts=True)
-        some = (often > 1)[inverse]
+        v, node = (np.frombuffer(b"".join(group[c]), np.uint32).astype(np.int64) for c in ("v", "node"))
+        node |= np.repeat(group["high"].to_numpy(np.int64) << 32, group["v"].map(len).to_numpy(np.int64) // 4)
+        order = np.argsort(v, kind="stable")
+        v, node = v[order], node[order]
+        same = v[1:] == v[:-1]
+        some = np.append(same, False) | np.append(False, same)
         # sizes play no part here: all count as 1
-        return pd.DataFrame({"v": v[some], "node": node[some], "n": np.ones(int(some.sum()), np.int64)})
+        return pd.DataFrame({"v": v[some] * buckets + key[0], "node": node[some], "n": np.ones(int(some.sum()), np.int64)})
 
-    lists = staged(nodes.select("node", "bands").mapInArrow(post, "bucket long, v binary, node binary")
+    lists = staged(nodes.select("node", "bands").mapInArrow(post, "bucket long, high long, v binary, node binary")
                    .repartition(tasks(docs.sparkSession), "bucket").groupBy("bucket")
                    .applyInPandas(shared, "v long, node long, n long"))
 
     def sets(need: DataFrame) -> DataFrame:
         """A line's text stands for its set: documents stay where they are read, and a text is far smaller than its shingles."""
         want = staged(nodes.join(need, "node").select("node", F.col("key").alias("_key"), F.col("_id").alias("_of"), F.col("line").alias("_at")))
-        wanted = docs.sparkSession.sparkContext.broadcast(_place_filter(want.select(F.col("_of").alias("_id"), F.col("_at").alias("line"))))
+        places = want.select(F.col("_of").alias("_id"), F.explode(F.array(F.col("_at").cast("long"), F.lit(_ANY_LINE))).alias("line"))
+        wanted = docs.sparkSession.sparkContext.broadcast(_place_filter(places))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = wanted.value
             for batch in slices(batches):
+                at = _places(batch.column(0), np.full(len(batch), _ANY_LINE))
+                batch = batch.filter(pa.array((bits[at // 64] >> (at % 64)) & 1 == 1))
                 lines = [t.split("\n") for t in batch.column(1).to_pylist()]
                 many = np.fromiter(map(len, lines), np.int64, len(lines))
                 where, number = np.repeat(np.arange(len(lines)), many), ragged(np.zeros(len(lines), np.int64), many)
@@ -220,9 +272,11 @@ def line_groups(docs: DataFrame, shingle: int = 8, percent: int = 80, band_count
     groups = linked_groups(lists, percent, sets, list_size, alike=lambda met, least: alike_lines(met, least, shingle),
                            flat=lambda texts: shingle_sets(texts, shingle))
     release(docs.sparkSession)
-    labelled = nodes.join(groups, "node", "left").select("key", "_id", "line", F.coalesce("component", "node").alias("g"))
-    stays = labelled.groupBy("g").agg(F.min(F.struct("_id", "line")).alias("_stay"))
-    place = labelled.join(stays, "g").select("key", "_stay")
+    grouped = staged(nodes.select("node", "key", "_id", "line").join(groups, "node").select("key", "_id", "line", "component"))
+    stays = grouped.groupBy("component").agg(F.min(F.struct("_id", "line")).alias("_stay"))
+    far = grouped.join(stays, "component").select("key", "_stay")
+    place = nodes.select("key", F.struct("_id", "line").alias("_own")).join(far, "key", "left").select(
+        "key", F.coalesce("_stay", "_own").alias("_stay"))
     return seen.select("_id", "line", "key").join(place, "key").select(
         "_id", "line", (F.col("_id").eqNullSafe(F.col("_stay._id")) & (F.col("line") == F.col("_stay.line"))).alias("kept"))
 
@@ -241,6 +295,9 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in slices(batches):
             made = []
             for t, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if t is not None and not gone:
+                    made.append((t.count("\n") + 1, 0, t))
+                    continue
                 lines = [] if t is None else t.split("\n")
                 gone = set(gone or ())
                 kept = [x for i, x in enumerate(lines) if i not in gone]

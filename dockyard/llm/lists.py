@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
+from dockyard.llm.rolling import ragged
 from dockyard.llm.tables import release, staged
 
 #: Members of a component, and documents held against it, that are compared in one task.
@@ -130,12 +131,15 @@ def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], Dat
             values, size = flat(x["_full"].to_list())
             of = np.repeat(np.arange(len(x)), size)
             nodes, inside = x["node"].tolist(), x["inside"].tolist()
+            order = np.argsort(values, kind="stable")
+            values, of = values[order], of[order]
             others, many = flat(y["_full"].to_list())
-            for node, mine in zip(y["node"].tolist(), np.split(others, np.cumsum(many)[:-1])):
-                mine = np.sort(mine)
-                at = np.minimum(np.searchsorted(mine, values), len(mine) - 1)
-                both = np.bincount(of[mine[at] == values], minlength=len(x))
-                for i in np.flatnonzero(100 * both >= percent * (size + len(mine) - both)).tolist():
+            first, often = np.searchsorted(values, others), np.searchsorted(values, others, "right")
+            often -= first
+            ends = np.cumsum(many)
+            for node, k, end in zip(y["node"].tolist(), many.tolist(), ends.tolist()):
+                both = np.bincount(of[ragged(first[end - k: end], often[end - k: end])], minlength=len(x))
+                for i in np.flatnonzero(100 * both >= percent * (size + k - both)).tolist():
                     p, q = root(node), root("inside" if inside[i] else nodes[i])
                     if p != q:
                         parent[p] = q
