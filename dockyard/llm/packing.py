@@ -24,12 +24,17 @@ from dockyard.llm.pretokens import Encoder
 from dockyard.llm.tables import slices, staged
 
 
-def piece_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
-    """Ids of pre-tokens by the byte-level BPE model of the tokenizer file at ``path``."""
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The tokenizer of a file, once a process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
     from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    model = tokenizer.model
+    return Tokenizer.from_file(path)
+
+
+def piece_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
+    """Ids of pre-tokens by the byte-level BPE model of the tokenizer file at ``path``."""
+    model = _tokenizer(path).model
     # byte-level models spell each byte as one printable character
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spell = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(plain)))}
@@ -38,8 +43,7 @@ def piece_encoder(path: str) -> Callable[[list[str]], list[Sequence[int]]]:
 
 def added_tokens(path: str) -> dict[str, int]:
     """Ids of the strings that the tokenizer file at ``path`` matches before its model sees a text."""
-    from tokenizers import Tokenizer
-    tokens = Tokenizer.from_file(path).get_added_tokens_decoder()
+    tokens = _tokenizer(path).get_added_tokens_decoder()
     for t in tokens.values():
         if t.single_word or t.lstrip or t.rstrip:
             raise ValueError(f"{t.content}: added tokens that look at the text around them are not supported")

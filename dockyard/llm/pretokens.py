@@ -103,7 +103,7 @@ class Block:
         return [self.joined[a:b] for a, b in zip(self.start[i].tolist(), self.end[i].tolist())]
 
 
-def blocks(texts: Sequence[str], size: int = 1 << 19) -> Iterator[tuple[int, int]]:
+def blocks(texts: Sequence[str], size: int = 1 << 17) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``size`` characters; texts with unsure characters stand alone."""
     at = total = 0
     for i, t in enumerate(texts):
@@ -134,7 +134,7 @@ class Encoder:
     own ids, and what is between them is split by itself.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[Sequence[int]]], keep: int = 1_000_000,
+    def __init__(self, encode_pieces: Callable[[list[str]], list[Sequence[int]]], keep: int = 1 << 19,
                  added: dict[str, int] | None = None):
         self._encode, self._keep, self._added = encode_pieces, keep, added or {}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
