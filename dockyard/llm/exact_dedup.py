@@ -10,10 +10,12 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockyard.llm.tables import fresh, staged, tasks
+from dockyard.llm.tables import fresh, in_files, staged, tasks
 
 #: Rows of one hash that are compared in one task.
 PART = 1024
+#: Rows of hashes and ids that a file has, at least.
+ROWS = 1 << 16
 
 
 def ascii_lower(text: Column) -> Column:
@@ -47,7 +49,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = keyed.withColumn("_hash", F.unhex(F.md5("_text")))
     narrow = staged(keyed.select("_id", "_hash", F.unhex(F.sha2("_text", 256)).alias("_sha")))
 
-    groups = staged(narrow.groupBy("_hash").agg(best("_id").alias("_keep"), F.count(F.lit(1)).alias("_n")))
+    n = narrow.count()
+    groups = staged(in_files(narrow.groupBy("_hash").agg(best("_id").alias("_keep"), F.count(F.lit(1)).alias("_n")), n, ROWS))
     several = groups.filter("_n > 1").select("_hash", "_n")
     # a large group is compared in parts, and then part by part
     salt = F.when(F.col("_n") > PART, F.pmod(F.xxhash64("_id"), F.ceil(F.col("_n") / PART))).otherwise(0)
@@ -63,7 +66,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     apart = (collided.join(exact, ["_hash", "_text"])
              .select("_hash", "_id", F.unhex(F.sha2("_text", 256)).alias("_sha"), "_keep", "_n"))
     both = plain.select("_id", "_sha", "_keep", "_n").unionByName(apart.select("_id", "_sha", "_keep", "_n"))
-    return both.select(
+    return in_files(both, n, ROWS).select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"),
         F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"))
 

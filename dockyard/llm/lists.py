@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
 from dockyard.llm.rolling import ragged
-from dockyard.llm.tables import release, staged
+from dockyard.llm.tables import in_files, release, staged
 
 #: Members of a component, and documents held against it, that are compared in one task.
 BLOCK = 256
+#: Rows that a file has, at least: of ids; list rows that give the pairs of a file; pairs compared for a file of links.
+ROWS, LISTED, PAIRS = 1 << 16, 1 << 14, 1 << 10
 
 
 def similar_size(percent: int, a: str, b: str) -> Column:
@@ -55,16 +57,18 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
     links. So a long list of near copies costs about its length in rows, and
     no link between components is left out.
     """
+    many = lists.count()
+
     def exact(pairs: DataFrame) -> DataFrame:
-        near = staged(promising(pairs.distinct()))
+        near = staged(in_files(promising(pairs.distinct()), many, LISTED))
         full = staged(sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         met = (near.join(full.select(F.col("node").alias("a"), F.col("_full").alias("_fa")), "a")
                .join(full.select(F.col("node").alias("b"), F.col("_full").alias("_fb")), "b"))
-        return staged(alike(met.select("a", "b", "_fa", "_fb"), percent))
+        return staged(in_files(alike(met.select("a", "b", "_fa", "_fb"), percent), near.count(), PAIRS))
 
     sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     short = lists.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
-    long_ = staged(lists.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"))
+    long_ = staged(in_files(lists.join(sizes.filter(F.col("c") > list_size).select("v"), "v").select("v", "node", "n"), many, ROWS))
     degree = long_.groupBy("node").agg(F.count(F.lit(1)).alias("d"))
     hub = (long_.join(degree, "node").groupBy("v")
            .agg(F.max_by(F.struct("node", "n"), F.struct("d", F.xxhash64("node"), "node")).alias("h"))
@@ -91,7 +95,8 @@ def _apart(long_: DataFrame, groups: DataFrame) -> DataFrame:
     labelled = long_.join(groups, "node", "left").select("v", "node", F.coalesce("component", "node").alias("own"))
     main = (labelled.groupBy("v", "own").agg(F.count(F.lit(1)).alias("c")).groupBy("v")
             .agg(F.max_by("own", F.struct("c", "own")).alias("g"), F.count(F.lit(1)).alias("_groups")).filter("_groups > 1"))
-    return staged(labelled.join(main.select("v", "g"), "v").filter("own <> g").select(F.col("node").alias("d"), "g").distinct())
+    want = labelled.join(main.select("v", "g"), "v").filter("own <> g").select(F.col("node").alias("d"), "g").distinct()
+    return staged(in_files(want, long_.count(), ROWS))
 
 
 def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int,
@@ -105,7 +110,8 @@ def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], Dat
     members = groups.select("node", F.col("component").alias("g")).join(own, "g", "left_semi").select("node", "g").union(
         own.join(groups.select(F.col("node").alias("g")), "g", "left_anti").select(F.col("g").alias("node"), "g"))
     others = want.select(F.col("d").alias("node"), "g")
-    all_ = staged(members.withColumn("inside", F.lit(True)).union(others.withColumn("inside", F.lit(False))))
+    all_ = staged(in_files(members.withColumn("inside", F.lit(True)).union(others.withColumn("inside", F.lit(False))),
+                           groups.count() + want.count(), ROWS))
     cut = (all_.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"),
                                  F.ceil(F.count_if(~F.col("inside")) / BLOCK).alias("nc")))
     full = staged(sets(all_.select("node").distinct()))

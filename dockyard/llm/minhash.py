@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from dockyard.llm.lists import linked_groups
 from dockyard.llm.rolling import Rolling, mix
-from dockyard.llm.tables import fresh, slices, staged
+from dockyard.llm.tables import fresh, in_files, slices, staged
 
+#: Rows that a file has, at least: of ids and hashes, and of sketches or what is made from them.
+ROWS, SKETCHES = 1 << 16, 1 << 13
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes up to which a word's hash is polynomial; of longer ones it is a digest.
@@ -152,9 +154,10 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     """
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
     sk = staged(_sketches(own, words, k))
-    reps = staged(sk.filter("n > 0 and _id is not null").groupBy("_set").agg(F.min("_id").alias("_rep")))
-    nodes = staged(sk.join(reps.withColumnRenamed("_rep", "_id"), ["_set", "_id"])
-                   .dropDuplicates(["_set"]).select(F.col("_id").alias("node"), "n", "_sketch"))
+    rows = sk.count()
+    reps = staged(in_files(sk.filter("n > 0 and _id is not null").groupBy("_set").agg(F.min("_id").alias("_rep")), rows, ROWS))
+    nodes = staged(in_files(sk.join(reps.withColumnRenamed("_rep", "_id"), ["_set", "_id"])
+                            .dropDuplicates(["_set"]).select(F.col("_id").alias("node"), "n", "_sketch"), rows, SKETCHES))
 
     values = nodes.select("node", "n", F.explode("_sketch").alias("v"))
     common = values.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -176,9 +179,9 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
                 .filter(both >= F.size("_u") * (percent / 100 - 0.3)).select("a", "b"))
 
     def sets(need: DataFrame) -> DataFrame:
-        return _full_sets(own, staged(need), words)
+        return _full_sets(own, staged(in_files(need, rows, ROWS)), words)
 
-    groups = linked_groups(staged(lists), percent, sets, list_size, promising)
+    groups = linked_groups(staged(in_files(lists, rows, SKETCHES)), percent, sets, list_size, promising)
     classes = reps.join(groups, F.col("_rep") == F.col("node"), "left").select(
         "_set", F.coalesce("component", "_rep").alias("component_id"))
     some = sk.filter("n > 0 and _id is not null").select("_id", "n", "_set").join(classes, "_set")

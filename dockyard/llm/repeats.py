@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockyard.llm.rolling import BASES, Rolling, ragged, sliding_min
-from dockyard.llm.tables import fresh, release, slices, staged, tasks
+from dockyard.llm.tables import fresh, in_files, release, slices, staged, tasks
 
 _POSITION = np.uint64((1 << 26) - 1)
 _BLOCK = 1 << 18  # bytes hashed at once, so that the arrays stay in the processor's cache
 _FLUSH = 1 << 18  # records sorted at once inside a task
 _BUCKETS = 4  # groups of records per shuffle partition; each task writes a row for each group it has records of
+_BYTES = 1 << 23  # bytes of text whose spans one task writes, at least
 
 SPAN, RUN = 0, 1
 
@@ -154,7 +155,11 @@ def _span_frame(doc, v, kind, start, end) -> pd.DataFrame:
     return pd.DataFrame({"_id": doc, "_v": v, "kind": np.full(len(doc), kind, np.int32), "s": start.astype(np.int32), "e": end.astype(np.int32)})
 
 
-def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFrame:
+def _total(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("_raw"))).first()[0] or 0
+
+
+def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22, total: int | None = None) -> DataFrame:
     """``_id, _v, s, e`` (byte offsets, end exclusive): spans covered by strings of smaller documents.
 
     ``docs`` has ``_id``, ``_v`` (what tells texts of one id apart) and ``_raw`` (binary). Together a document's spans cover exactly
@@ -162,8 +167,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
     partition by the hash they are compared by. Before the shuffle a task
     settles all but the smallest document of each string it holds, so a
     passage that very many documents share reaches its bucket once a task.
+    ``total``, the bytes of ``_raw``, is summed up here unless given; small
+    tables are written by fewer tasks than there are shuffle partitions.
     """
     buckets = _BUCKETS * tasks(docs.sparkSession)
+    total = _total(docs) if total is None else total
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -213,8 +221,8 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
         return pd.concat([_span_frame(*before[:2], SPAN, *before[2:]), _span_frame(*known[:2], SPAN, *known[2:]),
                           _span_frame(doc_[loose], v_[loose], RUN, start[loose], end[loose])])
 
-    found = staged(docs.mapInArrow(runs, _BLOBS).repartition(tasks(docs.sparkSession), "bucket")
-                   .groupBy("bucket").applyInPandas(settle_runs, _SPANS))
+    found = staged(in_files(docs.mapInArrow(runs, _BLOBS).repartition(tasks(docs.sparkSession), "bucket")
+                            .groupBy("bucket").applyInPandas(settle_runs, _SPANS), total, _BYTES))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -255,8 +263,9 @@ def repeated_spans(docs: DataFrame, length: int = 50, gram: int = 22) -> DataFra
 
     release(docs.sparkSession)
     loose = found.filter(F.col("kind") == RUN).groupBy("_id", "_v").agg(F.collect_list(F.struct("s", "e")).alias("_runs"))
-    more = staged(docs.join(loose, ["_id", "_v"]).select("_id", "_v", "_raw", "_runs").mapInArrow(windows, _BLOBS)
-                  .repartition(tasks(docs.sparkSession), "bucket").groupBy("bucket").applyInPandas(settle_windows, _SPANS))
+    more = staged(in_files(docs.join(loose, ["_id", "_v"]).select("_id", "_v", "_raw", "_runs").mapInArrow(windows, _BLOBS)
+                           .repartition(tasks(docs.sparkSession), "bucket").groupBy("bucket").applyInPandas(settle_windows, _SPANS),
+                           total, _BYTES))
     release(docs.sparkSession)
     return found.filter(F.col("kind") == SPAN).union(more).select("_id", "_v", "s", "e")
 
@@ -315,10 +324,11 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram:
     distinct = docs.filter(key.isNotNull()).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     variant = F.lit(0).cast("long") if distinct else F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
     raw = docs.filter(key.isNotNull()).select(key.alias("_id"), variant.alias("_v"), text.alias("_raw"))
+    total = _total(raw)
     of, its = fresh(docs, "_of"), fresh(docs, "_its")
-    gone = (repeated_spans(raw, length, gram).groupBy(F.col("_id").alias(of), F.col("_v").alias(its))
+    gone = (repeated_spans(raw, length, gram, total).groupBy(F.col("_id").alias(of), F.col("_v").alias(its))
             .agg(F.collect_list(F.struct("s", "e")).alias(name)))
-    return docs.join(gone, (key == F.col(of)) & (variant == F.col(its)), "left").select(*docs.columns, name)
+    return in_files(docs.join(gone, (key == F.col(of)) & (variant == F.col(its)), "left").select(*docs.columns, name), total, _BYTES)
 
 
 def _cut(raw: bytes, spans: list | None) -> tuple[int, int, int, bytes]:

@@ -41,6 +41,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_files(df: DataFrame, size: int, each: int) -> DataFrame:
+    """``df`` in at most one task, and so one file, for ``each`` of ``size`` (rows or bytes of what it is made from).
+
+    A small table isn't dealt over all shuffle partitions: on a local disk the
+    JVM starts processes for every file that it writes, which count as a
+    second JVM until they have begun.
+    """
+    return df.coalesce(max(1, -(-size // each)))
+
+
 def release(spark: SparkSession) -> None:
     """Ask for the shuffle files of finished steps to be dropped.
 

@@ -2,8 +2,9 @@
 
 import numpy as np
 import public_tokenizers
+import pytest
 
-from dockyard.llm import components, lines, packing
+from dockyard.llm import components, exact_dedup, lines, lists, minhash, packing, repeats
 
 
 def test_small_graph_has_one_file_a_table(spark, monkeypatch):
@@ -15,6 +16,26 @@ def test_small_graph_has_one_file_a_table(spark, monkeypatch):
     assert all(len(t.inputFiles()) == 1 for t in written)
 
 
+@pytest.mark.parametrize("run", [exact_dedup.drop_exact, minhash.drop_near, repeats.drop_repeats])
+def test_small_tables_have_one_file_whatever_the_shuffle_partitions(spark, monkeypatch, run):
+    written = []
+    for module in (components, exact_dedup, lists, minhash, repeats):
+        monkeypatch.setattr(module, "staged", lambda df, f=module.staged: written.append(f(df)) or written[-1])
+    say = lambda a, n: " ".join(f"w{a * i}" for i in range(1, n))
+    texts = [say(i + 1, 40) for i in range(40)] + [say(i + 1, 40) + " end" for i in range(20)] + [say(i + 1, 40).upper() for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = {r.doc_id: r.text for r in run(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    if run is repeats.drop_repeats:
+        assert len(out) == 80 and all(out[i] == texts[i] for i in (0, 39, 79)) and all(len(out[i]) < 50 for i in range(40, 60))
+    else:
+        assert len(out) == (60 if run is exact_dedup.drop_exact else 40)
+    assert written and max(len(t.inputFiles()) for t in written) == 1
+
+
 def test_bands_take_six_bytes(spark, monkeypatch):
     written = []
     monkeypatch.setattr(lines, "staged", lambda df, f=lines.staged: written.append(f(df)) or written[-1])
