@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from dockyard.llm.components import components
 from dockyard.llm.rolling import ragged
-from dockyard.llm.tables import in_files, release, staged
+from dockyard.llm.tables import dropped, in_files, release, staged
 
-#: Members of a component, and documents held against it, that are compared in one task.
-BLOCK = 256
+#: Members of a component, and documents held against it, that are compared in one task: as many as have so many
+#: values together, and not more than so many. A block is sent to every block it meets.
+VALUES, BLOCK = 1 << 19, 1024
 #: Rows that a file has, at least: of ids; list rows that give the pairs of a file; pairs compared for a file of links.
 ROWS, LISTED, PAIRS = 1 << 16, 1 << 14, 1 << 10
 
@@ -37,7 +38,8 @@ def _alike(met: DataFrame, percent: int) -> DataFrame:
 def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], DataFrame], list_size: int,
                   promising: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
                   alike: Callable[[DataFrame, int], DataFrame] = _alike,
-                  flat: Callable[[Sequence], tuple[np.ndarray, np.ndarray]] = _flat) -> DataFrame:
+                  flat: Callable[[Sequence], tuple[np.ndarray, np.ndarray]] = _flat,
+                  spent: Sequence[DataFrame] = ()) -> DataFrame:
     """``node, component`` of every node with a Jaccard similarity of ``percent`` per cent or more to another.
 
     ``lists`` (written, with ``v, node, n``: list, member, size of its set)
@@ -46,7 +48,8 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
     that can't be similar. ``_full`` may be what a set is made from instead,
     which is often smaller: then ``alike`` gives the similar ``a, b`` of
     ``a, b, _fa, _fb`` and ``flat`` the distinct values of several sets in a
-    row and how many each has.
+    row and how many each has. ``spent`` are staged tables that only ``lists``
+    and ``promising`` read: they are deleted when the candidates are written.
 
     Lists up to ``list_size`` give all their pairs. In a longer list every
     member meets one hub, the member that is in most long lists, as copies of
@@ -61,10 +64,14 @@ def linked_groups(lists: DataFrame, percent: int, sets: Callable[[DataFrame], Da
 
     def exact(pairs: DataFrame) -> DataFrame:
         near = staged(in_files(promising(pairs.distinct()), many, LISTED))
+        for table in spent:
+            dropped(table)
         full = staged(sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         met = (near.join(full.select(F.col("node").alias("a"), F.col("_full").alias("_fa")), "a")
                .join(full.select(F.col("node").alias("b"), F.col("_full").alias("_fb")), "b"))
-        return staged(in_files(alike(met.select("a", "b", "_fa", "_fb"), percent), near.count(), PAIRS))
+        out = staged(in_files(alike(met.select("a", "b", "_fa", "_fb"), percent), near.count(), PAIRS))
+        dropped(full)
+        return out
 
     sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     short = lists.join(sizes.filter(F.col("c") <= list_size).select("v"), "v")
@@ -112,9 +119,14 @@ def _against(want: DataFrame, groups: DataFrame, sets: Callable[[DataFrame], Dat
     others = want.select(F.col("d").alias("node"), "g")
     all_ = staged(in_files(members.withColumn("inside", F.lit(True)).union(others.withColumn("inside", F.lit(False))),
                            groups.count() + want.count(), ROWS))
-    cut = (all_.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"),
-                                 F.ceil(F.count_if(~F.col("inside")) / BLOCK).alias("nc")))
     full = staged(sets(all_.select("node").distinct()))
+    weight = (F.size if dict(full.dtypes)["_full"].startswith("array") else F.length)("_full")
+    held = all_.join(full.select("node", weight.alias("w")), "node", "left")
+
+    def blocks(own: Column) -> Column:
+        return F.greatest(F.ceil(F.sum(F.when(own, F.col("w"))) / VALUES), F.ceil(F.count_if(own) / BLOCK))
+
+    cut = staged(held.groupBy("g").agg(blocks(F.lit(True)).alias("nb"), blocks(~F.col("inside")).alias("nc")))
 
     def cells(df: DataFrame, mine: str, count: str, other: str, counts: str) -> DataFrame:
         return (df.join(cut, "g").withColumn(mine, F.pmod(F.xxhash64("node"), F.col(count)))

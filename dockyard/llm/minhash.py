@@ -13,12 +13,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockyard.llm.lists import linked_groups
 from dockyard.llm.rolling import Rolling, mix
-from dockyard.llm.tables import fresh, in_files, slices, staged
+from dockyard.llm.tables import dropped, fresh, in_files, slices, staged
 
 #: Rows that a file has, at least: of ids and hashes, and of sketches or what is made from them.
 ROWS, SKETCHES = 1 << 16, 1 << 13
@@ -153,21 +153,24 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     must meet in a list. :func:`linked_groups` compares what meets.
     """
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-    sk = staged(_sketches(own, words, k))
-    rows = sk.count()
+    made = staged(_sketches(own, words, k))
+    rows = made.count()
+    sk = staged(made.select("_id", "n", "_set"))
     reps = staged(in_files(sk.filter("n > 0 and _id is not null").groupBy("_set").agg(F.min("_id").alias("_rep")), rows, ROWS))
-    nodes = staged(in_files(sk.join(reps.withColumnRenamed("_rep", "_id"), ["_set", "_id"])
+    nodes = staged(in_files(made.join(reps.withColumnRenamed("_rep", "_id"), ["_set", "_id"])
                             .dropDuplicates(["_set"]).select(F.col("_id").alias("node"), "n", "_sketch"), rows, SKETCHES))
+    dropped(made)
 
-    values = nodes.select("node", "n", F.explode("_sketch").alias("v"))
-    common = values.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # values are dealt once, for the count and for what is kept of them
+    values = nodes.select("node", F.col("n").cast("int").alias("n"), F.explode("_sketch").alias("v"))
+    common = values.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("v")).cast("int")).filter("c > 1")
     size = F.least(F.col("n"), F.lit(k))
     whole = k * percent // 100  # up to here the partner's sketch is its whole set as well
     overlap = F.when(F.col("n") <= whole, F.ceil(F.col("n") * percent / 100)).otherwise(F.floor(size * (percent / 100 - 0.3)))
-    lists = (values.join(common, "v").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("_l"))
+    lists = (common.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("_l"))
              .withColumn("_take", F.size("_l") - overlap + 1)  # values of one document alone come first and need no list
              .filter("_take > 0")
-             .select("node", "n", F.explode(F.slice("_l", F.lit(1), F.col("_take").cast("int"))["v"]).alias("v")))
+             .select("node", F.col("n").cast("long").alias("n"), F.explode(F.slice("_l", F.lit(1), F.col("_take").cast("int"))["v"]).alias("v")))
 
     def promising(pairs: DataFrame) -> DataFrame:
         """Pairs whose similarity, estimated from the sketch of the union, may be high enough."""
@@ -181,7 +184,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64,
     def sets(need: DataFrame) -> DataFrame:
         return _full_sets(own, staged(in_files(need, rows, ROWS)), words)
 
-    groups = linked_groups(staged(in_files(lists, rows, SKETCHES)), percent, sets, list_size, promising)
+    groups = linked_groups(staged(in_files(lists, rows, SKETCHES)), percent, sets, list_size, promising, spent=[nodes])
     classes = reps.join(groups, F.col("_rep") == F.col("node"), "left").select(
         "_set", F.coalesce("component", "_rep").alias("component_id"))
     some = sk.filter("n > 0 and _id is not null").select("_id", "n", "_set").join(classes, "_set")

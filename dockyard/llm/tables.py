@@ -44,6 +44,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`staged` gave and that nothing reads any more."""
+    spark = df.sparkSession
+    conf = spark._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.rsplit("/", 1)[1].startswith("llm-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def in_files(df: DataFrame, size: int, each: int) -> DataFrame:
     """``df`` in at most one task, and so one file, for ``each`` of ``size`` (rows or bytes of what it is made from).
 
